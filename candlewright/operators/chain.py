@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from candlewright.operators.scan import div
 from candlewright.params import ChunkParams
 
 
 def _grouped(nodes: DataFrame, key: str, width: int | None) -> DataFrame:
-    block = F.lit(0).cast("bigint") if width is None else F.floor(F.col("pos") / width)
+    block = F.lit(0).cast("bigint") if width is None else div(F.col("pos"), width)
     payload = [c for c in nodes.columns if c != key]
     ordered = ["pos", "next", *[c for c in payload if c not in ("pos", "next")]]
     return nodes.groupBy(key, block.alias("block")).agg(
@@ -87,7 +88,7 @@ def follow_chain(
 
     taken = _walk(_grouped(level, key, None), key, None)
     for grouped, width in reversed(levels):
-        arrivals = taken.select(key, F.floor(F.col("pos") / width).alias("block"), "arrive")
+        arrivals = taken.select(key, div(F.col("pos"), width).alias("block"), "arrive")
         taken = _walk(grouped, key, arrivals)
     return taken.select(
         *[

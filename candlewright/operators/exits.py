@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from candlewright.operators.scan import div
 from candlewright.params import ChunkParams, TradeParams
 from candlewright.session import materialize
 
@@ -242,7 +243,7 @@ def _entry_marks(open_entries: DataFrame, pos: Column, block: Column) -> DataFra
 
 
 def _upper_block(unit: Column, fan: int | None) -> Column:
-    return F.lit(0).cast("bigint") if fan is None else F.floor(unit / fan)
+    return F.lit(0).cast("bigint") if fan is None else div(unit, fan)
 
 
 def _coarser(signals: DataFrame, fan: int | None) -> DataFrame:
@@ -273,7 +274,7 @@ def first_exit(
     and entries that are still open are written to the shared folder between the passes.
     """
     idx, close = F.col("idx"), F.col("close")
-    chunk_of = F.floor(idx / chunks.size)
+    chunk_of = div(idx, chunks.size)
     bars = indexed.select(
         "symbol",
         chunk_of.alias("block"),
@@ -302,7 +303,7 @@ def first_exit(
     found = [materialize(_scan_blocks(bars, _signal_marks(marks[0]), True, True, params), "exits")]
 
     # Upwards: which chunk, then which group of chunks, ends the entries still open?
-    unit = F.floor(F.col("entry") / chunks.size)
+    unit = div(F.col("entry"), chunks.size)
     for level in range(1, levels + 1):
         fan = chunks.fan if level < levels else None
         waiting = _entry_marks(found[-1].where(missed), unit, _upper_block(unit, fan))
@@ -310,7 +311,7 @@ def first_exit(
         found.append(
             materialize(_scan_blocks(rows[level], seen, False, False, params), "exits")
         )
-        unit = F.floor(unit / chunks.fan)
+        unit = div(unit, chunks.fan)
     never = found[-1].where(missed)
 
     # Downwards: which chunk of that group, and which bar of that chunk?

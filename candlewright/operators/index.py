@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from candlewright.operators.scan import running
+from candlewright.operators.scan import div, running
 
 
 def bar_index(candles: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def bar_index(candles: DataFrame) -> DataFrame:
 
 
 def with_chunk(df: DataFrame, size: int, idx: str = "idx", name: str = "chunk") -> DataFrame:
-    return df.withColumn(name, F.floor(F.col(idx) / size))
+    return df.withColumn(name, div(F.col(idx), size))
 
 
 def halo_chunks(indexed: DataFrame, size: int, back: int, ahead: int = 2) -> DataFrame:
@@ -36,7 +36,7 @@ def halo_chunks(indexed: DataFrame, size: int, back: int, ahead: int = 2) -> Dat
     """
     if back > size:
         raise ValueError("a chunk must be at least as long as the lookback")
-    home = F.floor(F.col("idx") / size)
+    home = div(F.col("idx"), size)
     offset = F.col("idx") % size
     homes = F.array_compact(
         F.array(

@@ -40,14 +40,21 @@ def rolling_mean(column: str, bars: int, w: WindowSpec) -> Column:
     return F.when(F.count(column).over(frame) == bars, F.avg(column).over(frame))
 
 
-def volume_percentile(w: WindowSpec, column: str = "volume", bars: int = VOLUME_RANK_BARS) -> Column:
-    """Percent rank of the newest of the last ``bars`` values, ties sharing their mean rank."""
-    seen = F.collect_list(column).over(w.rowsBetween(1 - bars, 0))
+def sorted_frame(column: str, bars: int, w: WindowSpec) -> Column:
+    return F.sort_array(F.collect_list(column).over(w.rowsBetween(1 - bars, 0)))
+
+
+def percentile_of_newest(frame: str, column: str, bars: int) -> Column:
+    """Percent rank of the newest value in its ``sorted_frame``, ties sharing their mean rank.
+
+    Uses native array functions; lambdas over the values would be interpreted one by one. The
+    frame has to be a column of its own, or it would be sorted again for every mention.
+    """
     newest = F.col(column)
-    below = F.size(F.filter(seen, lambda v: v < newest))
-    equal = F.size(F.filter(seen, lambda v: v == newest))
-    rank = below + (equal + 1) / 2
-    return F.when((F.size(seen) == bars) & newest.isNotNull(), rank / bars * 100)
+    below = F.array_position(frame, newest) - 1
+    above = F.array_position(F.reverse(frame), newest) - 1
+    rank = (below + (bars - above) + 1) / 2
+    return F.when((F.size(frame) == bars) & newest.isNotNull(), rank / bars * 100)
 
 
 def true_range(w: WindowSpec) -> Column:
@@ -84,21 +91,23 @@ def in_chunks(candles: DataFrame, params: ZoneParams, chunks: ChunkParams) -> Da
 def add_indicators(chunked: DataFrame, params: ZoneParams) -> DataFrame:
     """All indicator columns on an overlapped, chunked table (rim rows included)."""
     w = chunk_window()
-    return (
-        chunked.select(
-            "*",
-            percent_change("open", CHANGE_BARS, w).alias("pc"),
-            rolling_mean("volume", VOLUME_MEAN_BARS, w).alias("volume_ma"),
-            volume_percentile(w).alias("volume_percentile"),
-            rolling_mean("close", params.trend_period, w).alias("sma_trend"),
-            rolling_mean("close", LONG_MEAN_BARS, w).alias("sma50"),
-            true_range(w).alias("tr"),
-            percent_change("close", MOMENTUM_BARS, w).alias("roc"),
-            swing("high", w, above=True).alias("swing_high"),
-            swing("low", w, above=False).alias("swing_low"),
-        )
-        .withColumn("atr", rolling_mean("tr", RANGE_MEAN_BARS, w))
-        .withColumn("avg_atr", rolling_mean("atr", MEAN_RANGE_MEAN_BARS, w))
+    first = chunked.select(
+        "*",
+        percent_change("open", CHANGE_BARS, w).alias("pc"),
+        rolling_mean("volume", VOLUME_MEAN_BARS, w).alias("volume_ma"),
+        sorted_frame("volume", VOLUME_RANK_BARS, w).alias("_volumes"),
+        rolling_mean("close", params.trend_period, w).alias("sma_trend"),
+        rolling_mean("close", LONG_MEAN_BARS, w).alias("sma50"),
+        true_range(w).alias("tr"),
+        percent_change("close", MOMENTUM_BARS, w).alias("roc"),
+        swing("high", w, above=True).alias("swing_high"),
+        swing("low", w, above=False).alias("swing_low"),
+    )
+    ranked = first.withColumn(
+        "volume_percentile", percentile_of_newest("_volumes", "volume", VOLUME_RANK_BARS)
+    ).drop("_volumes")
+    return ranked.withColumn("atr", rolling_mean("tr", RANGE_MEAN_BARS, w)).withColumn(
+        "avg_atr", rolling_mean("atr", MEAN_RANGE_MEAN_BARS, w)
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from candlewright.operators.scan import running
+from candlewright.operators.scan import div, running
 from candlewright.schema import ORDER_TYPES, TIME_IN_FORCE
 
 SMALLEST_SIZE = 1e-8
@@ -128,7 +128,7 @@ def order_batches(
     own and offset by the ids before, so one busy product is spread over many tasks.
     """
     numbered = running(
-        orders.withColumn("_block", F.floor(F.col(order[0]) / block_width)),
+        orders.withColumn("_block", div(F.col(order[0]), block_width)),
         ["product_id"],
         "_block",
         order,
@@ -136,7 +136,7 @@ def order_batches(
     )
     place = F.col("_n") - 1
     return (
-        numbered.groupBy("product_id", F.floor(place / batch_size).alias("batch_no"))
+        numbered.groupBy("product_id", div(place, batch_size).alias("batch_no"))
         .agg(F.sort_array(F.collect_list(F.struct(place.alias("place"), *payload))).alias("orders"))
         .withColumn("n_orders", F.size("orders"))
     )

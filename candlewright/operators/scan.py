@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _START = Window.unboundedPreceding
 
 
+def div(value: Column, by: int) -> Column:
+    """Whole-number division of a non-negative bigint."""
+    return F.call_function("div", value, F.lit(by))
+
+
 def _over_rows(kind: str, value: Column) -> Column:
     return {
         "sum": lambda: F.sum(value),
@@ -51,6 +56,7 @@ def running(
     inclusive: bool = True,
     fan: int = 1024,
     levels: int = 2,
+    peers: bool = False,
 ) -> DataFrame:
     """Add one running column per entry of ``values``: name -> (kind, value).
 
@@ -58,9 +64,11 @@ def running(
     ``levels`` 2: ``fan`` blocks form a group whose totals are carried in a second step, so no
     task sees more than ``fan`` totals or one total per group. 1: the blocks of a key are few
     (calendar days) and carried in one step. 0: every key is a single block.
+    ``peers``: rows that share an ``order`` value see each other's values too.
     """
     upto = 0 if inclusive else -1
-    in_block = Window.partitionBy(*key, block).orderBy(*order).rowsBetween(_START, upto)
+    ordered = Window.partitionBy(*key, block).orderBy(*order)
+    in_block = ordered.rangeBetween(_START, 0) if peers else ordered.rowsBetween(_START, upto)
     named = list(values.items())
     with_inner = df.select(
         "*",
@@ -96,7 +104,7 @@ def running(
             ],
         )
     else:
-        totals = totals.withColumn("_group", F.floor(F.col(block) / fan))
+        totals = totals.withColumn("_group", div(F.col(block), fan))
         in_group = Window.partitionBy(*key, "_group").orderBy(block).rowsBetween(_START, -1)
         groups = Window.partitionBy(*key).orderBy("_group").rowsBetween(_START, -1)
         group_totals = totals.groupBy(*key, "_group").agg(

@@ -171,17 +171,19 @@ def _position_per_bar(indexed: DataFrame, trade_table: DataFrame, chunks: ChunkP
         ).alias("event"),
     )
     events = opened.union(closed).groupBy("symbol", "idx").agg(F.max("event").alias("event"))
+    # Events are rows beside the bars rather than joined to them: one shuffle of the bars.
     bars = indexed.select("symbol", "idx", "bar_ts", "close")
-    marked = with_chunk(bars.join(events, ["symbol", "idx"], "left"), chunks.size)
+    rows = bars.unionByName(events, allowMissingColumns=True)
     return running(
-        marked,
+        with_chunk(rows, chunks.size),
         ["symbol"],
         "chunk",
         ["idx"],
         {"now": ("last", F.col("event"))},
         fan=chunks.fan,
         levels=chunks.levels(),
-    )
+        peers=True,
+    ).where("bar_ts is not null")
 
 
 def equity_curve(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from candlewright.operators.chain import follow_chain
 from candlewright.operators.index import with_chunk
@@ -59,10 +59,14 @@ def candle_color() -> Column:
 
 
 def origin_bar(color: str) -> Column:
-    """The latest bar 15..4 bars back with that colour and all four prices."""
+    """The latest bar 15..4 bars back with that colour and all four prices.
+
+    The latest one of all earlier bars costs one step per row; whether it is near enough is
+    asked afterwards.
+    """
     whole = F.col("high").isNotNull() & F.col("low").isNotNull() & (candle_color() == color)
     bar = F.struct(F.col("idx"), F.col("high"), F.col("low"))
-    frame = chunk_window().rowsBetween(-ORIGIN_FARTHEST, -ORIGIN_NEAREST)
+    frame = chunk_window().rowsBetween(Window.unboundedPreceding, -ORIGIN_NEAREST)
     return F.last(F.when(whole, bar), ignorenulls=True).over(frame)
 
 
@@ -80,7 +84,8 @@ def crossings(
     )
     side = crossing_side(params, F.col("pc"), F.col("prev_pc"))
     found = marked.withColumn("side", side).where("own and side is not null")
-    origin = F.when(F.col("side") == "bear", F.col("up_bar")).otherwise(F.col("down_bar"))
+    latest = F.when(F.col("side") == "bear", F.col("up_bar")).otherwise(F.col("down_bar"))
+    origin = F.when(latest["idx"] >= F.col("idx") - ORIGIN_FARTHEST, latest)
     return found.select(
         "symbol",
         "side",
@@ -163,22 +168,23 @@ def zone_active_bars(
 ) -> DataFrame:
     """Zones of each side that cover a bar; a zone lasts from its start to the end of data."""
     starts = zones.groupBy("symbol", F.col("start_idx").alias("idx")).agg(
+        F.lit(None).cast("timestamp_ntz").alias("bar_ts"),
         F.count_if(F.col("side") == "bull").alias("_bull"),
         F.count_if(F.col("side") == "bear").alias("_bear"),
     )
-    bars = indexed.select("symbol", "idx", "bar_ts").join(starts, ["symbol", "idx"], "left")
+    none = F.lit(0).cast("bigint")
+    bars = indexed.select("symbol", "idx", "bar_ts", none.alias("_bull"), none.alias("_bear"))
+    # Starts are rows beside the bars rather than joined to them: one shuffle of the bars.
     counted = running(
-        with_chunk(bars, chunks.size),
+        with_chunk(bars.unionByName(starts), chunks.size),
         ["symbol"],
         "chunk",
         ["idx"],
-        {
-            "active_bull": ("sum", F.coalesce("_bull", F.lit(0))),
-            "active_bear": ("sum", F.coalesce("_bear", F.lit(0))),
-        },
+        {"active_bull": ("sum", F.col("_bull")), "active_bear": ("sum", F.col("_bear"))},
         fan=chunks.fan,
         levels=chunks.levels(),
-    )
+        peers=True,
+    ).where("bar_ts is not null")
     return counted.select("symbol", "idx", "bar_ts", "active_bull", "active_bear")
 
 

@@ -55,9 +55,12 @@ class ChunkParams:
 
     ``longest`` is the length in bars of the longest history, where it has been measured. It
     only saves steps: a history that fits one chunk needs nothing carried between chunks.
+
+    A chunk with its rim of neighbours stays below the 4096 rows that Spark keeps in memory
+    per window group before it turns to a sorter that spills.
     """
 
-    size: int = 4096
+    size: int = 3968
     fan: int = 1024
     trade_block: int = 1 << 18
     longest: int | None = None

@@ -12,29 +12,22 @@ def bar_start(ts: Column | str, resolution: str) -> Column:
     return F.window(ts, f"{resolution_seconds(resolution)} seconds")["start"].cast("timestamp_ntz")
 
 
-def _tick_order(ts: str, seq: str) -> Column:
-    """(ts, seq) as one ordered number.
-
-    Fixed width keeps the aggregation hash-based with map-side combining, where a struct would
-    make Spark sort every tick first.
-    """
-    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
-    step = F.lit("20000000000000000000").cast("decimal(20,0)")  # wider than any bigint range
-    return (micros * step + F.col(seq).cast("decimal(19,0)")).cast("decimal(38,0)")
-
-
 def candles_from_ticks(
     ticks: DataFrame,
     resolution: str,
     *,
     symbol: str = "symbol",
     ts: str = "ts",
-    seq: str = "seq",
+    seq: str | None = "seq",
     price: str = "price",
     volume: str = "volume",
 ) -> DataFrame:
-    """OHLCV bars of the ticks; ``seq`` orders ticks of one instant."""
-    at = _tick_order(ts, seq)
+    """OHLCV bars of the ticks; ``seq`` orders ticks of one instant.
+
+    Where no two ticks of a symbol share an instant, ``seq=None`` is several times faster: a
+    plain timestamp keeps the aggregation hash-based, a pair makes Spark sort the ticks first.
+    """
+    at = F.col(ts) if seq is None else F.struct(ts, seq)
     return (
         ticks.select(
             F.col(symbol).alias("symbol"),
@@ -83,7 +76,9 @@ def price_walk(events: DataFrame) -> DataFrame:
         "ts",
         F.col("event_id").alias("seq"),
         exact.alias("volume"),
-        F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 60).alias("_minute"),
+        (F.unix_date(F.to_date("ts")) * 1440 + F.hour("ts") * 60 + F.minute("ts"))
+        .cast("bigint")
+        .alias("_minute"),
     )
     walked = running(
         ticks, ["symbol"], "_minute", ["ts", "seq"], {"_sum": ("sum", F.col("volume") - 50)}
