@@ -295,6 +295,25 @@ def _part(*names: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "stream_candles": """
+select event_type as symbol, time_bucket(interval '1 hour', ts) as bar_ts,
+  min_by(value, row(ts, event_id)) as open, max(value) as high, min(value) as low,
+  max_by(value, row(ts, event_id)) as close, round(sum(value), 4) as volume
+from events group by event_type, time_bucket(interval '1 hour', ts)
+having time_bucket(interval '1 hour', ts) + interval '1 hour'
+  <= (select date_trunc('millisecond', max(ts)) - interval '10 minutes' from events)""",
+    "stream_dedupe": _q(CANDLES, CANDLE_SELECT),
+    "stream_signals": _q(ZONES, "select symbol, side, trigger_idx, start_idx, top, bot from zones", True),
+    "stream_positions": _q(
+        TRIGGER,
+        """select symbol, trade_no, type, entry_idx, exit_idx, round(entry_price, 6) as entry_price, entry_time,
+  round(entry_capital, 6) as entry_capital, round(position_size, 6) as position_size,
+  round(stop_loss, 8) as stop_loss, round(exit_price, 6) as exit_price, round(pnl, 6) as pnl,
+  round(exit_capital, 6) as exit_capital, exit_reason
+from trades where exit_reason <> 'end_of_data'""",
+        True,
+    ),
+    "stream_equity": _TRADED["equity_at_trigger"],
     "candle_scan": _q(
         CANDLES,
         f"{CANDLE_SELECT} where symbol = 'view' and bar_ts between timestamp '2024-01-09 23:00:00' "

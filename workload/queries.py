@@ -19,6 +19,8 @@ from candlewright.session import materialize, scratch_path
 from candlewright.sources import candles as candle_sources
 from candlewright.sources import sinks
 from candlewright.sources.ticks import resample_candles, walk_candles
+from candlewright.streaming import candles as streams
+from candlewright.streaming import positions, signals
 
 TRIGGER_STUDY = TradeParams(entry_at="trigger")
 
@@ -636,6 +638,113 @@ def round_to_tick_query(spark, sf_dir):
     )
 
 
+# --- streams ---------------------------------------------------------------------------
+
+
+def _finish(writer) -> None:
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def _to_folder(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(spark, label)
+    _finish(
+        stream.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", scratch_path(spark, "offsets"))
+    )
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def stream_candles(spark, sf_dir):
+    """Hourly bars of event values, as far as they are closed ten minutes before the last event."""
+    schema = table(spark, sf_dir, "events").schema
+    ticks = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    bars = streams.stream_candles(
+        ticks, "1h", symbol="event_type", seq="event_id", price="value", volume="value"
+    )
+    return rounded(_to_folder(spark, bars, "stream_candles"), volume=4)
+
+
+def _candle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candles in four files, one week after the other, one file per micro-batch."""
+    base = candles(spark, sf_dir)
+    path = scratch_path(spark, "candle_stream")
+    weeks = ["2000-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2100-01-01"]
+    for start, end in zip(weeks, weeks[1:]):
+        week = base.where(
+            (F.col("bar_ts") >= F.lit(start).cast("timestamp_ntz"))
+            & (F.col("bar_ts") < F.lit(end).cast("timestamp_ntz"))
+        )
+        week.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
+def stream_dedupe(spark, sf_dir):
+    """Every candle arrives twice."""
+    twice = _candle_stream(spark, sf_dir).withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    once = streams.stream_dedupe(twice.drop("n"), "30 days")
+    return _to_folder(spark, once, "stream_dedupe").select(*CANDLE_COLUMNS)
+
+
+def _signal_folders(spark: SparkSession, sf_dir: str) -> str:
+    def build() -> str:
+        path = scratch_path(spark, "stream_signals")
+        source = _candle_stream(spark, sf_dir)
+        _finish(signals.stream_signals(source, path, scratch_path(spark, "offsets"), TRADING))
+        return path
+
+    return _once(spark, ("signals", sf_dir), build)
+
+
+def stream_signals(spark, sf_dir):
+    zones = spark.read.parquet(f"{_signal_folders(spark, sf_dir)}/zones")
+    return zones.select("symbol", "side", "trigger_idx", "start_idx", "top", "bot")
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        path = f"{_signal_folders(spark, sf_dir)}/bars"
+        schema = spark.read.parquet(path).drop("batch_id").schema
+        store = "spark.sql.streaming.stateStore.providerClass"
+        before = spark.conf.get(store, None)
+        spark.conf.set(store, positions.STATE_STORE)
+        try:
+            bars = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+            moved = positions.stream_positions(bars.parquet(f"{path}/batch_id=*"), TRIGGER_STUDY)
+            return _to_folder(spark, moved, "stream_positions")
+        finally:
+            if before is None:
+                spark.conf.unset(store)
+            else:
+                spark.conf.set(store, before)
+
+    return _once(spark, ("positions", sf_dir), build)
+
+
+def stream_positions(spark, sf_dir):
+    """Trades the stream has closed; one still open has no row yet."""
+    closed = _positions(spark, sf_dir).where("exit_reason is not null")
+    shown = rounded(
+        closed,
+        entry_price=6, exit_price=6, entry_capital=6, position_size=6, stop_loss=8, pnl=6,
+        exit_capital=6,
+    )
+    return shown.select(
+        "symbol", "trade_no", "type", "entry_idx", F.col("idx").alias("exit_idx"), "entry_price",
+        F.col("entry_time").cast("timestamp_ntz").alias("entry_time"), "entry_capital",
+        "position_size", "stop_loss", "exit_price", "pnl", "exit_capital", "exit_reason",
+    )
+
+
+def stream_equity(spark, sf_dir):
+    equity = positions.stream_equity(_positions(spark, sf_dir))
+    return _equity_columns(equity.withColumn("bar_ts", F.col("bar_ts").cast("timestamp_ntz")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candle_scan": candle_scan,
     "candle_envelope": candle_envelope,
@@ -728,4 +837,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_text": alert_text,
     "error_alert": error_alert,
     "round_to_tick": round_to_tick_query,
+    "stream_candles": stream_candles,
+    "stream_dedupe": stream_dedupe,
+    "stream_signals": stream_signals,
+    "stream_positions": stream_positions,
+    "stream_equity": stream_equity,
 }
