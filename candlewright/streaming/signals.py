@@ -16,8 +16,8 @@ from candlewright.operators.index import bar_index
 from candlewright.operators.indicators import LOOKBACK
 from candlewright.operators.zones import min_distance_thin, signal_bars, zone_candidates
 from candlewright.params import ChunkParams, ZoneParams
-from candlewright.schema import CANDLE_COLUMNS, ZONE_COLUMNS
-from candlewright.session import materialize
+from candlewright.schema import CANDLE, CANDLE_COLUMNS, ZONE_COLUMNS
+from candlewright.session import materialize, scratch_path
 from candlewright.sources.sinks import write_batch
 
 _STATE = (
@@ -35,10 +35,12 @@ class SignalStream:
 
     def __init__(
         self,
+        spark: SparkSession,
         path: str,
         params: ZoneParams = ZoneParams(),
         chunks: ChunkParams = ChunkParams(),
     ):
+        self.spark = spark
         self.path = path
         self.params = params
         # A batch holds few chunks of a symbol: one step of carrying between them is enough.
@@ -54,7 +56,12 @@ class SignalStream:
         return spark.read.schema(_STATE).parquet(f"{self.folder('state')}/batch_id={batch_id - 1}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        # The session of a running stream plans without adaptive execution. The many small joins
+        # here want it, so the batch is handed over to the session the stream was started from.
+        spark = self.spark
+        handed = scratch_path(spark, "batch")
+        batch.select(*CANDLE_COLUMNS).write.parquet(handed)
+        incoming = spark.read.schema(CANDLE).parquet(handed)
         state = self._state(spark, batch_id)
         known = state.groupBy("symbol").agg(
             F.max("bar_ts").alias("_seen_ts"),
@@ -63,8 +70,7 @@ class SignalStream:
         )
         # A candle at or before the newest known one was polled before.
         unseen = (
-            batch.select(*CANDLE_COLUMNS)
-            .dropDuplicates(["symbol", "bar_ts"])
+            incoming.dropDuplicates(["symbol", "bar_ts"])
             .join(known, "symbol", "left")
             .where("_seen_ts is null or bar_ts > _seen_ts")
         )
@@ -126,5 +132,5 @@ def stream_signals(
     chunks: ChunkParams = ChunkParams(),
 ):
     """A stream writer that keeps ``path`` up to date; start it with a trigger of choice."""
-    target = SignalStream(path, params, chunks)
+    target = SignalStream(candles.sparkSession, path, params, chunks)
     return candles.writeStream.foreachBatch(target.__call__).option("checkpointLocation", checkpoint)
