@@ -300,7 +300,8 @@ def first_exit(
         marks.append(_coarser(marks[-1], fan))
 
     missed = F.col("hit") < 0
-    found = [materialize(_scan_blocks(bars, _signal_marks(marks[0]), True, True, params), "exits")]
+    in_chunk = _scan_blocks(bars, _signal_marks(marks[0]), True, True, params)
+    found = [materialize(in_chunk, "exits") if levels else in_chunk]
 
     # Upwards: which chunk, then which group of chunks, ends the entries still open?
     unit = div(F.col("entry"), chunks.size)
@@ -312,30 +313,28 @@ def first_exit(
             materialize(_scan_blocks(rows[level], seen, False, False, params), "exits")
         )
         unit = div(unit, chunks.fan)
-    never = found[-1].where(missed)
-
     # Downwards: which chunk of that group, and which bar of that chunk?
-    ended = found[0].where(~missed)
-    coming = None
-    for level in range(levels, 0, -1):
-        hits = found[level].where(~missed)
-        hits = hits if coming is None else hits.union(coming)
-        landed = _entry_marks(hits, F.lit(-1).cast("bigint"), F.col("hit"))
-        landed = materialize(landed, "landed")
-        here = _signal_marks(marks[level - 1]).join(landed, ["symbol", "block"], "left_semi")
-        within = rows[level - 1].join(landed, ["symbol", "block"], "left_semi")
-        coming = _scan_blocks(within, here.union(landed), False, level == 1, params)
-    if coming is not None:
-        ended = ended.union(coming)
+    result = found[0]
+    if levels:
+        coming = None
+        for level in range(levels, 0, -1):
+            hits = found[level].where(~missed)
+            hits = hits if coming is None else hits.union(coming)
+            landed = _entry_marks(hits, F.lit(-1).cast("bigint"), F.col("hit"))
+            landed = materialize(landed, "landed")
+            here = _signal_marks(marks[level - 1]).join(landed, ["symbol", "block"], "left_semi")
+            within = rows[level - 1].join(landed, ["symbol", "block"], "left_semi")
+            coming = _scan_blocks(within, here.union(landed), False, level == 1, params)
+        result = found[0].where(~missed).union(coming).union(found[-1].where(missed))
 
     newest = indexed.groupBy("symbol").agg(
         F.max("idx").alias("last_idx"),
         F.max_by("close", "idx").alias("last_close"),
         F.max("bar_ts").alias("last_ts"),
     )
-    kind = F.when(F.col("hit_kind") == STOP, "stop").otherwise("opposite")
+    kind = F.when(missed, "end").when(F.col("hit_kind") == STOP, "stop").otherwise("opposite")
     again = (F.col("hit_kind") == STOP) | (F.col("hit_copies") >= 2)
-    entry_columns = [
+    return result.join(newest, "symbol").select(
         "symbol",
         F.col("entry").alias("entry_idx"),
         F.when(F.col("side") == 1, "long").otherwise("short").alias("type"),
@@ -343,21 +342,12 @@ def first_exit(
         "entry_price",
         F.col("entry_ts").alias("entry_time"),
         F.col("level").alias("last_stop"),
-    ]
-    return ended.select(
-        *entry_columns,
-        F.col("hit").alias("exit_idx"),
-        F.col("hit_price").alias("exit_price"),
-        F.col("hit_ts").alias("exit_time"),
+        F.when(missed, F.col("last_idx")).otherwise(F.col("hit")).alias("exit_idx"),
+        F.when(missed, F.col("last_close")).otherwise(F.col("hit_price")).alias("exit_price"),
+        F.when(missed, F.col("last_ts")).otherwise(F.col("hit_ts")).alias("exit_time"),
         kind.alias("exit_kind"),
-        F.when(again, F.col("hit")).otherwise(F.col("hit") + 1).alias("next_idx"),
-    ).union(
-        never.join(newest, "symbol").select(
-            *entry_columns,
-            F.col("last_idx").alias("exit_idx"),
-            F.col("last_close").alias("exit_price"),
-            F.col("last_ts").alias("exit_time"),
-            F.lit("end").alias("exit_kind"),
-            (F.col("last_idx") + 1).alias("next_idx"),
-        )
+        F.when(missed, F.col("last_idx") + 1)
+        .when(again, F.col("hit"))
+        .otherwise(F.col("hit") + 1)
+        .alias("next_idx"),
     )

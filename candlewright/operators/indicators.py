@@ -88,20 +88,28 @@ def in_chunks(candles: DataFrame, params: ZoneParams, chunks: ChunkParams) -> Da
     return halo_chunks(bar_index(candles), max(chunks.size, back), back, LOOKAHEAD)
 
 
-def add_indicators(chunked: DataFrame, params: ZoneParams) -> DataFrame:
-    """All indicator columns on an overlapped, chunked table (rim rows included)."""
+def add_indicators(chunked: DataFrame, params: ZoneParams, *, extras: bool = True) -> DataFrame:
+    """Indicator columns on an overlapped, chunked table (rim rows included).
+
+    ``extras`` adds those the zone detector does not ask for: volume mean and swing points.
+    """
     w = chunk_window()
+    more = []
+    if extras:
+        more = [
+            rolling_mean("volume", VOLUME_MEAN_BARS, w).alias("volume_ma"),
+            swing("high", w, above=True).alias("swing_high"),
+            swing("low", w, above=False).alias("swing_low"),
+        ]
     first = chunked.select(
         "*",
         percent_change("open", CHANGE_BARS, w).alias("pc"),
-        rolling_mean("volume", VOLUME_MEAN_BARS, w).alias("volume_ma"),
         sorted_frame("volume", VOLUME_RANK_BARS, w).alias("_volumes"),
         rolling_mean("close", params.trend_period, w).alias("sma_trend"),
         rolling_mean("close", LONG_MEAN_BARS, w).alias("sma50"),
         true_range(w).alias("tr"),
         percent_change("close", MOMENTUM_BARS, w).alias("roc"),
-        swing("high", w, above=True).alias("swing_high"),
-        swing("low", w, above=False).alias("swing_low"),
+        *more,
     )
     ranked = first.withColumn(
         "volume_percentile", percentile_of_newest("_volumes", "volume", VOLUME_RANK_BARS)

@@ -75,7 +75,7 @@ def crossings(
 ) -> DataFrame:
     """Every momentum crossing with its gates and origin bar (null if there is none)."""
     w = chunk_window()
-    wide = add_indicators(in_chunks(candles, params, chunks), params)
+    wide = add_indicators(in_chunks(candles, params, chunks), params, extras=False)
     marked = wide.select(
         "*",
         F.lag("pc").over(w).alias("prev_pc"),

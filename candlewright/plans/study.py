@@ -21,7 +21,12 @@ from candlewright.session import materialize
 
 
 class Study:
-    """One candle table under one setting. Nothing runs before a result is asked for."""
+    """One candle table under one setting. Nothing runs before a result is asked for.
+
+    Where histories are longer than a chunk, steps refer to their input several times and the
+    input is written first. Shorter ones run as one query; ``keep`` writes their steps too, for
+    callers that ask for many results.
+    """
 
     def __init__(
         self,
@@ -29,11 +34,16 @@ class Study:
         zone_params: ZoneParams = ZoneParams(),
         trade_params: TradeParams = TradeParams(),
         chunks: ChunkParams = ChunkParams(),
+        keep: bool = False,
     ):
         self.candles = candles
         self.zone_params = zone_params
         self.trade_params = trade_params
         self._chunks = chunks
+        self._keep = keep
+
+    def _kept(self, df: DataFrame, label: str) -> DataFrame:
+        return materialize(df, label) if self._keep or self.chunks.levels() else df
 
     @cached_property
     def bars(self) -> DataFrame:
@@ -57,7 +67,7 @@ class Study:
     @cached_property
     def candidates(self) -> DataFrame:
         found = zone_ops.zone_candidates(self.bars, self.zone_params, self.chunks)
-        return materialize(found, "candidates")
+        return self._kept(found, "candidates")
 
     @cached_property
     def zones(self) -> DataFrame:
@@ -65,31 +75,38 @@ class Study:
         thinned = zone_ops.min_distance_thin(
             self.candidates, self.zone_params.min_distance, self.chunks
         )
-        return materialize(thinned.select(*zone_ops.ZONE_COLUMNS), "zones")
+        return self._kept(thinned.select(*zone_ops.ZONE_COLUMNS), "zones")
 
     @cached_property
     def exits(self) -> DataFrame:
         """Every possible entry with its exit."""
         signals = zone_ops.signal_bars(self.zones, self.trade_params.entry_at)
         found = exit_ops.first_exit(self.bars, signals, self.trade_params, self.chunks)
-        return materialize(found, "exits")
+        return self._kept(found, "exits")
 
     @cached_property
     def taken(self) -> DataFrame:
-        return materialize(trade_ops.nonoverlapping_trades(self.exits, self.chunks), "taken")
+        return self._kept(trade_ops.nonoverlapping_trades(self.exits, self.chunks), "taken")
 
     @cached_property
     def trades(self) -> DataFrame:
         return trade_ops.compounding_trades(self.taken, self.trade_params, self.chunks)
 
+    @cached_property
+    def written_trades(self) -> DataFrame:
+        """The trades as a table, for the results that use them more than once."""
+        return materialize(self.trades, "trades")
+
     @cached_property
     def equity(self) -> DataFrame:
-        return trade_ops.equity_curve(self.bars, self.trades, self.trade_params, self.chunks)
+        table = self.written_trades
+        return trade_ops.equity_curve(self.bars, table, self.trade_params, self.chunks)
 
     @cached_property
     def stops(self) -> DataFrame:
-        return trade_ops.trailing_stop(self.bars, self.trades, self.trade_params, self.chunks)
+        table = self.written_trades
+        return trade_ops.trailing_stop(self.bars, table, self.trade_params, self.chunks)
 
     @cached_property
     def report(self) -> DataFrame:
-        return stats.trade_report(self.trades, self.trade_params, self.chunks)
+        return stats.trade_report(self.written_trades, self.trade_params, self.chunks)

@@ -50,7 +50,8 @@ def study(
     spark: SparkSession, sf_dir: str, trade_params: TradeParams = STUDY, resolution: str = "1h"
 ) -> Study:
     def build() -> Study:
-        made = Study(candles(spark, sf_dir, resolution), TRADING, trade_params, ChunkParams())
+        table = candles(spark, sf_dir, resolution)
+        made = Study(table, TRADING, trade_params, ChunkParams(), keep=True)
         if trade_params != STUDY:
             # The same bars and zones serve every way of trading them.
             base = study(spark, sf_dir, STUDY, resolution)
