@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for local sessions."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if named:
         return named
-    context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()

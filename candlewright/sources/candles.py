@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlewright.operators.index import bar_index
 from candlewright.schema import CANDLE, CANDLE_COLUMNS, OHLCV
+from candlewright.session import materialize
 
 _TEXT_FIELDS = "open string, high string, low string, close string, volume string"
 ENVELOPE = (
@@ -95,9 +96,18 @@ def backfill_union(slices: Iterable[DataFrame]) -> DataFrame:
     return newest.select(*CANDLE_COLUMNS)
 
 
+def _newest(candles: DataFrame, value: str) -> DataFrame:
+    """The newest value of each symbol, written first.
+
+    A written table has a known size: Spark then broadcasts it if it is small and so leaves the
+    candles where they are, and joins by shuffle if there are very many symbols.
+    """
+    return materialize(candles.groupBy("symbol").agg(F.max(value).alias("_newest")), "newest")
+
+
 def latest_window(candles: DataFrame, limit: int = 500, bar_seconds: int = 60) -> DataFrame:
     """Candles of the last ``limit`` bar lengths before each symbol's newest candle."""
-    newest = candles.groupBy("symbol").agg(F.max("bar_ts").alias("_newest"))
+    newest = _newest(candles, "bar_ts")
     first = F.col("_newest") - F.make_interval(secs=F.lit(limit * bar_seconds))
     return candles.join(newest, "symbol").where(F.col("bar_ts") >= first).select(*CANDLE_COLUMNS)
 
@@ -108,7 +118,7 @@ def latest_bars(candles: DataFrame, limit: int = 500) -> DataFrame:
     Counts by bar position, so a long history is not sorted in one task for its tail.
     """
     indexed = bar_index(candles)
-    newest = indexed.groupBy("symbol").agg(F.max("idx").alias("_newest"))
+    newest = _newest(indexed, "idx")
     tail = indexed.join(newest, "symbol").where(F.col("idx") > F.col("_newest") - limit)
     return tail.select(*CANDLE_COLUMNS)
 

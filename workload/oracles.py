@@ -561,8 +561,8 @@ placed as (
   select symbol, least(cast(floor((pnl - lo) / (hi - lo) * 20) as integer) + 1, 20) as bin
   from shown join spread using (symbol)),
 every as (select symbol, lo, hi, cast(unnest(range(1, 21)) as integer) as bin from spread)""",
-        """select symbol, bin, round(lo + (hi - lo) / 20 * (bin - 1), 5) as bin_lo,
-  round(lo + (hi - lo) / 20 * bin, 5) as bin_hi,
+        """select symbol, bin, round(lo + (hi - lo) / 20 * (bin - 1), 10) as bin_lo,
+  round(lo + (hi - lo) / 20 * bin, 10) as bin_hi,
   (select count(*) from placed p where p.symbol = every.symbol and p.bin = every.bin) as n from every""",
         True,
     ),

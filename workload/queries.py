@@ -476,7 +476,7 @@ def max_drawdown(spark, sf_dir):
 
 def pnl_histogram(spark, sf_dir):
     h = stats.pnl_histogram(_trade_columns(study(spark, sf_dir).trades))
-    return rounded(h, bin_lo=5, bin_hi=5)
+    return rounded(h, bin_lo=10, bin_hi=10)
 
 
 def trade_list(spark, sf_dir):
