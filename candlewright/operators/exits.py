@@ -66,7 +66,8 @@ def _scanner(fresh: bool, on_bars: bool, params: TradeParams):
     """Build the per-block function.
 
     ``fresh``: every signal of the block is an entry; else entries arrive with a level and are
-    open from the start of the row after ``pos``. ``on_bars``: rows are bars, not summaries.
+    open from the start of the row after ``pos``. ``on_bars``: rows are bars with one price
+    (``lo``) and time, not summaries.
     """
     factors = {1: 1 - params.trail_pct, -1: 1 + params.trail_pct}
     first_stop = {1: 1 - params.stop_pct, -1: 1 + params.stop_pct}
@@ -79,8 +80,12 @@ def _scanner(fresh: bool, on_bars: bool, params: TradeParams):
         order = np.argsort(rows["pos"].to_numpy())
         pos = rows["pos"].to_numpy()[order]
         low = rows["lo"].to_numpy()[order]
-        high = rows["hi"].to_numpy()[order]
-        inside = {1: rows["drop"].to_numpy()[order], -1: rows["rise"].to_numpy()[order]}
+        if on_bars:
+            high = low
+            inside = {s: s * low <= s * low * factors[s] for s in (1, -1)}
+        else:
+            high = rows["hi"].to_numpy()[order]
+            inside = {1: rows["drop"].to_numpy()[order], -1: rows["rise"].to_numpy()[order]}
         mirrored = {1: (low, high), -1: (-high, -low)}
 
         kind = marks["mark"].to_numpy()
@@ -280,11 +285,17 @@ def first_exit(
         chunk_of.alias("block"),
         idx.alias("pos"),
         close.alias("lo"),
-        close.alias("hi"),
-        F.coalesce(close <= close * (1 - params.trail_pct), F.lit(False)).alias("drop"),
-        F.coalesce(close >= close * (1 + params.trail_pct), F.lit(False)).alias("rise"),
         F.col("bar_ts").alias("ts"),
     )
+    spans = bars.select(
+        "symbol",
+        "block",
+        "pos",
+        "lo",
+        F.col("lo").alias("hi"),
+        F.coalesce(F.col("lo") <= F.col("lo") * (1 - params.trail_pct), F.lit(False)).alias("drop"),
+        F.coalesce(F.col("lo") >= F.col("lo") * (1 + params.trail_pct), F.lit(False)).alias("rise"),
+    )
     bar_signals = signals.where("idx >= 1").select(
         "symbol",
         chunk_of.alias("block"),
@@ -296,7 +307,8 @@ def first_exit(
     rows, marks = [bars], [materialize(bar_signals, "signals") if levels else bar_signals]
     for level in range(levels):
         fan = chunks.fan if level + 1 < levels else None
-        rows.append(materialize(_summaries(rows[-1], params, fan), "summaries"))
+        finer = rows[-1] if level else spans
+        rows.append(materialize(_summaries(finer, params, fan), "summaries"))
         marks.append(_coarser(marks[-1], fan))
 
     missed = F.col("hit") < 0

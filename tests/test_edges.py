@@ -221,9 +221,9 @@ def test_batches_hold_at_most_five(spark):
 
 
 def test_texts(spark):
-    text = trade_alert(F.lit("buy"), F.lit("ETHUSD"), F.lit("MARKET"), F.lit(0.05))
+    text = trade_alert(F.lit("buy"), F.lit("ABC"), F.lit("MARKET"), F.lit(0.05))
     got = spark.range(1).select(text.alias("a"), error_alert(F.lit("bad")).alias("b")).first()
-    assert got.a == "🟢 <b>BUY Alert</b>\n\nSymbol: ETHUSD\nPrice: MARKET\nSize: 0.05"
+    assert got.a == "🟢 <b>BUY Alert</b>\n\nSymbol: ABC\nPrice: MARKET\nSize: 0.05"
     assert got.b == "⚠️ <b>Error Alert</b>\n\nbad"
     lines = startup_text(1, "1m", TRADING, TradeParams()).split("\n")
     assert lines[3] == "Leverage: 1x" and lines[6] == "- Price Move Threshold: 0.50%"

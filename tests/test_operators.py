@@ -17,6 +17,7 @@ from candlewright.operators.trades import (
 )
 from candlewright.operators.zones import order_blocks
 from candlewright.params import TRADING, ChunkParams, TradeParams
+from candlewright.session import materialize
 
 CUTS = [
     ChunkParams(size=16, fan=3, trade_block=20),
@@ -108,9 +109,9 @@ def random_trades(spark):
 def test_trades_and_equity_equal_the_walk(spark, random_trades, cut, decimals):
     indexed, signals, want = random_trades
     params = TradeParams(size_decimals=decimals)
-    exits = first_exit(indexed, signals, params, cut).cache()
-    taken = nonoverlapping_trades(exits, cut).cache()
-    table = compounding_trades(taken, params, cut).cache()
+    exits = materialize(first_exit(indexed, signals, params, cut), "exits")
+    taken = materialize(nonoverlapping_trades(exits, cut), "taken")
+    table = materialize(compounding_trades(taken, params, cut), "trades")
     got = {}
     for t in table.orderBy("symbol", "trade_no").collect():
         sign = 1 if t.type == "long" else -1
@@ -138,8 +139,9 @@ def test_trades_and_equity_equal_the_walk(spark, random_trades, cut, decimals):
 def test_trailing_stop_ends_at_the_reported_stop(random_trades, cut):
     indexed, signals, _ = random_trades
     params = TradeParams()
-    exits = first_exit(indexed, signals, params, cut)
-    table = compounding_trades(nonoverlapping_trades(exits, cut), params, cut).cache()
+    exits = materialize(first_exit(indexed, signals, params, cut), "exits")
+    taken = materialize(nonoverlapping_trades(exits, cut), "taken")
+    table = materialize(compounding_trades(taken, params, cut), "trades")
     stops = trailing_stop(indexed, table, params, cut)
     last = stops.groupBy("symbol", "trade_no").agg(F.max_by("trailing_stop", "idx").alias("s"), F.count("*").alias("n"))
     joined = table.where("exit_idx > entry_idx").join(last, ["symbol", "trade_no"], "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -642,6 +643,26 @@ def round_to_tick_query(spark, sf_dir):
 # --- streams ---------------------------------------------------------------------------
 
 
+@contextmanager
+def _settings(spark: SparkSession, **values: str):
+    """Session settings for one stream, put back afterwards."""
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _state_partitions(spark: SparkSession) -> str:
+    """A stream keeps its number of state stores for life: a few per core, not more."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return str(min(wanted, 2 * spark.sparkContext.defaultParallelism))
+
+
 def _finish(writer) -> None:
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
@@ -651,11 +672,13 @@ def _finish(writer) -> None:
 
 def _to_folder(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
-    _finish(
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", scratch_path(spark, "offsets"))
-    )
+    writer = stream.writeStream.format("parquet").option("path", path)
+    with _settings(
+        spark,
+        spark__sql__shuffle__partitions=_state_partitions(spark),
+        spark__sql__streaming__stateStore__providerClass=positions.STATE_STORE,
+    ):
+        _finish(writer.option("checkpointLocation", scratch_path(spark, "offsets")))
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -710,18 +733,9 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         path = f"{_signal_folders(spark, sf_dir)}/bars"
         schema = spark.read.parquet(path).drop("batch_id").schema
-        store = "spark.sql.streaming.stateStore.providerClass"
-        before = spark.conf.get(store, None)
-        spark.conf.set(store, positions.STATE_STORE)
-        try:
-            bars = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            moved = positions.stream_positions(bars.parquet(f"{path}/batch_id=*"), TRIGGER_STUDY)
-            return _to_folder(spark, moved, "stream_positions")
-        finally:
-            if before is None:
-                spark.conf.unset(store)
-            else:
-                spark.conf.set(store, before)
+        bars = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+        moved = positions.stream_positions(bars.parquet(f"{path}/batch_id=*"), TRIGGER_STUDY)
+        return _to_folder(spark, moved, "stream_positions")
 
     return _once(spark, ("positions", sf_dir), build)
 
