@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import DATA
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -34,14 +36,14 @@ def _rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry(spark):
     assert len(contract.entry(spark).collect()) == 7
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sql, name):
     df = contract.queries()[name](spark, DATA)
     got = _rows(df.columns, df.collect())
