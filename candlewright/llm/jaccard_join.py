@@ -41,6 +41,8 @@ class JoinParams:
     #: Cells of the table that counts tokens for their rank; a power of two.
     cells: int = 1 << 20
     orders: int = 3
+    #: Bits of the table that marks texts to read again; a power of two.
+    marks: int = 1 << 22
 
 
 _STEPS = mix(np.arange(1, 64, dtype=np.uint64)) | np.uint64(1)
@@ -235,22 +237,43 @@ def _cross_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFram
 
 
 def _sets_of(
-    docs: DataFrame, keys: DataFrame, nodes: DataFrame, ranks, params: JoinParams, id_col: str, text: str
+    docs: DataFrame, keys: DataFrame, pairs: DataFrame, ranks, params: JoinParams, id_col: str, text: str
 ) -> DataFrame:
-    """`node, prefixes, tokens` of the given nodes, each from one text that has the set."""
-    size, percent, orders = params.size, params.percent, params.orders
+    """`node, prefixes, tokens` of the nodes in the pairs, each from one text that has the set.
+
+    The texts are marked in a bit table of fixed size and read again, so that no text is shuffled. A
+    text that falls on another's mark is only emitted in vain.
+    """
+    size, percent, orders, marks = params.size, params.percent, params.orders, params.marks
+
+    def places(h: np.ndarray, node: np.ndarray) -> np.ndarray:
+        return (mix(h.view(np.uint64) ^ node.view(np.uint64)) & np.uint64(marks - 1)).astype(np.int64)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(marks, np.uint8)
+        for batch in batches:
+            table[places(*[c.to_numpy() for c in batch.columns])] = 1
+        for block, data in blocks.split(table):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["marks"]), pa.array([block], pa.int32()), pa.array([data], pa.binary())],
+                ["name", "block", "data"],
+            )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ranks.value
+        table, marked = ranks.value, bits.value
         for batch in batches:
-            wanted, done = batch.column(1).to_pylist(), 0
+            h, done = batch.column(1).to_numpy(), 0
             for sets in token_sets(batch.column(0), size):
-                rows = []
-                for node, s in zip(wanted[done : done + len(sets)], sets, strict=True):
-                    if len(s) and _node(s) == node:
-                        own = [_prefix(s, table, k, percent) for k in range(1, orders)]
-                        rows.append((node, [np.sort(p).tobytes() for p in own], s.tobytes()))
+                own = h[done : done + len(sets)]
                 done += len(sets)
+                nodes = np.array([_node(s) if len(s) else 0 for s in sets], np.int64)
+                at = places(own, nodes)
+                wanted = (marked[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+                rows = [
+                    (int(nodes[k]), [np.sort(_prefix(sets[k], table, j, percent)).tobytes() for j in range(1, orders)], sets[k].tobytes())
+                    for k in np.flatnonzero(wanted)
+                    if len(sets[k])
+                ]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -261,21 +284,19 @@ def _sets_of(
                         ["node", "prefixes", "tokens"],
                     )
 
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     carriers = (
         keys.where(F.col("node").isNotNull())
         .join(nodes, "node", "left_semi")
         .groupBy("node")
         .agg(F.min("id").alias("id"))
-        .select("node", F.col("id").alias("carrier"))
-    )
-    carriers = materialize(carriers, "carriers")
-    rows = (
-        docs.select(F.col(id_col).alias("id"), text_bytes(text).alias("text"))
-        .join(carriers, F.col("id").eqNullSafe(F.col("carrier")))
-        .select("text", "node")
+        .select(F.xxhash64("id").alias("h"), "node")
     )
-    found = rows.mapInArrow(scan, "node bigint, prefixes array<binary>, tokens binary")
-    return found.dropDuplicates(["node"])
+    found = materialize(carriers.mapInArrow(mark, "name string, block int, data binary"), "marks")
+    table = blocks.gathered(blocks.summed(found, "uint8"), marks).get("marks", np.zeros(marks))
+    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(table > 0))
+    rows = docs.select(text_bytes(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h"))
+    return rows.mapInArrow(scan, "node bigint, prefixes array<binary>, tokens binary")
 
 
 def _prefixes_meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +333,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, params: JoinParams) -> DataFram
         return df.select("a", "b", "x", "y")
 
     schema = "a bigint, b bigint"
-    near = materialize(beside(pairs, "prefixes").mapInArrow(_prefixes_meet, schema), "candidates")
+    near = beside(pairs, "prefixes").mapInArrow(_prefixes_meet, schema).distinct()
+    near = materialize(near, "candidates")
     return beside(near, "tokens").mapInArrow(_similar(params.percent), schema)
 
 
@@ -336,15 +358,18 @@ def groups(
         .where("lo.node <> hi.node")
     )
     shared = materialize(shared, "postings")
-    nodes = shared.groupBy("node").agg(F.lit(1).alias("one")).select("node")
-    sets = materialize(_sets_of(docs, keys, nodes, ranks, params, id_col, text), "sets")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        sets = materialize(_sets_of(docs, keys, pairs, ranks, params, id_col, text), "sets")
+        return materialize(_verified(pairs, sets, params), "links")
 
     stars = materialize(_star_pairs(shared, params.percent), "pairs")
-    first = materialize(_verified(stars, sets, params), "links")
-    labels = components(first)
+    found = links(stars)
+    labels = components(found)
     more = _cross_pairs(shared, labels, params.percent).join(stars, ["a", "b"], "left_anti")
-    second = materialize(_verified(materialize(more, "pairs"), sets, params), "links")
-    labels = components(first.unionAll(second))
+    more = materialize(more, "pairs")
+    if not more.isEmpty():
+        labels = components(found.unionAll(links(more)))
 
     named = (
         keys.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))
