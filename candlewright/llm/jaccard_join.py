@@ -4,10 +4,12 @@ Prefix filtering under several global orders. If two sets of n and m tokens reac
 they share a token among the first n - ceil(0.9 n) + 1 of one and the same number of the other, in
 whatever order all tokens stand. Every order here puts rare tokens first, by a count of all tokens in
 a table of fixed width, and breaks ties by its own hash. Texts meet on the prefix tokens of the first
-order; a pair goes on only if its prefixes also meet under each other order, and is then verified on
-the whole sets. Counts only rank tokens: a wrong count costs time, never a link.
+order. Under each other order the prefix is longer by some tokens, and then at least so many more must
+be shared; a pair goes on only if it meets this under every order, and is then verified on the whole
+sets. Counts only rank tokens: a wrong count costs time, never a link.
 
-Equal sets are one node. Within a token, nodes are first compared with its smallest and largest node.
+Equal sets are one node. The nodes of a token are cut into runs by size, where sizes leave a gap that
+no link can cross; in a run, nodes are first compared with its smallest and largest node.
 What that links is one component, and only pairs of different components are compared after that, so
 a large group of near copies costs a few comparisons per text instead of all pairs, and any link
 between different components is still found.
@@ -79,8 +81,8 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _prefix(tokens: np.ndarray, ranks: np.ndarray, order: int, percent: int) -> np.ndarray:
-    n = prefix_length(len(tokens), percent)
+def _ranked(tokens: np.ndarray, ranks: np.ndarray, order: int, n: int) -> np.ndarray:
+    """The first n tokens of an order."""
     if n >= len(tokens):
         return tokens
     rank = ranks[(tokens & np.uint64(len(ranks) - 1)).astype(np.int64)].astype(np.uint64)
@@ -88,6 +90,18 @@ def _prefix(tokens: np.ndarray, ranks: np.ndarray, order: int, percent: int) ->
     return tokens[np.argpartition(key, n - 1)[:n]]
 
 
+def least_shared(n: int, percent: int) -> int:
+    """How many tokens more than the least possible a prefix is long, and must share, one included."""
+    return (prefix_length(n, percent) + 1) // 2
+
+
+def long_prefix(tokens: np.ndarray, ranks: np.ndarray, order: int, percent: int) -> bytes:
+    """Sorted short forms of a longer prefix; equal tokens have equal short forms."""
+    n = len(tokens)
+    own = _ranked(tokens, ranks, order, prefix_length(n, percent) + least_shared(n, percent) - 1)
+    return np.sort((own >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+
 def _keys_schema(df: DataFrame) -> str:
     kind = dict(df.dtypes)["id"]
     return f"id {kind}, n bigint, node bigint, name string, block int, data binary"
@@ -157,15 +171,18 @@ def _spread(keys: DataFrame, params: JoinParams) -> np.ndarray:
     return rarity(blocks.gathered(sums, params.cells).get("tokens", np.zeros(params.cells)))
 
 
-def postings(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFrame:
-    """`token, node, n`: every node under its prefix tokens of the first order, once."""
-    size, percent = params.size, params.percent
+def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFrame:
+    """`node, n, prefix, others`: the prefix tokens of the first order, and longer ones of the others.
+
+    A node has a row per task that met it.
+    """
+    size, percent, orders = params.size, params.percent, params.orders
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, known = ranks.value, set()
         for batch in batches:
             for sets in token_sets(batch.column(0), size):
-                tokens, nodes, sizes = [], [], []
+                nodes, sizes, prefixes, others = [], [], [], []
                 for s in sets:
                     if not len(s):
                         continue
@@ -173,144 +190,204 @@ def postings(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFrame
                     if node in known:
                         continue
                     known.add(node)
-                    own = _prefix(s, table, 0, percent)
-                    tokens.append(own)
-                    nodes.append(np.full(len(own), node))
-                    sizes.append(np.full(len(own), len(s)))
-                if len(known) > 1_000_000:  # only saves repeats; the aggregation drops the rest
+                    nodes.append(node)
+                    sizes.append(len(s))
+                    prefixes.append(_ranked(s, table, 0, prefix_length(len(s), percent)))
+                    others.append([long_prefix(s, table, k, percent) for k in range(1, orders)])
+                if len(known) > 1_000_000:  # this only saves repeats
                     known.clear()
-                if tokens:
+                if nodes:
+                    ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
+                    flat = np.concatenate(prefixes).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.concatenate(tokens).view(np.int64)),
-                            pa.array(np.concatenate(nodes), pa.int64()),
-                            pa.array(np.concatenate(sizes), pa.int64()),
+                            pa.array(nodes, pa.int64()),
+                            pa.array(sizes, pa.int64()),
+                            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                            pa.array(others, pa.list_(pa.binary())),
                         ],
-                        ["token", "node", "n"],
+                        ["node", "n", "prefix", "others"],
                     )
 
-    found = docs.select(text_bytes(text).alias("text")).mapInArrow(
-        scan, "token bigint, node bigint, n bigint"
+    return docs.select(text_bytes(text).alias("text")).mapInArrow(
+        scan, "node bigint, n bigint, prefix array<bigint>, others array<binary>"
+    )
+
+
+def _meetings(signed: DataFrame, percent: int) -> DataFrame:
+    """`token, run, node, n, lo, hi`: nodes under their prefix tokens where another of like size is.
+
+    Runs of a token are cut where a size is too small for the next; `lo` and `hi` are the smallest and
+    the largest node of a run, with their sizes.
+    """
+    rows = signed.select(F.explode("prefix").alias("token"), "node", "n")
+    by_size = W.partitionBy("token").orderBy("n", "node")
+    fits = lambda small, large: F.coalesce(100 * small >= percent * large, F.lit(False))
+    rows = (
+        rows.withColumn("back", fits(F.lag("n").over(by_size), F.col("n")))
+        .withColumn("ahead", fits(F.col("n"), F.lead("n").over(by_size)))
+        .withColumn("run", F.sum((~F.col("back")).cast("int")).over(by_size))
+        .where("back or ahead")
+    )
+    by_run = W.partitionBy("token", "run")
+    return (
+        rows.select("token", "run", "node", "n")
+        .withColumn("lo", F.min(F.struct("node", "n")).over(by_run))
+        .withColumn("hi", F.max(F.struct("node", "n")).over(by_run))
+        .where("lo.node <> hi.node")
     )
-    return found.groupBy("token", "node").agg(F.min("n").alias("n"))
 
 
 def _pair(a: str, b: str, na: str, nb: str, percent: int) -> list:
-    """Columns `a, b` in order, for sizes that allow the similarity."""
+    """Columns `a, b` in order, their sizes, and whether these allow the similarity."""
+    first = F.col(a) < F.col(b)
     return [
         F.least(a, b).alias("a"),
         F.greatest(a, b).alias("b"),
         (100 * F.least(na, nb) >= percent * F.greatest(na, nb)).alias("fits"),
+        F.when(first, F.col(na)).otherwise(F.col(nb)).alias("na"),
+        F.when(first, F.col(nb)).otherwise(F.col(na)).alias("nb"),
     ]
 
 
 def _star_pairs(shared: DataFrame, percent: int) -> DataFrame:
     low = shared.select(*_pair("node", "lo.node", "n", "lo.n", percent))
     high = shared.select(*_pair("node", "hi.node", "n", "hi.n", percent))
-    return low.unionAll(high).where("fits and a <> b").select("a", "b").distinct()
+    return low.unionAll(high).where("fits and a <> b").select("a", "b", "na", "nb").distinct()
 
 
 def _cross_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a prefix token and lie in different components."""
+    """Pairs that meet in a run and lie in different components."""
     rows = (
-        shared.select("token", "node", "n")
+        shared.select("token", "run", "node", "n")
         .join(labels, "node", "left")
-        .select("token", "node", "n", F.coalesce("label", "node").alias("comp"))
+        .select("token", "run", "node", "n", F.coalesce("label", "node").alias("comp"))
     )
     rows = materialize(rows, "members")
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    mixed = mixed.where("lo <> hi").select("token")
-    rows = materialize(rows.join(mixed, "token", "left_semi"), "members")
-    comps = rows.groupBy("token", "comp").agg(F.lit(1).alias("one")).select("token", "comp")
-    left = comps.select("token", F.col("comp").alias("ca"))
-    right = comps.select("token", F.col("comp").alias("cb"))
+    at = ["token", "run"]
+    comps = rows.groupBy(*at, "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left = comps.select(*at, F.col("comp").alias("ca"), F.col("low").alias("la"), F.col("high").alias("ha"))
+    right = comps.select(*at, F.col("comp").alias("cb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
+    beside = (
+        left.join(right, at)
+        .where(f"ca < cb and 100 * ha >= {percent} * lb and 100 * hb >= {percent} * la")
+        .select(*at, "ca", "cb")
+    )
+    beside = materialize(beside, "component-pairs")
+    xs = rows.select(*at, F.col("comp").alias("ca"), F.col("node").alias("x"), F.col("n").alias("nx"))
+    ys = rows.select(*at, F.col("comp").alias("cb"), F.col("node").alias("y"), F.col("n").alias("ny"))
     return (
-        left.join(right, "token")
-        .where("ca < cb")
-        .join(rows.select("token", F.col("comp").alias("ca"), F.col("node").alias("x"), F.col("n").alias("nx")), ["token", "ca"])
-        .join(rows.select("token", F.col("comp").alias("cb"), F.col("node").alias("y"), F.col("n").alias("ny")), ["token", "cb"])
+        beside.join(xs, [*at, "ca"])
+        .join(ys, [*at, "cb"])
         .select(*_pair("x", "y", "nx", "ny", percent))
         .where("fits")
-        .select("a", "b")
+        .select("a", "b", "na", "nb")
         .distinct()
     )
 
 
-def _sets_of(
-    docs: DataFrame, keys: DataFrame, pairs: DataFrame, ranks, params: JoinParams, id_col: str, text: str
-) -> DataFrame:
-    """`node, prefixes, tokens` of the nodes in the pairs, each from one text that has the set.
-
-    The texts are marked in a bit table of fixed size and read again, so that no text is shuffled. A
-    text that falls on another's mark is only emitted in vain.
-    """
-    size, percent, orders, marks = params.size, params.percent, params.orders, params.marks
-
-    def places(h: np.ndarray, node: np.ndarray) -> np.ndarray:
-        return (mix(h.view(np.uint64) ^ node.view(np.uint64)) & np.uint64(marks - 1)).astype(np.int64)
+def _marked(values: DataFrame, params: JoinParams):
+    """A table of bits, of fixed size, in which the numbers of a column `x` are marked."""
+    marks = params.marks
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(marks, np.uint8)
         for batch in batches:
-            table[places(*[c.to_numpy() for c in batch.columns])] = 1
+            table[_places(batch.column(0).to_numpy(), marks)] = 1
         for block, data in blocks.split(table):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(["marks"]), pa.array([block], pa.int32()), pa.array([data], pa.binary())],
                 ["name", "block", "data"],
             )
 
+    found = materialize(values.mapInArrow(mark, "name string, block int, data binary"), "marks")
+    table = blocks.gathered(blocks.summed(found, "uint8"), marks).get("marks", np.zeros(marks))
+    return values.sparkSession.sparkContext.broadcast(np.packbits(table > 0))
+
+
+def _places(x: np.ndarray, marks: int) -> np.ndarray:
+    return (mix(x.view(np.uint64)) & np.uint64(marks - 1)).astype(np.int64)
+
+
+def _hit(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    at = _places(x, 8 * len(bits))
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _beside(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """The pairs with the value of either end as `x` and `y`."""
+    for end, column in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(values.select(F.col("node").alias(end), F.col(name).alias(column)), end)
+    return pairs
+
+
+def _common(x: bytes, y: bytes) -> int:
+    """Common short forms, and as many more as one form may stand for."""
+    p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+    one = np.unique(p)
+    return len(np.intersect1d(one, np.unique(q), True)) + len(p) - len(one)
+
+
+def _candidates(pairs: DataFrame, signed: DataFrame, params: JoinParams) -> DataFrame:
+    """Pairs whose longer prefixes share enough under every further order."""
+    bits, percent = _marked(_ends(pairs), params), params.percent
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_hit(bits.value, batch.column(0).to_numpy())))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, x, y in zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True):
+                # Either prefix holds so many common tokens at least; both do for the smaller number.
+                least = min(least_shared(na, percent), least_shared(nb, percent))
+                keep.append(all(_common(p, q) >= least for p, q in zip(x, y, strict=True)))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    some = signed.select("node", "others").mapInArrow(marked, "node bigint, others array<binary>")
+    both = _beside(pairs, some, "others").select("a", "b", "na", "nb", "x", "y")
+    return materialize(both.mapInArrow(meet, "a bigint, b bigint").distinct(), "candidates")
+
+
+def _sets_of(
+    docs: DataFrame, keys: DataFrame, pairs: DataFrame, params: JoinParams, id_col: str, text: str
+) -> DataFrame:
+    """`node, tokens` of the nodes in the pairs, each from one text that has the set.
+
+    The texts are marked and read again, so that no text is shuffled. A text that falls on another's
+    mark is only emitted in vain.
+    """
+    size = params.size
+    carriers = (
+        keys.where(F.col("node").isNotNull())
+        .join(_ends(pairs), "node", "left_semi")
+        .groupBy("node")
+        .agg(F.min("id").alias("id"))
+        .select(F.xxhash64("id").bitwiseXOR(F.col("node")).alias("x"))
+    )
+    bits = _marked(carriers, params)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, marked = ranks.value, bits.value
         for batch in batches:
             h, done = batch.column(1).to_numpy(), 0
             for sets in token_sets(batch.column(0), size):
                 own = h[done : done + len(sets)]
                 done += len(sets)
                 nodes = np.array([_node(s) if len(s) else 0 for s in sets], np.int64)
-                at = places(own, nodes)
-                wanted = (marked[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-                rows = [
-                    (int(nodes[k]), [np.sort(_prefix(sets[k], table, j, percent)).tobytes() for j in range(1, orders)], sets[k].tobytes())
-                    for k in np.flatnonzero(wanted)
-                    if len(sets[k])
-                ]
-                if rows:
+                wanted = [k for k in np.flatnonzero(_hit(bits.value, own ^ nodes)) if len(sets[k])]
+                if wanted:
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([r[0] for r in rows], pa.int64()),
-                            pa.array([r[1] for r in rows], pa.list_(pa.binary())),
-                            pa.array([r[2] for r in rows], pa.binary()),
-                        ],
-                        ["node", "prefixes", "tokens"],
+                        [pa.array(nodes[wanted]), pa.array([sets[k].tobytes() for k in wanted], pa.binary())],
+                        ["node", "tokens"],
                     )
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    carriers = (
-        keys.where(F.col("node").isNotNull())
-        .join(nodes, "node", "left_semi")
-        .groupBy("node")
-        .agg(F.min("id").alias("id"))
-        .select(F.xxhash64("id").alias("h"), "node")
-    )
-    found = materialize(carriers.mapInArrow(mark, "name string, block int, data binary"), "marks")
-    table = blocks.gathered(blocks.summed(found, "uint8"), marks).get("marks", np.zeros(marks))
-    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(table > 0))
     rows = docs.select(text_bytes(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h"))
-    return rows.mapInArrow(scan, "node bigint, prefixes array<binary>, tokens binary")
-
-
-def _prefixes_meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose prefixes share a token under every further order."""
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            keep.append(
-                all(
-                    len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), True))
-                    for p, q in zip(x, y, strict=True)
-                )
-            )
-        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+    return rows.mapInArrow(scan, "node bigint, tokens binary")
 
 
 def _similar(percent: int):
@@ -326,18 +403,6 @@ def _similar(percent: int):
     return test
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, params: JoinParams) -> DataFrame:
-    def beside(df: DataFrame, value: str) -> DataFrame:
-        for end, name in (("a", "x"), ("b", "y")):
-            df = df.join(sets.select(F.col("node").alias(end), F.col(value).alias(name)), end)
-        return df.select("a", "b", "x", "y")
-
-    schema = "a bigint, b bigint"
-    near = beside(pairs, "prefixes").mapInArrow(_prefixes_meet, schema).distinct()
-    near = materialize(near, "candidates")
-    return beside(near, "tokens").mapInArrow(_similar(params.percent), schema)
-
-
 def groups(
     docs: DataFrame,
     params: JoinParams = JoinParams(),
@@ -350,18 +415,14 @@ def groups(
     ranks = context.broadcast(_spread(everything, params))
     keys = everything.where(F.col("block").isNull()).select("id", "n", "node")
 
-    by_token = W.partitionBy("token")
-    shared = (
-        postings(docs, ranks, params, text)
-        .withColumn("lo", F.min(F.struct("node", "n")).over(by_token))
-        .withColumn("hi", F.max(F.struct("node", "n")).over(by_token))
-        .where("lo.node <> hi.node")
-    )
-    shared = materialize(shared, "postings")
+    signed = materialize(signatures(docs, ranks, params, text), "signatures")
+    shared = materialize(_meetings(signed, params.percent), "meetings")
 
     def links(pairs: DataFrame) -> DataFrame:
-        sets = materialize(_sets_of(docs, keys, pairs, ranks, params, id_col, text), "sets")
-        return materialize(_verified(pairs, sets, params), "links")
+        near = _candidates(pairs, signed, params)
+        sets = materialize(_sets_of(docs, keys, near, params, id_col, text), "sets")
+        both = _beside(near, sets, "tokens").select("a", "b", "x", "y")
+        return materialize(both.mapInArrow(_similar(params.percent), "a bigint, b bigint"), "links")
 
     stars = materialize(_star_pairs(shared, params.percent), "pairs")
     found = links(stars)
