@@ -9,7 +9,9 @@ be shared; a pair goes on only if it meets this under every order, and is then v
 sets. Counts only rank tokens: a wrong count costs time, never a link.
 
 Equal sets are one node. The nodes of a token are cut into runs by size, where sizes leave a gap that
-no link can cross; in a run, nodes are first compared with its smallest and largest node.
+no link can cross. Prefix tokens a node shares with no node of like size bound what it can have in
+common with any, which rules most pairs out. In a run, nodes are first compared with the node that
+shares most and with one other.
 What that links is one component, and only pairs of different components are compared after that, so
 a large group of near copies costs a few comparisons per text instead of all pairs, and any link
 between different components is still found.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from candlewright.llm import blocks
 from candlewright.llm.graph import components
@@ -215,10 +217,11 @@ def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFra
 
 
 def _meetings(signed: DataFrame, percent: int) -> DataFrame:
-    """`token, run, node, n, lo, hi`: nodes under their prefix tokens where another of like size is.
+    """`token, run, node, n, most`: nodes under their prefix tokens where another of like size is.
 
-    Runs of a token are cut where a size is too small for the next; `lo` and `hi` are the smallest and
-    the largest node of a run, with their sizes.
+    Runs of a token are cut where a size is too small for the next. A prefix token of a node that is
+    not met in any run is shared with nothing it could be linked with, so of its n tokens at most
+    `most`, n less these, can be common with another.
     """
     rows = signed.select(F.explode("prefix").alias("token"), "node", "n")
     by_size = W.partitionBy("token").orderBy("n", "node")
@@ -230,58 +233,72 @@ def _meetings(signed: DataFrame, percent: int) -> DataFrame:
         .where("back or ahead")
     )
     by_run = W.partitionBy("token", "run")
-    return (
+    rows = (
         rows.select("token", "run", "node", "n")
-        .withColumn("lo", F.min(F.struct("node", "n")).over(by_run))
-        .withColumn("hi", F.max(F.struct("node", "n")).over(by_run))
-        .where("lo.node <> hi.node")
+        .withColumn("lo", F.min("node").over(by_run))
+        .withColumn("hi", F.max("node").over(by_run))
+        .where("lo <> hi")
+        .select("token", "run", "node", "n")
+        .distinct()
     )
+    rows = materialize(rows, "meetings")
+    met = rows.groupBy("node", "n").agg(F.count("*").alias("met"))
+    longest = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    most = met.select("node", (F.col("n") - longest + F.col("met")).cast("bigint").alias("most"))
+    return rows.join(most, "node")
+
+
+def _fits(na: Column, nb: Column, most_a: Column, most_b: Column, percent: int) -> Column:
+    """Whether two sets can be similar, from their sizes and what they can have in common."""
+    common = (100 + percent) * F.least(most_a, most_b) >= percent * (na + nb)
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & common
 
 
-def _pair(a: str, b: str, na: str, nb: str, percent: int) -> list:
-    """Columns `a, b` in order, their sizes, and whether these allow the similarity."""
+def _pair(a: str, b: str, na: str, nb: str) -> list[Column]:
+    """Columns `a, b` in order with their sizes."""
     first = F.col(a) < F.col(b)
     return [
         F.least(a, b).alias("a"),
         F.greatest(a, b).alias("b"),
-        (100 * F.least(na, nb) >= percent * F.greatest(na, nb)).alias("fits"),
         F.when(first, F.col(na)).otherwise(F.col(nb)).alias("na"),
         F.when(first, F.col(nb)).otherwise(F.col(na)).alias("nb"),
     ]
 
 
 def _star_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    low = shared.select(*_pair("node", "lo.node", "n", "lo.n", percent))
-    high = shared.select(*_pair("node", "hi.node", "n", "hi.n", percent))
-    return low.unionAll(high).where("fits and a <> b").select("a", "b", "na", "nb").distinct()
+    """Every node with the node of its run that has most in common with others, and with the last one."""
+    by_run = W.partitionBy("token", "run")
+    head = F.struct((F.col("n") - F.col("most")).alias("alone"), "node", "n", "most")
+    rows = shared.withColumn("lo", F.min(head).over(by_run)).withColumn("hi", F.max(F.struct("node", "n", "most")).over(by_run))
+    pairs = [
+        rows.where(F.col("node") != F.col(f"{end}.node"))
+        .where(_fits(F.col("n"), F.col(f"{end}.n"), F.col("most"), F.col(f"{end}.most"), percent))
+        .select(*_pair("node", f"{end}.node", "n", f"{end}.n"))
+        for end in ("lo", "hi")
+    ]
+    return pairs[0].unionAll(pairs[1]).distinct()
 
 
 def _cross_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs that meet in a run and lie in different components."""
     rows = (
-        shared.select("token", "run", "node", "n")
-        .join(labels, "node", "left")
-        .select("token", "run", "node", "n", F.coalesce("label", "node").alias("comp"))
+        shared.join(labels, "node", "left")
+        .select("token", "run", "node", "n", "most", F.coalesce("label", "node").alias("comp"))
     )
     rows = materialize(rows, "members")
     at = ["token", "run"]
-    comps = rows.groupBy(*at, "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left = comps.select(*at, F.col("comp").alias("ca"), F.col("low").alias("la"), F.col("high").alias("ha"))
-    right = comps.select(*at, F.col("comp").alias("cb"), F.col("low").alias("lb"), F.col("high").alias("hb"))
-    beside = (
-        left.join(right, at)
-        .where(f"ca < cb and 100 * ha >= {percent} * lb and 100 * hb >= {percent} * la")
-        .select(*at, "ca", "cb")
-    )
-    beside = materialize(beside, "component-pairs")
-    xs = rows.select(*at, F.col("comp").alias("ca"), F.col("node").alias("x"), F.col("n").alias("nx"))
-    ys = rows.select(*at, F.col("comp").alias("cb"), F.col("node").alias("y"), F.col("n").alias("ny"))
+    comps = rows.groupBy(*at, "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("most").alias("most"))
+    side = lambda x: comps.select(*at, *[F.col(c).alias(f"{c}_{x}") for c in ("comp", "low", "high", "most")])
+    sizes = f"100 * high_a >= {percent} * low_b and 100 * high_b >= {percent} * low_a"
+    common = f"{100 + percent} * least(most_a, most_b) >= {percent} * (low_a + low_b)"
+    beside = side("a").join(side("b"), at).where(f"comp_a < comp_b and {sizes} and {common}")
+    beside = materialize(beside.select(*at, "comp_a", "comp_b"), "component-pairs")
+    member = lambda x: rows.select(*at, *[F.col(c).alias(f"{c}_{x}") for c in ("comp", "node", "n", "most")])
     return (
-        beside.join(xs, [*at, "ca"])
-        .join(ys, [*at, "cb"])
-        .select(*_pair("x", "y", "nx", "ny", percent))
-        .where("fits")
-        .select("a", "b", "na", "nb")
+        beside.join(member("a"), [*at, "comp_a"])
+        .join(member("b"), [*at, "comp_b"])
+        .where(_fits(F.col("n_a"), F.col("n_b"), F.col("most_a"), F.col("most_b"), percent))
+        .select(*_pair("node_a", "node_b", "n_a", "n_b"))
         .distinct()
     )
 
