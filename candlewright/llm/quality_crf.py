@@ -29,7 +29,7 @@ from candlewright.llm.tokens import BLANK, hash_words, parts, text_bytes
 
 @dataclass(frozen=True)
 class CrfParams:
-    most_per_label: int = 3000
+    most_per_label: int = 2000
     steps: int = 120
     rate: float = 0.1
     decay: float = 1e-3
@@ -106,6 +106,19 @@ def read_lines(data: np.ndarray, offsets: np.ndarray) -> Lines:
     return Lines(np.concatenate([own, before, after], 1), size, bounds)
 
 
+def joined(runs: list[Lines]) -> Lines:
+    """The lines of several runs of texts as one."""
+    bounds, base = [np.zeros(1, np.int64)], 0
+    for r in runs:
+        bounds.append(r.bounds[1:] + base)
+        base += len(r.size)
+    return Lines(
+        np.concatenate([r.features for r in runs]),
+        np.concatenate([r.size for r in runs]),
+        np.concatenate(bounds),
+    )
+
+
 @dataclass(frozen=True)
 class CrfModel:
     mean: np.ndarray
@@ -190,8 +203,7 @@ def fit(rows: list[tuple[int, bytes]], counts: dict[int, int], params: CrfParams
     if not total or labels.min(initial=1) == labels.max(initial=0):
         return CrfModel(np.zeros(n), np.ones(n), np.zeros(n), 0.0, np.zeros((2, 2)), 1.0, 0.0, share, True)
     texts = [t for _, t in rows]
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    lines = read_lines(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    lines = joined([read_lines(data, offsets) for _, _, data, offsets in parts(pa.array(texts, pa.binary()))])
     sizes = np.diff(lines.bounds)
     owner = np.repeat(np.arange(len(rows)), sizes)
     y = labels[owner]

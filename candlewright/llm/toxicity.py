@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 @dataclass(frozen=True)
 class ToxicParams:
-    most_per_label: int = 4000
+    most_per_label: int = 2000
     #: Documents of the sample a word or beginning must occur in.
     min_docs: int = 5
     steps: int = 150
@@ -120,21 +121,24 @@ def fit(rows: list[tuple[int, str]], counts: dict[int, int], params: ToxicParams
     if not total or labels.min(initial=1) == labels.max(initial=0):
         return ToxicModel(0.0, {}, counts.get(1, 0) / total if total else 0.5)
     names: dict[str, int] = {}
-    words, lengths, owners = [], [], []
+    words, lengths, owners = array("i"), array("i"), array("i")
     for d, (_, text) in enumerate(rows):
         for s in SENTENCE.split(text.lower()):
             own = [f for w in sorted(set(WORD.findall(s))) for f in word_features(w)]
             if own:
-                words += [names.setdefault(w, len(names)) for w in own]
+                words.extend([names.setdefault(w, len(names)) for w in own])
                 lengths.append(len(own))
                 owners.append(d)
-    word, owner = np.array(words), np.array(owners)
-    of = np.repeat(np.arange(len(lengths)), lengths)
-    pairs = np.unique(word.astype(np.int64) * len(rows) + owner[of])
-    usual = np.bincount(pairs // len(rows), minlength=len(names)) >= params.min_docs
+    word, owner = np.frombuffer(words, np.int32), np.frombuffer(owners, np.int32)
+    of = np.repeat(np.arange(len(lengths), dtype=np.int32), np.frombuffer(lengths, np.int32))
+    pairs = word.astype(np.int64) * len(rows) + owner[of]
+    pairs.sort()
+    first = np.concatenate([[True], pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, bool)
+    usual = np.bincount(pairs[first] // len(rows), minlength=len(names)) >= params.min_docs
+    del pairs, first
     number = np.cumsum(usual) - 1
     keep = usual[word]
-    word, of = number[word[keep]], of[keep]
+    word, of = number[word[keep]].astype(np.int32), of[keep]
     n_words, n_sentences = int(usual.sum()), len(lengths)
     weight = np.array([counts[int(y)] / max(1, (labels == y).sum()) for y in labels])
     weight /= weight.sum()
