@@ -53,7 +53,8 @@ def order_intents(orders: DataFrame) -> DataFrame:
         F.col("time_in_force").isNull() | F.col("time_in_force").isin(*TIME_IN_FORCE)
     )
     extra = [c for c in orders.columns if c not in _ORDER_FIELDS]
-    return orders.where(F.abs("size") >= SMALLEST_SIZE).select(
+    whole = F.col("size").cast("bigint")
+    return orders.where(F.abs(whole) >= SMALLEST_SIZE).select(
         *extra,
         "product_id",
         F.col("size").cast("bigint").alias("size"),

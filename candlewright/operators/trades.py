@@ -81,8 +81,9 @@ def _rounded_capital(numbered: DataFrame, params: TradeParams) -> DataFrame:
                 if name != symbol:
                     symbol, capital = name, params.initial_capital
                 before.append(capital)
-                size = round(capital * params.leverage / entry, params.size_decimals)
-                if leave == leave:
+                # Without a usable price the trade changes nothing, as in the exact form.
+                if entry and entry == entry and leave == leave:
+                    size = round(capital * params.leverage / entry, params.size_decimals)
                     change = size * leave - size * entry
                     capital += change if kind == "long" else -change
             yield batch.assign(entry_capital=before)[columns]

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from candlewright.operators.index import bar_index
 from candlewright.schema import CANDLE, CANDLE_COLUMNS, OHLCV
 from candlewright.session import materialize
 
@@ -115,12 +114,11 @@ def latest_window(candles: DataFrame, limit: int = 500, bar_seconds: int = 60) -
 def latest_bars(candles: DataFrame, limit: int = 500) -> DataFrame:
     """The last ``limit`` candles of each symbol, however far back they reach.
 
-    Counts by bar position, so a long history is not sorted in one task for its tail.
+    Every task drops all but its own last ``limit`` rows of a symbol before the shuffle.
     """
-    indexed = bar_index(candles)
-    newest = _newest(indexed, "idx")
-    tail = indexed.join(newest, "symbol").where(F.col("idx") > F.col("_newest") - limit)
-    return tail.select(*CANDLE_COLUMNS)
+    backwards = Window.partitionBy("symbol").orderBy(F.desc("bar_ts"))
+    ranked = candles.withColumn("_back", F.row_number().over(backwards))
+    return ranked.where(F.col("_back") <= limit).select(*CANDLE_COLUMNS)
 
 
 def lookback_days(candles: DataFrame, days: int, as_of: str) -> DataFrame:

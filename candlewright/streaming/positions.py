@@ -27,16 +27,22 @@ POSITION = (
     "pnl double, exit_capital double, exit_reason string"
 )
 _TRADE_FIELDS = 12
+_EARLY = "bar_ts timestamp, close double, side string, n_copies bigint"
 
 
 class PositionProcessor(StatefulProcessor):
-    """Per bar: trail the stop and leave if it is hit, then act on the bar's signal."""
+    """Per bar: trail the stop and leave if it is hit, then act on the bar's signal.
+
+    Bars count from 0 without gaps. One that comes before its turn waits in the state until the bars
+    before it have come, in whatever files or batches they lie; one that comes again is passed over.
+    """
 
     def __init__(self, params: TradeParams):
         self.params = params
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.held = handle.getValueState("held", _STATE)
+        self.early = handle.getMapState("early", "idx bigint", _EARLY)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         p = self.params
@@ -47,13 +53,19 @@ class PositionProcessor(StatefulProcessor):
             cash = staked = float(p.initial_capital)
             last, number = -1, 0
         out = []
-        bars = pd.concat(list(rows)).sort_values("idx")
+        waited = {k[0]: v for k, v in self.early.iterator()}
+        waiting = dict(waited)
+        bars = pd.concat(list(rows))
         for idx, ts, close, side, copies in zip(
             bars["idx"], bars["bar_ts"], bars["close"], bars["side"], bars["n_copies"]
         ):
-            if idx <= last:
+            if idx > last:
+                waiting.setdefault(int(idx), (ts, close, side, int(copies)))
+        while last + 1 in waiting:
+            idx = last = last + 1
+            ts, close, side, copies = waiting.pop(idx)
+            if close is None or close != close:
                 continue
-            last = idx
             closed = (None,) * _TRADE_FIELDS
             stopped = False
             if pos == 1:
@@ -82,6 +94,13 @@ class PositionProcessor(StatefulProcessor):
                 number += 1
             equity = cash + (pos * (size * close - size * price) if pos else 0.0)
             out.append((key[0], idx, ts, pos, equity, *closed))
+        for idx in waited.keys() - waiting.keys():
+            self.early.removeKey((idx,))
+        for idx in waiting.keys() - waited.keys():
+            ts, close, side, copies = waiting[idx]
+            price_or_none = None if close is None or close != close else float(close)
+            side = side if isinstance(side, str) else None
+            self.early.updateValue((idx,), (ts, price_or_none, side, copies))
         self.held.update((pos, entry, entry_ts, price, stop, size, cash, staked, last, number))
         yield pd.DataFrame(out, columns=[f.split()[0] for f in POSITION.split(", ")])
 
@@ -93,9 +112,9 @@ def stream_positions(bars: DataFrame, params: TradeParams = TradeParams()) -> Da
     """Position and equity after every bar, and the trade a bar closed if it closed one.
 
     ``bars`` streams (symbol, idx, bar_ts, close, side, n_copies) as ``SignalStream`` writes them.
-    Bars without a price are passed over.
+    Bars without a price change nothing and give no row.
     """
-    rows = bars.where("close is not null").withColumn("bar_ts", F.col("bar_ts").cast("timestamp"))
+    rows = bars.withColumn("bar_ts", F.col("bar_ts").cast("timestamp"))
     return rows.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=PositionProcessor(params),
         outputStructType=POSITION,

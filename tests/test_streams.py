@@ -1,7 +1,9 @@
 """Streams give what the batch operators give."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
@@ -106,3 +108,37 @@ def test_repeated_candles_are_dropped(spark, tmp_path):
     polled = reader.parquet(str(tmp_path / "in"))
     got = to_parquet(stream_dedupe(polled, "60 days"), tmp_path, "once")
     assert got.count() == candles.count()
+
+
+@pytest.mark.parametrize("files", [1, 100])
+def test_positions_take_bars_in_any_order(spark, tmp_path, files):
+    rng, price, rows = random.Random(7), 100.0, []
+    for symbol in ("A", "B"):
+        for idx in range(40):
+            price *= 1 + rng.uniform(-0.03, 0.03)
+            side = rng.choice(["bull", "bear", None, None])
+            ts = dt.datetime(2024, 1, 1) + dt.timedelta(hours=idx)
+            close = None if idx == 17 else price
+            rows.append((symbol, idx, ts, close, side, int(side is not None)))
+    schema = "symbol string, idx bigint, bar_ts timestamp, close double, side string, n_copies bigint"
+
+    def run(parts, name, per_batch):
+        for part in parts:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        bars = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(f"{tmp_path}/{name}")
+        query = (
+            stream_positions(bars)
+            .writeStream.format("memory")
+            .queryName(f"positions_{name}_{per_batch}")
+            .option("checkpointLocation", f"{tmp_path}/state-{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination(240)
+        return sorted(map(str, spark.table(f"positions_{name}_{per_batch}").collect()))
+
+    mixed = list(rows)
+    rng.shuffle(mixed)
+    whole = run([rows], "ordered", 100)
+    assert len(whole) == 78
+    assert run([mixed[:25], mixed[25:50], mixed[45:]], "mixed", files) == whole
