@@ -90,8 +90,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     lines = F.col("_lines")
-    return split.select(
-        "doc",
+    found = F.struct(
         long(F.size("_words")).alias("n_words"),
         long(F.length(F.array_join("_words", ""))).alias("word_chars"),
         long(F.regexp_count(body, F.lit(SYMBOLS))).alias("n_symbols"),
@@ -104,6 +103,8 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         long(F.size(F.filter(lines, lambda x: x.rlike(r"[.!?][\x09-\x0D\x20]*$")))).alias("n_ended"),
         long(F.size(F.filter("_words", lambda x: x.rlike(PLAIN)))).alias("n_plain"),
     )
+    # A generated row is computed once; filters on measures are not pushed into their making.
+    return split.select("doc", F.inline(F.array(found)))
 
 
 def _vote(good: Column, bad: Column) -> Column:
