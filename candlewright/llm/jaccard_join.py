@@ -10,11 +10,13 @@ sets. Counts only rank tokens: a wrong count costs time, never a link.
 
 Equal sets are one node. The nodes of a token are cut into runs by size, where sizes leave a gap that
 no link can cross. Prefix tokens a node shares with no node of like size bound what it can have in
-common with any, which rules most pairs out. In a run, nodes are first compared with the node that
-shares most and with one other.
-What that links is one component, and only pairs of different components are compared after that, so
-a large group of near copies costs a few comparisons per text instead of all pairs, and any link
-between different components is still found.
+common with any, which rules most pairs out. In a run, nodes are first compared with its head, the
+node whose prefix most others share, and with one other. What that links is one component, and only pairs of
+different components are compared after that, so a large group of near copies costs a few comparisons
+per text instead of all pairs. Such pairs are found by what the two differ in from their head: at
+least one is not linked with it, so the differences must share tokens, and meet on prefixes again.
+Copies changed in different places have nothing there to share. Any link between different components
+is still found.
 
 Edge cases: a null, empty or blank text has an empty set, is linked with nothing, and forms its own
 component. Texts with fewer words than a 3-gram have the whole sequence as their only token. Rows
@@ -83,13 +85,17 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _order_key(tokens: np.ndarray, ranks: np.ndarray, order: int) -> np.ndarray:
+    """Sorts tokens by an order: rare ones first."""
+    rank = ranks[(tokens & np.uint64(len(ranks) - 1)).astype(np.int64)].astype(np.uint64)
+    return (rank << np.uint64(56)) | (mix(tokens ^ _STEPS[8 + order]) >> np.uint64(8))
+
+
 def _ranked(tokens: np.ndarray, ranks: np.ndarray, order: int, n: int) -> np.ndarray:
     """The first n tokens of an order."""
     if n >= len(tokens):
         return tokens
-    rank = ranks[(tokens & np.uint64(len(ranks) - 1)).astype(np.int64)].astype(np.uint64)
-    key = (rank << np.uint64(56)) | (mix(tokens ^ _STEPS[8 + order]) >> np.uint64(8))
-    return tokens[np.argpartition(key, n - 1)[:n]]
+    return tokens[np.argpartition(_order_key(tokens, ranks, order), n - 1)[:n]]
 
 
 def least_shared(n: int, percent: int) -> int:
@@ -217,11 +223,11 @@ def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFra
 
 
 def _meetings(signed: DataFrame, percent: int) -> DataFrame:
-    """`token, run, node, n, most`: nodes under their prefix tokens where another of like size is.
+    """`token, run, node, n, most, kin`: nodes under their prefix tokens where another of like size is.
 
     Runs of a token are cut where a size is too small for the next. A prefix token of a node that is
     not met in any run is shared with nothing it could be linked with, so of its n tokens at most
-    `most`, n less these, can be common with another.
+    `most`, n less these, can be common with another. `kin` grows with the nodes met on them.
     """
     rows = signed.select(F.explode("prefix").alias("token"), "node", "n")
     by_size = W.partitionBy("token").orderBy("n", "node")
@@ -237,15 +243,20 @@ def _meetings(signed: DataFrame, percent: int) -> DataFrame:
         rows.select("token", "run", "node", "n")
         .withColumn("lo", F.min("node").over(by_run))
         .withColumn("hi", F.max("node").over(by_run))
+        .withColumn("met", F.count("*").over(by_run))
         .where("lo <> hi")
-        .select("token", "run", "node", "n")
+        .select("token", "run", "node", "n", "met")
         .distinct()
     )
     rows = materialize(rows, "meetings")
-    met = rows.groupBy("node", "n").agg(F.count("*").alias("met"))
+    met = rows.groupBy("node", "n").agg(F.count("*").alias("met"), F.sum(F.log("met")).alias("logs"))
     longest = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
-    most = met.select("node", (F.col("n") - longest + F.col("met")).cast("bigint").alias("most"))
-    return rows.join(most, "node")
+    most = met.select(
+        "node",
+        (F.col("n") - longest + F.col("met")).cast("bigint").alias("most"),
+        (F.col("logs") / longest).cast("double").alias("kin"),
+    )
+    return rows.drop("met").join(most, "node")
 
 
 def _fits(na: Column, nb: Column, most_a: Column, most_b: Column, percent: int) -> Column:
@@ -266,38 +277,111 @@ def _pair(a: str, b: str, na: str, nb: str) -> list[Column]:
 
 
 def _star_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """Every node with the node of its run that has most in common with others, and with the last one."""
+    """Every node with the head of its run, and with the node of the largest number."""
     by_run = W.partitionBy("token", "run")
-    head = F.struct((F.col("n") - F.col("most")).alias("alone"), "node", "n", "most")
-    rows = shared.withColumn("lo", F.min(head).over(by_run)).withColumn("hi", F.max(F.struct("node", "n", "most")).over(by_run))
+    rows = shared.withColumn("head", F.max(_head()).over(by_run)).withColumn("last", F.max(F.struct("node", "n", "most")).over(by_run))
     pairs = [
         rows.where(F.col("node") != F.col(f"{end}.node"))
         .where(_fits(F.col("n"), F.col(f"{end}.n"), F.col("most"), F.col(f"{end}.most"), percent))
         .select(*_pair("node", f"{end}.node", "n", f"{end}.n"))
-        for end in ("lo", "hi")
+        for end in ("head", "last")
     ]
     return pairs[0].unionAll(pairs[1]).distinct()
 
 
-def _cross_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs that meet in a run and lie in different components."""
-    rows = (
-        shared.join(labels, "node", "left")
-        .select("token", "run", "node", "n", "most", F.coalesce("label", "node").alias("comp"))
+def _head() -> Column:
+    """Orders the nodes of a run: its head, the largest, is the one whose prefix most others share."""
+    return F.struct("kin", "node", "n", "most")
+
+
+def _spokes(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """`a, b, n, comp`: nodes `a` of runs with several components, with the run's head `b`."""
+    rows = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
+    rows = materialize(rows.select("token", "run", "node", "n", "most", "kin", "comp"), "members")
+    runs = rows.groupBy("token", "run").agg(
+        F.max(_head())["node"].alias("head"),
+        F.min("n").alias("low"),
+        F.max("most").alias("top"),
+        F.min("comp").alias("one"),
+        F.max("comp").alias("other"),
     )
-    rows = materialize(rows, "members")
-    at = ["token", "run"]
-    comps = rows.groupBy(*at, "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("most").alias("most"))
-    side = lambda x: comps.select(*at, *[F.col(c).alias(f"{c}_{x}") for c in ("comp", "low", "high", "most")])
-    sizes = f"100 * high_a >= {percent} * low_b and 100 * high_b >= {percent} * low_a"
-    common = f"{100 + percent} * least(most_a, most_b) >= {percent} * (low_a + low_b)"
-    beside = side("a").join(side("b"), at).where(f"comp_a < comp_b and {sizes} and {common}")
-    beside = materialize(beside.select(*at, "comp_a", "comp_b"), "component-pairs")
-    member = lambda x: rows.select(*at, *[F.col(c).alias(f"{c}_{x}") for c in ("comp", "node", "n", "most")])
+    common = f"{100 + percent} * least(most, top) >= {percent} * (n + greatest(low, {percent} * n / 100))"
     return (
-        beside.join(member("a"), [*at, "comp_a"])
-        .join(member("b"), [*at, "comp_b"])
-        .where(_fits(F.col("n_a"), F.col("n_b"), F.col("most_a"), F.col("most_b"), percent))
+        rows.join(runs.where("one <> other"), ["token", "run"])
+        .where("node <> head")
+        .where(common)
+        .select(F.col("node").alias("a"), F.col("head").alias("b"), "n", "comp")
+        .distinct()
+    )
+
+
+def slack(n: int, m: int, percent: int) -> int:
+    """Sets of n and m tokens that reach the similarity differ in at most so many."""
+    return (n + m) * (100 - percent) // (100 + percent)
+
+
+def _differences(spokes: DataFrame, sets: DataFrame, ranks, params: JoinParams) -> DataFrame:
+    """`head, token, node, n, comp, size, at`: the prefix of what each node differs in from its head.
+
+    Two nodes differ in what is in one of these differences only. `at` is the place of the token,
+    `size` the number of all of them.
+    """
+    percent = params.percent
+    columns = ["head", "token", "node", "n", "comp", "size", "at"]
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, head, n, comp, members, x, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                tokens = np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)
+                most = slack(n, 100 * n // percent, percent)
+                size = len(tokens)
+                # From the place p on, size - p tokens are left to be shared with a difference of one
+                # token or more, and of size - most or more.
+                length = min(most, (size + most - 1) // 2) + 1
+                # In how many differences from this head a token is, by what its rank class tells.
+                key = _order_key(tokens, ranks.value, 0)
+                count = np.exp2((key >> np.uint64(56)).astype(np.float64))
+                lacking = np.isin(tokens, np.frombuffer(y, np.uint64))
+                count[lacking] = np.maximum(members - count[lacking], members / 16)
+                own = tokens[np.lexsort((key, count))[:length]]
+                k = len(own)
+                same = [np.full(k, v, np.int64) for v in (node, n, comp, size)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (np.full(k, head, np.int64), own.view(np.int64), *same, np.arange(k))],
+                    columns,
+                )
+
+    spokes = spokes.join(spokes.groupBy("b").agg(F.count("*").alias("members")), "b")
+    both = _beside(spokes, sets, "tokens").select("a", "b", "n", "comp", "members", "x", "y")
+    return both.mapInArrow(differ, ", ".join(f"{c} bigint" for c in columns))
+
+
+def _cross_pairs(spokes: DataFrame, sets: DataFrame, ranks, params: JoinParams) -> DataFrame:
+    """Pairs with a head in common that lie in different components.
+
+    One of the two is then not linked with the head. With D the difference from the head, i and j
+    differ in |D(i)| + |D(j)| tokens less twice the common ones of D(i) and D(j). If these had none in
+    common, i and j could only be similar if both were similar to the head; so they share some, and
+    at the first shared one enough are left in both.
+    """
+    percent = params.percent
+    rows = _differences(spokes, sets, ranks, params).withColumn(
+        "limit", F.col("size") - 2 * F.col("at") + F.expr(f"(n + 100 * n div {percent}) * {100 - percent} div {100 + percent}")
+    )
+    rows = materialize(rows, "differences")
+    at = ["head", "token"]
+    small = rows.groupBy(*at).agg(F.min("size").alias("least"), F.max("limit").alias("most"))
+    rows = rows.join(small, at).where("size <= most and least <= limit").drop("least", "most")
+    comps = rows.groupBy(*at).agg(F.min("comp").alias("one"), F.max("comp").alias("other"))
+    rows = materialize(rows.join(comps.where("one <> other").select(*at), at, "left_semi"), "differences")
+    side = lambda x: rows.select(*at, *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "comp", "size", "at")])
+    room = f"(n_a + n_b) * {100 - percent} div {100 + percent}"
+    return (
+        side("a")
+        .join(side("b"), at)
+        .where("node_a < node_b and comp_a <> comp_b")
+        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        .where(f"size_b <= size_a - 2 * at_a + {room} and size_a <= size_b - 2 * at_b + {room}")
         .select(*_pair("node_a", "node_b", "n_a", "n_b"))
         .distinct()
     )
@@ -435,19 +519,24 @@ def groups(
     signed = materialize(signatures(docs, ranks, params, text), "signatures")
     shared = materialize(_meetings(signed, params.percent), "meetings")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        near = _candidates(pairs, signed, params)
-        sets = materialize(_sets_of(docs, keys, near, params, id_col, text), "sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        return materialize(_sets_of(docs, keys, pairs, params, id_col, text), "sets")
+
+    def links(near: DataFrame, sets: DataFrame) -> DataFrame:
         both = _beside(near, sets, "tokens").select("a", "b", "x", "y")
         return materialize(both.mapInArrow(_similar(params.percent), "a bigint, b bigint"), "links")
 
     stars = materialize(_star_pairs(shared, params.percent), "pairs")
-    found = links(stars)
+    near = _candidates(stars, signed, params)
+    found = links(near, sets_of(near))
     labels = components(found)
-    more = _cross_pairs(shared, labels, params.percent).join(stars, ["a", "b"], "left_anti")
-    more = materialize(more, "pairs")
-    if not more.isEmpty():
-        labels = components(found.unionAll(links(more)))
+    spokes = materialize(_spokes(shared, labels, params.percent), "spokes")
+    if not spokes.isEmpty():
+        sets = sets_of(spokes)
+        more = _cross_pairs(spokes, sets, ranks, params).join(stars, ["a", "b"], "left_anti")
+        more = materialize(more, "pairs")
+        if not more.isEmpty():
+            labels = components(found.unionAll(links(_candidates(more, signed, params), sets)))
 
     named = (
         keys.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))

@@ -193,6 +193,15 @@ def families(rng):
             for _ in range(rng.randrange(4)):
                 copy[rng.randrange(len(copy))] = f"w{rng.randrange(900)}"
             rows.append(" ".join(copy[: len(copy) - rng.randrange(3)]))
+    # A group without its middle, around the similarity; some share their changes.
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+    changes = [(rng.randrange(150), f"v{k}") for k in range(25)]
+    for _ in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([1, 1, 2, 2, 3, 4, 6])):
+            at, word = rng.choice(changes) if rng.random() < 0.4 else (rng.randrange(150), f"x{rng.random()}")
+            copy[at] = word
+        rows.append(" ".join(copy[rng.randrange(2) :]))
     return rows + ["", "a", "A", "a b", "a b c"]
 
 
