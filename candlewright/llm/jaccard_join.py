@@ -51,6 +51,8 @@ class JoinParams:
     marks: int = 1 << 22
 
 
+#: Bits in one of Spark's bitmaps.
+_BUCKET = 1 << 15
 _STEPS = mix(np.arange(1, 64, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -389,34 +391,27 @@ def _cross_pairs(spokes: DataFrame, sets: DataFrame, ranks, params: JoinParams)
 
 def _marked(values: DataFrame, params: JoinParams):
     """A table of bits, of fixed size, in which the numbers of a column `x` are marked."""
-    marks = params.marks
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(marks, np.uint8)
-        for batch in batches:
-            table[_places(batch.column(0).to_numpy(), marks)] = 1
-        for block, data in blocks.split(table):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(["marks"]), pa.array([block], pa.int32()), pa.array([data], pa.binary())],
-                ["name", "block", "data"],
-            )
-
-    found = materialize(values.mapInArrow(mark, "name string, block int, data binary"), "marks")
-    table = blocks.gathered(blocks.summed(found, "uint8"), marks).get("marks", np.zeros(marks))
-    return values.sparkSession.sparkContext.broadcast(np.packbits(table > 0))
-
-
-def _places(x: np.ndarray, marks: int) -> np.ndarray:
-    return (mix(x.view(np.uint64)) & np.uint64(marks - 1)).astype(np.int64)
+    place = F.col("x").bitwiseAND(F.lit(params.marks - 1)) + 1
+    parts = (
+        values.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        .collect()
+    )
+    table = np.zeros((max(params.marks // _BUCKET, 1), _BUCKET // 8), np.uint8)
+    for row in parts:
+        table[row["part"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return values.sparkSession.sparkContext.broadcast((table.reshape(-1), params.marks))
 
 
-def _hit(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
-    at = _places(x, 8 * len(bits))
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+def _hit(marked: tuple[np.ndarray, int], x: np.ndarray) -> np.ndarray:
+    bits, marks = marked
+    at = x & np.int64(marks - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
 
 
 def _beside(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
@@ -435,7 +430,7 @@ def _common(x: bytes, y: bytes) -> int:
 
 def _candidates(pairs: DataFrame, signed: DataFrame, params: JoinParams) -> DataFrame:
     """Pairs whose longer prefixes share enough under every further order."""
-    bits, percent = _marked(_ends(pairs), params), params.percent
+    bits, percent = _marked(_ends(pairs).select(F.col("node").alias("x")), params), params.percent
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -536,7 +531,8 @@ def groups(
         more = _cross_pairs(spokes, sets, ranks, params).join(stars, ["a", "b"], "left_anti")
         more = materialize(more, "pairs")
         if not more.isEmpty():
-            labels = components(found.unionAll(links(_candidates(more, signed, params), sets)))
+            known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+            labels = components(known.unionAll(links(_candidates(more, signed, params), sets)))
 
     named = (
         keys.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))
