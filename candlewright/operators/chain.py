@@ -3,17 +3,21 @@
 Each node has a position and the position from which the next node may be taken. The first
 node of a key is taken; after taking a node, the next one is the first node at or beyond its
 ``next``. This is inherently a walk, but a block of nodes acts on the walk as a step function:
-"arrive with threshold t, leave with threshold f(t)". The steps of a block are themselves such
-nodes, only far fewer, so the walk is done once over steps of steps and then repeated inside
-the blocks it really enters, all of them in parallel.
+"arrive with threshold t, leave with threshold f(t)". Only thresholds that nodes of other blocks
+have, or that skip to the block's first node, ever arrive, so few steps per block are needed even
+where every bar is a node. The steps are themselves such nodes: the walk is done once over
+steps of steps and then repeated inside the blocks it really enters, all of them in parallel.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewright.operators.scan import div
 from candlewright.params import ChunkParams
+from candlewright.session import materialize
 
 
 def _grouped(nodes: DataFrame, key: str, width: int | None) -> DataFrame:
@@ -25,26 +29,45 @@ def _grouped(nodes: DataFrame, key: str, width: int | None) -> DataFrame:
     )
 
 
-def _steps(grouped: DataFrame, key: str) -> DataFrame:
-    """The step function of every block: arriving at or before ``pos`` leaves at ``next``.
+def _steps(nodes: DataFrame, key: str, width: int) -> DataFrame:
+    """The step function of every block, at the thresholds that can arrive in it.
 
-    Built from the last node backwards; neighbours that leave at the same place are one step.
+    Arriving at or before ``pos``, and after the step before, the walk leaves at ``next``.
     """
-    end = F.element_at("nodes", -1)["pos"]
-    empty = F.expr("cast(array() as array<struct<pos:bigint,next:bigint>>)")
-
-    def extend(steps: Column, node: Column) -> Column:
-        hit = F.element_at(F.filter(steps, lambda s: s["pos"] >= node["next"]), -1)["next"]
-        leaves = F.when(node["next"] > end, node["next"]).otherwise(hit)
-        same = F.coalesce(F.try_element_at(steps, F.lit(-1))["next"] == leaves, F.lit(False))
-        step = F.struct(node["pos"].alias("pos"), leaves.alias("next"))
-        return F.when(same, steps).otherwise(F.concat(steps, F.array(step)))
-
-    backwards = F.transform(
-        F.reverse("nodes"), lambda n: F.struct(n["pos"].alias("pos"), n["next"].alias("next"))
+    block, landing = div(F.col("pos"), width), div(F.col("next"), width)
+    own = nodes.select(key, block.alias("block"), "pos", "next", F.lit(False).alias("arrives"))
+    arriving = (
+        nodes.where(landing > block)
+        .select(key, landing.alias("block"), F.col("next").alias("pos"), "next")
+        .distinct()
+        .withColumn("arrives", F.lit(True))
+    )
+
+    def step_table(rows: pd.DataFrame) -> pd.DataFrame:
+        inside = rows[~rows["arrives"]].sort_values("pos")
+        if inside.empty:
+            return inside[[key, "pos", "next"]]
+        pos = inside["pos"].to_numpy()
+        after = np.searchsorted(pos, inside["next"].to_numpy()).tolist()
+        leaves = inside["next"].tolist()
+        for n in range(len(pos) - 1, -1, -1):
+            if after[n] < len(pos):
+                leaves[n] = leaves[after[n]]
+        reached = np.searchsorted(pos, rows.loc[rows["arrives"], "pos"].to_numpy())
+        steps = np.unique(np.append(reached[reached < len(pos)], 0))
+        left = np.array(leaves, dtype="int64")[steps]
+        # Neighbours that leave at the same place are one step.
+        ends = np.append(left[1:] != left[:-1], True)
+        return pd.DataFrame(
+            {key: rows[key].iloc[0], "pos": pos[steps][ends], "next": left[ends]}
+        )
+
+    kind = nodes.schema[key].dataType.simpleString()
+    return (
+        own.unionByName(arriving)
+        .groupBy(key, "block")
+        .applyInPandas(step_table, f"`{key}` {kind}, pos bigint, next bigint")
     )
-    folded = grouped.select(key, F.aggregate(backwards, empty, extend).alias("steps"))
-    return folded.select(key, F.inline("steps"))
 
 
 def _walk(grouped: DataFrame, key: str, arrivals: DataFrame | None) -> DataFrame:
@@ -52,7 +75,8 @@ def _walk(grouped: DataFrame, key: str, arrivals: DataFrame | None) -> DataFrame
     if arrivals is None:
         entered = grouped.withColumn("arrive", F.lit(-1).cast("bigint"))
     else:
-        entered = grouped.join(arrivals, [key, "block"])
+        here = (F.col("block") == F.col("_block")) & F.col(key).eqNullSafe(F.col("_key"))
+        entered = grouped.join(arrivals, here)
     node_type = grouped.schema["nodes"].dataType.elementType.simpleString()
     none = F.expr(f"cast(array() as array<struct<arrive:bigint,node:{node_type}>>)")
     start = F.struct(F.col("arrive").alias("t"), none.alias("taken"))
@@ -71,8 +95,11 @@ def _walk(grouped: DataFrame, key: str, arrivals: DataFrame | None) -> DataFrame
 def follow_chain(
     df: DataFrame, key: str, pos: str, nxt: str, chunks: ChunkParams = ChunkParams()
 ) -> DataFrame:
-    """Rows of ``df`` on the chain. Positions are unique per key and ``nxt`` exceeds ``pos``."""
-    widths = [chunks.size, chunks.size * chunks.fan][: chunks.levels()]
+    """Rows of ``df`` on the chain. Positions are unique per key and ``nxt`` exceeds ``pos``.
+
+    Runs two jobs that write the steps of blocks and of groups of blocks. ``df`` is read
+    several times; write it first where it is costly.
+    """
     nodes = df.select(
         key,
         F.col(pos).cast("bigint").alias("pos"),
@@ -81,14 +108,15 @@ def follow_chain(
     )
     levels = []
     level = nodes
-    for width in widths:
-        grouped = _grouped(level, key, width)
-        levels.append((grouped, width))
-        level = _steps(grouped, key)
+    for width in (chunks.size, chunks.size * chunks.fan):
+        levels.append((_grouped(level, key, width), width))
+        level = materialize(_steps(level, key, width), "steps")
 
     taken = _walk(_grouped(level, key, None), key, None)
     for grouped, width in reversed(levels):
-        arrivals = taken.select(key, div(F.col("pos"), width).alias("block"), "arrive")
+        arrivals = taken.select(
+            F.col(key).alias("_key"), div(F.col("pos"), width).alias("_block"), "arrive"
+        )
         taken = _walk(grouped, key, arrivals)
     return taken.select(
         *[

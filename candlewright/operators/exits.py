@@ -265,6 +265,10 @@ def _coarser(signals: DataFrame, fan: int | None) -> DataFrame:
     )
 
 
+# Chunks of bars, and groups of chunks.
+_LEVELS = 2
+
+
 def first_exit(
     indexed: DataFrame,
     signals: DataFrame,
@@ -303,22 +307,21 @@ def first_exit(
         F.when(F.col("side") == "bull", 1).otherwise(-1).alias("side"),
         "n_copies",
     )
-    levels = chunks.levels()
-    rows, marks = [bars], [materialize(bar_signals, "signals") if levels else bar_signals]
-    for level in range(levels):
-        fan = chunks.fan if level + 1 < levels else None
+    rows, marks = [bars], [materialize(bar_signals, "signals")]
+    for level in range(_LEVELS):
+        fan = chunks.fan if level + 1 < _LEVELS else None
         finer = rows[-1] if level else spans
         rows.append(materialize(_summaries(finer, params, fan), "summaries"))
         marks.append(_coarser(marks[-1], fan))
 
     missed = F.col("hit") < 0
     in_chunk = _scan_blocks(bars, _signal_marks(marks[0]), True, True, params)
-    found = [materialize(in_chunk, "exits") if levels else in_chunk]
+    found = [materialize(in_chunk, "exits")]
 
     # Upwards: which chunk, then which group of chunks, ends the entries still open?
     unit = div(F.col("entry"), chunks.size)
-    for level in range(1, levels + 1):
-        fan = chunks.fan if level < levels else None
+    for level in range(1, _LEVELS + 1):
+        fan = chunks.fan if level < _LEVELS else None
         waiting = _entry_marks(found[-1].where(missed), unit, _upper_block(unit, fan))
         seen = _signal_marks(marks[level]).union(waiting)
         found.append(
@@ -326,18 +329,16 @@ def first_exit(
         )
         unit = div(unit, chunks.fan)
     # Downwards: which chunk of that group, and which bar of that chunk?
-    result = found[0]
-    if levels:
-        coming = None
-        for level in range(levels, 0, -1):
-            hits = found[level].where(~missed)
-            hits = hits if coming is None else hits.union(coming)
-            landed = _entry_marks(hits, F.lit(-1).cast("bigint"), F.col("hit"))
-            landed = materialize(landed, "landed")
-            here = _signal_marks(marks[level - 1]).join(landed, ["symbol", "block"], "left_semi")
-            within = rows[level - 1].join(landed, ["symbol", "block"], "left_semi")
-            coming = _scan_blocks(within, here.union(landed), False, level == 1, params)
-        result = found[0].where(~missed).union(coming).union(found[-1].where(missed))
+    coming = None
+    for level in range(_LEVELS, 0, -1):
+        hits = found[level].where(~missed)
+        hits = hits if coming is None else hits.union(coming)
+        landed = _entry_marks(hits, F.lit(-1).cast("bigint"), F.col("hit"))
+        landed = materialize(landed, "landed")
+        here = _signal_marks(marks[level - 1]).join(landed, ["symbol", "block"], "left_semi")
+        within = rows[level - 1].join(landed, ["symbol", "block"], "left_semi")
+        coming = _scan_blocks(within, here.union(landed), False, level == 1, params)
+    result = found[0].where(~missed).union(coming).union(found[-1].where(missed))
 
     newest = indexed.groupBy("symbol").agg(
         F.max("idx").alias("last_idx"),

@@ -10,7 +10,8 @@ from candlewright.operators.scan import div, running
 def bar_index(candles: DataFrame) -> DataFrame:
     """Add ``idx``, the 0-based position of a bar in its symbol's time order.
 
-    Candles must be unique on (symbol, bar_ts). One calendar day of one symbol is the unit of
+    Candles must be unique on (symbol, bar_ts); those without a time come first, those without
+    a symbol form a history of their own. One calendar day of one symbol is the unit of
     work; a table that already has ``idx`` is returned as it is, so that an indexed table can
     be written once and reused.
     """
@@ -18,7 +19,7 @@ def bar_index(candles: DataFrame) -> DataFrame:
         return candles
     dated = candles.withColumn("_day", F.unix_date(F.to_date("bar_ts")))
     numbered = running(
-        dated, ["symbol"], "_day", ["bar_ts"], {"_n": ("sum", F.lit(1).cast("bigint"))}, levels=1
+        dated, ["symbol"], "_day", ["bar_ts"], {"_n": ("sum", F.lit(1).cast("bigint"))}
     )
     return numbered.withColumn("idx", F.col("_n") - 1).drop("_n", "_day")
 

@@ -111,9 +111,18 @@ def cancel_intents(orders: DataFrame) -> DataFrame:
     return orders.select("id", "product_id")
 
 
+_PRICES = ("limit_price", "stop_price", "trail_amount")
+
+
+def price_text(price: Column) -> Column:
+    """A price in plain digits, at most eight after the point."""
+    return F.regexp_replace(price.cast("decimal(38,8)").cast("string"), r"\.?0+$", "")
+
+
 def order_json(orders: DataFrame, fields: list[str]) -> DataFrame:
-    """Add ``body``: the order as compact JSON, fields that are null left out."""
-    return orders.withColumn("body", F.to_json(F.struct(*fields)))
+    """Add ``body``: the order as compact JSON, prices as text, fields that are null left out."""
+    shown = [price_text(F.col(c)).alias(c) if c in _PRICES else F.col(c) for c in fields]
+    return orders.withColumn("body", F.to_json(F.struct(*shown)))
 
 
 def order_batches(

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _START = Window.unboundedPreceding
+# Stands for a missing block: before every other one.
+_FIRST_BLOCK = -(1 << 62)
 
 
 def div(value: Column, by: int) -> Column:
@@ -55,91 +57,85 @@ def running(
     *,
     inclusive: bool = True,
     fan: int = 1024,
-    levels: int = 2,
     peers: bool = False,
 ) -> DataFrame:
     """Add one running column per entry of ``values``: name -> (kind, value).
 
-    ``block`` is an integer column that never decreases along ``order`` inside a key.
-    ``levels`` 2: ``fan`` blocks form a group whose totals are carried in a second step, so no
-    task sees more than ``fan`` totals or one total per group. 1: the blocks of a key are few
-    (calendar days) and carried in one step. 0: every key is a single block.
+    ``block`` is an integer column that never decreases along ``order`` inside a key; rows
+    without one come first. ``fan`` blocks form a group whose totals are carried in a second
+    step, so no task sees more than ``fan`` totals or one total per group. A null in the key
+    is a value like any other: blocks are matched on keys without nulls made from it.
     ``peers``: rows that share an ``order`` value see each other's values too.
     """
+    names = [f"_key_{n}" for n in range(len(key))]
+    nulls = sum((F.when(F.isnull(k), 1 << n).otherwise(0) for n, k in enumerate(key)), F.lit(0))
+    keys = [*names, "_nulls"]
+    place = [*keys, "_place"]
+    rows = df.select(
+        "*",
+        *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(n) for n, k in zip(names, key)],
+        nulls.alias("_nulls"),
+        F.coalesce(F.col(block).cast("bigint"), F.lit(_FIRST_BLOCK)).alias("_place"),
+    )
     upto = 0 if inclusive else -1
-    ordered = Window.partitionBy(*key, block).orderBy(*order)
+    ordered = Window.partitionBy(*place).orderBy(*order)
     in_block = ordered.rangeBetween(_START, 0) if peers else ordered.rowsBetween(_START, upto)
     named = list(values.items())
-    with_inner = df.select(
+    with_inner = rows.select(
         "*",
         *[
             _over_rows(kind, value).over(in_block).alias(f"_in_{name}")
             for name, (kind, value) in named
         ],
     )
-    if levels == 0:
-        return with_inner.withColumnsRenamed({f"_in_{name}": name for name in values})
 
-    source = df
+    source = rows
     if all(kind == "last" for kind, _ in values.values()):
         seen = F.lit(False)
         for _, (_, value) in named:
             seen = seen | value.isNotNull()
-        source = df.where(seen)
-    totals = source.groupBy(*key, block).agg(
+        source = rows.where(seen)
+    totals = source.groupBy(*place).agg(
         *[_block_total(kind, value, order).alias(f"_t_{name}") for name, (kind, value) in named]
     )
     if all(kind == "last" for kind, _ in values.values()):
         # Blocks without any value need a carried one too.
-        totals = df.select(*key, block).distinct().join(totals, [*key, block], "left")
-
-    if levels == 1:
-        before = Window.partitionBy(*key).orderBy(block).rowsBetween(_START, -1)
-        carried = totals.select(
-            *key,
-            block,
-            *[
-                _over_rows(kind, F.col(f"_t_{name}")).over(before).alias(f"_c_{name}")
-                for name, (kind, _) in named
-            ],
-        )
-    else:
-        totals = totals.withColumn("_group", div(F.col(block), fan))
-        in_group = Window.partitionBy(*key, "_group").orderBy(block).rowsBetween(_START, -1)
-        groups = Window.partitionBy(*key).orderBy("_group").rowsBetween(_START, -1)
-        group_totals = totals.groupBy(*key, "_group").agg(
-            *[
-                _block_total(kind, F.col(f"_t_{name}"), [block]).alias(f"_g_{name}")
-                for name, (kind, _) in named
-            ]
-        )
-        group_carry = group_totals.select(
-            *key,
-            "_group",
-            *[
-                _over_rows(kind, F.col(f"_g_{name}")).over(groups).alias(f"_gc_{name}")
-                for name, (kind, _) in named
-            ],
-        )
-        near = totals.select(
-            *key,
-            block,
-            "_group",
-            *[
-                _over_rows(kind, F.col(f"_t_{name}")).over(in_group).alias(f"_n_{name}")
-                for name, (kind, _) in named
-            ],
-        )
-        carried = near.join(group_carry, [*key, "_group"]).select(
-            *key,
-            block,
-            *[
-                _join_values(kind, F.col(f"_gc_{name}"), F.col(f"_n_{name}")).alias(f"_c_{name}")
-                for name, (kind, _) in named
-            ],
-        )
-
-    joined = with_inner.join(carried, [*key, block])
+        totals = rows.select(*place).distinct().join(totals, place, "left")
+
+    totals = totals.withColumn("_group", div(F.col("_place"), fan))
+    in_group = Window.partitionBy(*keys, "_group").orderBy("_place").rowsBetween(_START, -1)
+    groups = Window.partitionBy(*keys).orderBy("_group").rowsBetween(_START, -1)
+    group_totals = totals.groupBy(*keys, "_group").agg(
+        *[
+            _block_total(kind, F.col(f"_t_{name}"), ["_place"]).alias(f"_g_{name}")
+            for name, (kind, _) in named
+        ]
+    )
+    group_carry = group_totals.select(
+        *keys,
+        "_group",
+        *[
+            _over_rows(kind, F.col(f"_g_{name}")).over(groups).alias(f"_gc_{name}")
+            for name, (kind, _) in named
+        ],
+    )
+    near = totals.select(
+        *place,
+        "_group",
+        *[
+            _over_rows(kind, F.col(f"_t_{name}")).over(in_group).alias(f"_n_{name}")
+            for name, (kind, _) in named
+        ],
+    )
+    carried = near.join(group_carry, [*keys, "_group"]).select(
+        *place,
+        *[
+            _join_values(kind, F.col(f"_gc_{name}"), F.col(f"_n_{name}")).alias(f"_c_{name}")
+            for name, (kind, _) in named
+        ],
+    )
+
+    joined = with_inner.join(carried, place)
     return joined.select(
         *[joined[c] for c in df.columns],
         *[

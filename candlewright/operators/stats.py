@@ -72,14 +72,11 @@ def trade_drawdown(trades: DataFrame, chunks: ChunkParams = ChunkParams()) -> Da
         "exit_capital",
         chunks.trade_block,
         chunks.fan,
-        chunks.levels(chunks.trade_block),
     )
 
 
 def equity_drawdown(equity: DataFrame, chunks: ChunkParams = ChunkParams()) -> DataFrame:
-    return running_drawdown(
-        equity, ["symbol"], "idx", "equity", chunks.size, chunks.fan, chunks.levels()
-    )
+    return running_drawdown(equity, ["symbol"], "idx", "equity", chunks.size, chunks.fan)
 
 
 def max_drawdown(with_drawdown: DataFrame) -> DataFrame:

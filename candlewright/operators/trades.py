@@ -53,7 +53,6 @@ def _compound(taken: DataFrame, params: TradeParams, chunks: ChunkParams) -> Dat
         },
         inclusive=False,
         fan=chunks.fan,
-        levels=chunks.levels(chunks.trade_block),
     )
     return counted.select(
         *taken.columns,
@@ -182,7 +181,6 @@ def _position_per_bar(indexed: DataFrame, trade_table: DataFrame, chunks: ChunkP
         ["idx"],
         {"now": ("last", F.col("event"))},
         fan=chunks.fan,
-        levels=chunks.levels(),
         peers=True,
     ).where("bar_ts is not null")
 
@@ -241,7 +239,6 @@ def trailing_stop(
         ["idx"],
         {"_top": ("max", F.col("close")), "_low": ("min", F.col("close"))},
         fan=chunks.fan,
-        levels=chunks.levels(),
     )
     first = initial_stop(F.col("entry_price"), side_sign(), params.stop_pct)
     stop = F.when(
@@ -259,7 +256,6 @@ def running_drawdown(
     value: str,
     block: int,
     fan: int = 1024,
-    levels: int = 2,
 ) -> DataFrame:
     """Add ``peak`` (highest value so far) and ``drawdown_pct`` (how far below it)."""
     with_peak = running(
@@ -269,7 +265,6 @@ def running_drawdown(
         [order],
         {"peak": ("max", F.col(value))},
         fan=fan,
-        levels=levels,
     ).drop("_block")
     fall = F.try_divide(F.col(value) - F.col("peak"), F.col("peak")) * 100
     return with_peak.withColumn("drawdown_pct", fall)

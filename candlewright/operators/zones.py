@@ -16,6 +16,7 @@ from candlewright.operators.indicators import (
 from candlewright.operators.scan import running
 from candlewright.params import ChunkParams, ZoneParams
 from candlewright.schema import ZONE_COLUMNS
+from candlewright.session import materialize
 
 # Averages summed in another order differ in the last bits; that is not a trend.
 SAME_WITHIN = 1e-12
@@ -130,7 +131,7 @@ def order_blocks(
     candles: DataFrame, params: ZoneParams = ZoneParams(), chunks: ChunkParams = ChunkParams()
 ) -> DataFrame:
     """Zones (symbol, side, trigger_idx, start_idx, top, bot) of a full scan."""
-    candidates = zone_candidates(candles, params, chunks)
+    candidates = materialize(zone_candidates(candles, params, chunks), "candidates")
     return min_distance_thin(candidates, params.min_distance, chunks).select(*ZONE_COLUMNS)
 
 
@@ -182,7 +183,6 @@ def zone_active_bars(
         ["idx"],
         {"active_bull": ("sum", F.col("_bull")), "active_bear": ("sum", F.col("_bear"))},
         fan=chunks.fan,
-        levels=chunks.levels(),
         peers=True,
     ).where("bar_ts is not null")
     return counted.select("symbol", "idx", "bar_ts", "active_bull", "active_bear")

@@ -53,9 +53,6 @@ ROUNDED_STUDY = TradeParams(size_decimals=8, stop_reason="trailing_stop", stop_c
 class ChunkParams:
     """How a long history is cut: bars per chunk, and chunks per second-level group.
 
-    ``longest`` is the length in bars of the longest history, where it has been measured. It
-    only saves steps: a history that fits one chunk needs nothing carried between chunks.
-
     A chunk with its rim of neighbours stays below the 4096 rows that Spark keeps in memory
     per window group before it turns to a sorter that spills.
     """
@@ -63,11 +60,3 @@ class ChunkParams:
     size: int = 3968
     fan: int = 1024
     trade_block: int = 1 << 18
-    longest: int | None = None
-
-    def levels(self, width: int | None = None) -> int:
-        """Steps needed above blocks of ``width`` bars: none, over blocks, over groups too."""
-        width = width or self.size
-        if self.longest is None or self.longest > width * self.fan:
-            return 2
-        return 1 if self.longest > width else 0

@@ -5,10 +5,9 @@ Tables that later steps use more than once are written to the shared folder once
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from candlewright.operators import exits as exit_ops
 from candlewright.operators import indicators as indicator_ops
@@ -23,9 +22,8 @@ from candlewright.session import materialize
 class Study:
     """One candle table under one setting. Nothing runs before a result is asked for.
 
-    Where histories are longer than a chunk, steps refer to their input several times and the
-    input is written first. Shorter ones run as one query; ``keep`` writes their steps too, for
-    callers that ask for many results.
+    Steps refer to their input several times, so the input is written first. Candles without a
+    symbol or a time have no place in a history; ``candle_rejects`` lists them.
     """
 
     def __init__(
@@ -34,31 +32,19 @@ class Study:
         zone_params: ZoneParams = ZoneParams(),
         trade_params: TradeParams = TradeParams(),
         chunks: ChunkParams = ChunkParams(),
-        keep: bool = False,
     ):
         self.candles = candles
         self.zone_params = zone_params
         self.trade_params = trade_params
-        self._chunks = chunks
-        self._keep = keep
-
-    def _kept(self, df: DataFrame, label: str) -> DataFrame:
-        return materialize(df, label) if self._keep or self.chunks.levels() else df
+        self.chunks = chunks
 
     @cached_property
     def bars(self) -> DataFrame:
         """Candles with their position. A table that already has ``idx`` is used in place."""
         if "idx" in self.candles.columns:
             return self.candles
-        return materialize(bar_index(self.candles), "bars")
-
-    @cached_property
-    def chunks(self) -> ChunkParams:
-        """Chunking, told how long the longest history is."""
-        if self._chunks.longest is not None:
-            return self._chunks
-        last = self.bars.agg(F.max("idx")).first()[0]
-        return replace(self._chunks, longest=0 if last is None else last + 1)
+        placed = self.candles.where("symbol is not null and bar_ts is not null")
+        return materialize(bar_index(placed), "bars")
 
     @cached_property
     def indicators(self) -> DataFrame:
@@ -67,7 +53,7 @@ class Study:
     @cached_property
     def candidates(self) -> DataFrame:
         found = zone_ops.zone_candidates(self.bars, self.zone_params, self.chunks)
-        return self._kept(found, "candidates")
+        return materialize(found, "candidates")
 
     @cached_property
     def zones(self) -> DataFrame:
@@ -75,18 +61,18 @@ class Study:
         thinned = zone_ops.min_distance_thin(
             self.candidates, self.zone_params.min_distance, self.chunks
         )
-        return self._kept(thinned.select(*zone_ops.ZONE_COLUMNS), "zones")
+        return materialize(thinned.select(*zone_ops.ZONE_COLUMNS), "zones")
 
     @cached_property
     def exits(self) -> DataFrame:
         """Every possible entry with its exit."""
         signals = zone_ops.signal_bars(self.zones, self.trade_params.entry_at)
         found = exit_ops.first_exit(self.bars, signals, self.trade_params, self.chunks)
-        return self._kept(found, "exits")
+        return materialize(found, "exits")
 
     @cached_property
     def taken(self) -> DataFrame:
-        return self._kept(trade_ops.nonoverlapping_trades(self.exits, self.chunks), "taken")
+        return materialize(trade_ops.nonoverlapping_trades(self.exits, self.chunks), "taken")
 
     @cached_property
     def trades(self) -> DataFrame:

@@ -16,9 +16,25 @@ ENVELOPE = (
 )
 
 
-def read_candles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A candle table with the declared schema; partition columns prune files."""
-    return spark.read.schema(CANDLE).format(fmt).load(path)
+def read_candles(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    resolution: str = "1m",
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """Candles of one resolution out of a table that ``write_candles`` wrote.
+
+    A range of time reads only the folders of its days.
+    """
+    table = spark.read.schema(f"{CANDLE}, resolution string, date date").format(fmt).load(path)
+    picked = table.where(F.col("resolution") == resolution)
+    if start is not None:
+        picked = picked.where(F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        picked = picked.where(F.col("date") <= F.lit(end).cast("date"))
+    return candle_scan(picked, None, start, end)
 
 
 def candle_scan(
@@ -153,8 +169,8 @@ def read_candle_csv(spark: SparkSession, path: str, symbol: str | Column) -> Dat
 
 
 def candle_rejects(candles: DataFrame) -> DataFrame:
-    """Rows that name no time."""
-    return candles.where("bar_ts is null")
+    """Rows that name no time or no symbol."""
+    return candles.where("bar_ts is null or symbol is null")
 
 
 def history_page(
@@ -168,3 +184,11 @@ def history_page(
     if after is not None:
         page = page.where(F.col(key) > after)
     return page.orderBy(key).limit(page_size)
+
+
+def page_cursor(page: DataFrame, key: str, page_size: int = 100) -> DataFrame:
+    """Rows of a page and the key the next one goes on from, null after a page that is not full."""
+    full = F.count(F.lit(1)) == page_size
+    return page.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.when(full, F.max(key)).alias("next_after")
+    )

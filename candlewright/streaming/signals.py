@@ -8,7 +8,6 @@ last bars, the next position, and the position from which another zone may be tr
 from __future__ import annotations
 
 import os
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +15,7 @@ from candlewright.operators.index import bar_index
 from candlewright.operators.indicators import LOOKBACK
 from candlewright.operators.zones import min_distance_thin, signal_bars, zone_candidates
 from candlewright.params import ChunkParams, ZoneParams
-from candlewright.schema import CANDLE, CANDLE_COLUMNS, ZONE_COLUMNS
+from candlewright.schema import CANDLE, CANDLE_COLUMNS, OHLCV, ZONE_COLUMNS
 from candlewright.session import materialize, scratch_path
 from candlewright.sources.sinks import write_batch
 
@@ -27,10 +26,14 @@ _STATE = (
 
 
 class SignalStream:
-    """``foreachBatch`` target. Folders below ``path``: ``state``, ``zones``, ``bars``.
+    """``foreachBatch`` target. Folders below ``path``: ``state``, ``zones``, ``bars``,
+    ``late``.
 
     Each batch writes a folder of its own and reads the state of the batch before, so a batch
-    that is run again gives the same rows.
+    that is run again gives the same rows. Of two versions of a candle in one batch the greatest
+    by its values counts. ``late`` holds candles at or before the newest known one that are not
+    among the bars kept from before (they came too late, or repeat older history), and candles
+    without a symbol or a time.
     """
 
     def __init__(
@@ -43,8 +46,7 @@ class SignalStream:
         self.spark = spark
         self.path = path
         self.params = params
-        # A batch holds few chunks of a symbol: one step of carrying between them is enough.
-        self.chunks = replace(chunks, longest=chunks.size * chunks.fan)
+        self.chunks = chunks
         self.keep = max(LOOKBACK, params.trend_period) + 2
 
     def folder(self, name: str) -> str:
@@ -68,12 +70,17 @@ class SignalStream:
             (F.max("idx") + 1).alias("_next_idx"),
             F.max("next_trigger").alias("_next_trigger"),
         )
-        # A candle at or before the newest known one was polled before.
-        unseen = (
-            incoming.dropDuplicates(["symbol", "bar_ts"])
-            .join(known, "symbol", "left")
-            .where("_seen_ts is null or bar_ts > _seen_ts")
+        single = incoming.groupBy("symbol", "bar_ts").agg(F.max(F.struct(*OHLCV)).alias("_c"))
+        polled = single.select("symbol", "bar_ts", "_c.*").join(known, "symbol", "left")
+        # A candle at or before the newest known one was polled before, or comes too late.
+        fits = F.expr(
+            "symbol is not null and bar_ts is not null and (_seen_ts is null or bar_ts > _seen_ts)"
         )
+        unseen = polled.where(fits)
+        late = polled.where(~fits).join(
+            state.select("symbol", "bar_ts"), ["symbol", "bar_ts"], "left_anti"
+        )
+        write_batch(late.select(*CANDLE_COLUMNS), self.folder("late"), batch_id)
         numbered = bar_index(unseen.select(*CANDLE_COLUMNS)).join(
             known.select("symbol", "_next_idx"), "symbol", "left"
         )

@@ -19,7 +19,7 @@ from candlewright.plans.study import Study
 from candlewright.schema import CANDLE, EQUITY_COLUMNS, TRADE_COLUMNS, ZONE_COLUMNS
 from candlewright.sources import candles as sources
 
-SHORT = ChunkParams(longest=100)
+SHORT = ChunkParams(size=64, fan=2)
 START = dt.datetime(2024, 1, 1)
 
 

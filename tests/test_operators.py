@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -17,12 +18,15 @@ from candlewright.operators.trades import (
 )
 from candlewright.operators.zones import order_blocks
 from candlewright.params import TRADING, ChunkParams, TradeParams
+from candlewright.schema import CANDLE
 from candlewright.session import materialize
+from candlewright.sources.candles import read_candles
+from candlewright.sources.sinks import write_candles
 
 CUTS = [
     ChunkParams(size=16, fan=3, trade_block=20),
-    ChunkParams(size=64, fan=2, trade_block=64, longest=128),
-    ChunkParams(longest=300),
+    ChunkParams(size=64, fan=2, trade_block=64),
+    ChunkParams(),
 ]
 SERIES, BARS = 60, 200
 
@@ -33,13 +37,13 @@ def test_running_equals_plain_window(spark):
     df = spark.createDataFrame(rows, "k string, i bigint, x double").withColumn("b", F.expr("i div 7"))
     kinds = ("sum", "max", "min", "product", "last")
     x = F.col("x")
-    for inclusive, levels in ((True, 1), (True, 2), (False, 2)):
+    for inclusive in (True, False):
         values = {kind: (kind, x) for kind in kinds}
         got = running(
-            df, ["k"], "b", ["i"], values, inclusive=inclusive, levels=levels, fan=5
+            df, ["k"], "b", ["i"], values, inclusive=inclusive, fan=5
         )
         alone = running(
-            df, ["k"], "b", ["i"], {"last": ("last", x)}, inclusive=inclusive, levels=levels, fan=5
+            df, ["k"], "b", ["i"], {"last": ("last", x)}, inclusive=inclusive, fan=5
         )
         assert alone.exceptAll(got.select(alone.columns)).count() == 0
         w = Window.partitionBy("k").orderBy("i").rowsBetween(
@@ -197,7 +201,7 @@ def test_chunked_indicators_equal_whole_windows(random_candles, size):
         assert row.swing_high == int(peak)
 
 
-@pytest.mark.parametrize("cut", [ChunkParams(size=64, fan=2), ChunkParams(longest=300)])
+@pytest.mark.parametrize("cut", [ChunkParams(size=64, fan=2), ChunkParams()])
 def test_order_blocks_equal_the_walk(random_candles, cut):
     candles, want = random_candles
     got = {}
@@ -209,3 +213,51 @@ def test_order_blocks_equal_the_walk(random_candles, cut):
         total += len(found)
         assert got.get(symbol, set()) == set(found), symbol
     assert total > 50
+
+
+def test_nulls_are_keys_of_their_own(spark):
+    rows = [(k, i, 1) for k in ("a", None) for i in [None, *range(12)]]
+    df = spark.createDataFrame(rows, "k string, i bigint, x bigint").withColumn("b", F.expr("i div 3"))
+    got = running(df, ["k"], "b", ["i"], {"n": ("sum", F.col("x"))}, fan=2).collect()
+    assert sorted((str(r.k), -1 if r.i is None else r.i, r.n) for r in got) == [
+        (k, i, i + 2) for k in ("None", "a") for i in range(-1, 12)
+    ]
+
+
+@pytest.mark.parametrize("share", [0.2, 1.0])
+def test_chain_equals_the_walk(spark, share):
+    rng = random.Random(3)
+    rows = [
+        (key, pos, pos + (10 if share == 1.0 else rng.choice([1, 7, 300])))
+        for key in ("a", "b", None)
+        for pos in range(1200)
+        if rng.random() < share
+    ]
+    want = []
+    for key in ("a", "b", None):
+        free = 0
+        for k, pos, nxt in rows:
+            if k == key and pos >= free:
+                want.append((str(k), pos, nxt))
+                free = nxt
+    df = spark.createDataFrame(rows, "k string, at bigint, then bigint")
+    for cut in (ChunkParams(size=16, fan=3), ChunkParams()):
+        got = follow_chain(df, "k", "at", "then", cut).collect()
+        assert sorted((str(r.k), r.at, r.then) for r in got) == sorted(want)
+
+
+def test_candle_table_reads_only_its_days(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A/B", start + dt.timedelta(hours=h), *[float(h)] * 5) for h in range(72)]
+    table = spark.createDataFrame(rows, CANDLE)
+    path = str(tmp_path / "candles")
+    write_candles(table, path, "1h")
+    write_candles(table.where("hour(bar_ts) = 0"), path, "1d")
+    write_candles(table.where("day(bar_ts) = 2"), path, "1h")
+    got = read_candles(spark, path, resolution="1h", start="2024-01-02 05:00:00", end="2024-01-02 23:00:00")
+    assert {r.open for r in got.collect()} == {float(h) for h in range(29, 48)}
+    assert {r.symbol for r in got.collect()} == {"A/B"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(resolution" in plan and "date#" in plan.split("PartitionFilters")[1][:200]
+    assert read_candles(spark, path, resolution="1h").count() == 72
+    assert read_candles(spark, path, resolution="1d").count() == 3

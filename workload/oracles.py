@@ -369,6 +369,15 @@ from trades where exit_reason <> 'end_of_data'""",
         "select o_orderkey, o_orderpriority, o_totalprice from orders "
         "where o_orderkey > 250 and o_orderpriority in ('1-URGENT', '2-HIGH') order by o_orderkey limit 100"
     ),
+    "history_cursor": (
+        "select count(*) as n_rows, case when count(*) = 100 then max(o_orderkey) end as next_after from "
+        "(select o_orderkey from orders where o_orderkey > 100 and o_orderstatus = 'F' order by o_orderkey limit 100)"
+    ),
+    "candle_table": _q(
+        CANDLES,
+        "select symbol, bar_ts, open, high, low, close, volume from candles where bar_ts between "
+        "timestamp '2024-01-10 03:00:00' and timestamp '2024-01-12 06:00:00'",
+    ),
     "trade_sink": _TRADED["trades"],
     "equity_sink": _TRADED["equity"],
     "head_tail": _q(
@@ -620,7 +629,9 @@ from placed group by product_id, place // 5""",
     "order_json": _q(
         INTENTS,
         """select l_orderkey, l_linenumber, '{"product_id":' || product_id || ',"size":' || size || ',"side":"' || side
-  || '","order_type":"' || order_type || '"' || coalesce(',"time_in_force":"' || time_in_force || '"', '')
+  || '","order_type":"' || order_type || '"'
+  || coalesce(',"limit_price":"' || regexp_replace(cast(cast(limit_price as decimal(28,8)) as varchar), '\\.?0+$', '') || '"', '')
+  || coalesce(',"time_in_force":"' || time_in_force || '"', '')
   || ',"post_only":"' || post_only || '","reduce_only":"' || reduce_only || '"}' as body from intents""",
     ),
     "cancel_intents": "select l_orderkey as id, l_partkey as product_id from lineitem",
@@ -658,3 +669,9 @@ from shown, (values ('entry'), ('exit')) as v(kind)""",
     ),
     "round_to_tick": f"select p_partkey, {_tick('t005', '0.05', 2)},{_tick('t05', '0.5', 1)},{_tick('t1', '1', 1)} from part",
 }
+
+# The same rows, whatever the size of the chunks.
+ORACLES |= {
+    f"{name}_chunked": ORACLES[name]
+    for name in ("order_blocks", "first_exit", "trades", "equity", "trailing_stop", "max_drawdown")
+}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,6 +25,8 @@ from candlewright.streaming import candles as streams
 from candlewright.streaming import positions, signals
 
 TRIGGER_STUDY = TradeParams(entry_at="trigger")
+# Chunks so small that short histories span many of them, and many groups of them.
+SMALL = ChunkParams(size=64, fan=3, trade_block=16)
 
 _kept: dict[tuple, object] = {}
 
@@ -48,18 +51,22 @@ def candles(spark: SparkSession, sf_dir: str, resolution: str = "1h") -> DataFra
 
 
 def study(
-    spark: SparkSession, sf_dir: str, trade_params: TradeParams = STUDY, resolution: str = "1h"
+    spark: SparkSession,
+    sf_dir: str,
+    trade_params: TradeParams = STUDY,
+    resolution: str = "1h",
+    chunks: ChunkParams = ChunkParams(),
 ) -> Study:
     def build() -> Study:
         table = candles(spark, sf_dir, resolution)
-        made = Study(table, TRADING, trade_params, ChunkParams(), keep=True)
+        made = Study(table, TRADING, trade_params, chunks)
         if trade_params != STUDY:
             # The same bars and zones serve every way of trading them.
-            base = study(spark, sf_dir, STUDY, resolution)
-            made.bars, made.chunks, made.zones = base.bars, base.chunks, base.zones
+            base = study(spark, sf_dir, STUDY, resolution, chunks)
+            made.bars, made.zones = base.bars, base.zones
         return made
 
-    return _once(spark, ("study", sf_dir, resolution, trade_params), build)
+    return _once(spark, ("study", sf_dir, resolution, trade_params, chunks), build)
 
 
 def rounded(df: DataFrame, **decimals: int) -> DataFrame:
@@ -204,16 +211,30 @@ def fills_page(spark, sf_dir):
 
 def trade_sink(spark, sf_dir):
     path = scratch_path(spark, "trade_sink")
-    sinks.write_by_symbol(study(spark, sf_dir).trades, path)
+    sinks.write_by_symbol(study(spark, sf_dir).trades, path, "entry_time")
     return _trade_columns(spark.read.parquet(path))
 
 
 def equity_sink(spark, sf_dir):
     path = scratch_path(spark, "equity_sink")
-    sinks.write_by_symbol(study(spark, sf_dir).equity, path)
+    sinks.write_by_symbol(study(spark, sf_dir).equity, path, "bar_ts")
     return _equity_columns(spark.read.parquet(path))
 
 
+def candle_table(spark, sf_dir):
+    """Two resolutions in one table, and a range of one of them read back."""
+    path = scratch_path(spark, "candle_table")
+    sinks.write_candles(candles(spark, sf_dir), path, "1h")
+    sinks.write_candles(resample_candles(candles(spark, sf_dir, "15m"), "4h"), path, "4h")
+    return candle_sources.read_candles(
+        spark, path, resolution="1h", start="2024-01-10 03:00:00", end="2024-01-12 06:00:00"
+    )
+
+
+def history_cursor(spark, sf_dir):
+    return candle_sources.page_cursor(history_page(spark, sf_dir), "o_orderkey", 100)
+
+
 def head_tail(spark, sf_dir):
     return candle_sources.head_tail(candles(spark, sf_dir))
 
@@ -290,8 +311,8 @@ def min_distance_thin(spark, sf_dir):
     )
 
 
-def order_blocks(spark, sf_dir):
-    s = study(spark, sf_dir)
+def order_blocks(spark, sf_dir, chunks=ChunkParams()):
+    s = study(spark, sf_dir, chunks=chunks)
     return zone_ops.order_blocks(s.bars, TRADING, s.chunks)
 
 
@@ -350,22 +371,22 @@ def _equity_columns(equity: DataFrame) -> DataFrame:
     return rounded(equity, equity=6).select("symbol", "idx", "bar_ts", "position", "equity")
 
 
-def trades(params: TradeParams = STUDY):
+def trades(params: TradeParams = STUDY, chunks: ChunkParams = ChunkParams()):
     def query(spark, sf_dir):
-        return _trade_columns(study(spark, sf_dir, params).trades)
+        return _trade_columns(study(spark, sf_dir, params, chunks=chunks).trades)
 
     return query
 
 
-def equity(params: TradeParams = STUDY):
+def equity(params: TradeParams = STUDY, chunks: ChunkParams = ChunkParams()):
     def query(spark, sf_dir):
-        return _equity_columns(study(spark, sf_dir, params).equity)
+        return _equity_columns(study(spark, sf_dir, params, chunks=chunks).equity)
 
     return query
 
 
-def first_exit(spark, sf_dir):
-    return rounded(study(spark, sf_dir).exits, last_stop=8).select(
+def first_exit(spark, sf_dir, chunks=ChunkParams()):
+    return rounded(study(spark, sf_dir, chunks=chunks).exits, last_stop=8).select(
         "symbol", "entry_idx", "type", "n_copies", "exit_idx", "exit_kind", "last_stop"
     )
 
@@ -390,8 +411,8 @@ def initial_stop(spark, sf_dir):
     return t.select("symbol", "trade_no", F.round(value, 8).alias("initial_stop"))
 
 
-def trailing_stop(spark, sf_dir):
-    return rounded(study(spark, sf_dir).stops, trailing_stop=8).select(
+def trailing_stop(spark, sf_dir, chunks=ChunkParams()):
+    return rounded(study(spark, sf_dir, chunks=chunks).stops, trailing_stop=8).select(
         "symbol", "trade_no", "idx", "close", "trailing_stop"
     )
 
@@ -469,8 +490,8 @@ def running_drawdown(spark, sf_dir):
     return d.select("symbol", "trade_no", "peak", "drawdown_pct")
 
 
-def max_drawdown(spark, sf_dir):
-    s = study(spark, sf_dir)
+def max_drawdown(spark, sf_dir, chunks=ChunkParams()):
+    s = study(spark, sf_dir, chunks=chunks)
     d = stats.max_drawdown(stats.equity_drawdown(s.equity, s.chunks))
     return rounded(d, max_drawdown_pct=5)
 
@@ -582,7 +603,10 @@ def order_batches(spark, sf_dir):
 
 def order_json(spark, sf_dir):
     intents = order_intents(spark, sf_dir)
-    fields = ["product_id", "size", "side", "order_type", "time_in_force", "post_only", "reduce_only"]
+    fields = [
+        "product_id", "size", "side", "order_type", "limit_price", "time_in_force", "post_only",
+        "reduce_only",
+    ]
     return order_ops.order_json(intents, fields).select("l_orderkey", "l_linenumber", "body")
 
 
@@ -692,12 +716,16 @@ def stream_candles(spark, sf_dir):
     return rounded(_to_folder(spark, bars, "stream_candles"), volume=4)
 
 
-def _candle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All candles in four files, one week after the other, one file per micro-batch."""
+def _candle_stream(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """All candles in four files, one week after the other, one file per micro-batch.
+
+    ``again``: every file also repeats the week before its own.
+    """
     base = candles(spark, sf_dir)
     path = scratch_path(spark, "candle_stream")
     weeks = ["2000-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2100-01-01"]
-    for start, end in zip(weeks, weeks[1:]):
+    starts = [weeks[0], *weeks] if again else weeks
+    for start, end in zip(starts, weeks[1:]):
         week = base.where(
             (F.col("bar_ts") >= F.lit(start).cast("timestamp_ntz"))
             & (F.col("bar_ts") < F.lit(end).cast("timestamp_ntz"))
@@ -708,8 +736,8 @@ def _candle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark, sf_dir):
-    """Every candle arrives twice."""
-    twice = _candle_stream(spark, sf_dir).withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    """Every candle arrives twice in its batch, and again in the next one."""
+    twice = _candle_stream(spark, sf_dir, again=True).withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
     once = streams.stream_dedupe(twice.drop("n"), "30 days")
     return _to_folder(spark, once, "stream_dedupe").select(*CANDLE_COLUMNS)
 
@@ -778,6 +806,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candles_from_ticks_15m": candles_from_ticks_15m,
     "history_page": history_page,
     "fills_page": fills_page,
+    "history_cursor": history_cursor,
+    "candle_table": candle_table,
     "trade_sink": trade_sink,
     "equity_sink": equity_sink,
     "head_tail": head_tail,
@@ -819,6 +849,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "equity": equity(),
     "equity_rounded": equity(ROUNDED_STUDY),
     "equity_at_trigger": equity(TRIGGER_STUDY),
+    "order_blocks_chunked": partial(order_blocks, chunks=SMALL),
+    "first_exit_chunked": partial(first_exit, chunks=SMALL),
+    "trades_chunked": trades(STUDY, SMALL),
+    "equity_chunked": equity(STUDY, SMALL),
+    "trailing_stop_chunked": partial(trailing_stop, chunks=SMALL),
+    "max_drawdown_chunked": partial(max_drawdown, chunks=SMALL),
     "initial_stop": initial_stop,
     "trailing_stop": trailing_stop,
     "compounding_capital": trade_part("entry_capital", "exit_capital"),
