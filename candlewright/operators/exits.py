@@ -337,7 +337,9 @@ def first_exit(
         landed = materialize(landed, "landed")
         here = _signal_marks(marks[level - 1]).join(landed, ["symbol", "block"], "left_semi")
         within = rows[level - 1].join(landed, ["symbol", "block"], "left_semi")
-        coming = _scan_blocks(within, here.union(landed), False, level == 1, params)
+        coming = materialize(
+            _scan_blocks(within, here.union(landed), False, level == 1, params), "exits"
+        )
     result = found[0].where(~missed).union(coming).union(found[-1].where(missed))
 
     newest = indexed.groupBy("symbol").agg(

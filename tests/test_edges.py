@@ -17,6 +17,7 @@ from candlewright.operators.zones import order_blocks
 from candlewright.params import TRADING, ChunkParams, TradeParams
 from candlewright.plans.study import Study
 from candlewright.schema import CANDLE, EQUITY_COLUMNS, TRADE_COLUMNS, ZONE_COLUMNS
+from candlewright.session import materialize
 from candlewright.sources import candles as sources
 
 SHORT = ChunkParams(size=64, fan=2)
@@ -36,8 +37,9 @@ def marks(spark, *rows):
 
 def walk(spark, closes, *signals, params=TradeParams()):
     table = bars(spark, closes)
-    exits = first_exit(table, marks(spark, *signals), params, SHORT)
-    trades = compounding_trades(nonoverlapping_trades(exits, SHORT), params, SHORT)
+    exits = materialize(first_exit(table, marks(spark, *signals), params, SHORT), "exits")
+    taken = materialize(nonoverlapping_trades(exits, SHORT), "taken")
+    trades = compounding_trades(taken, params, SHORT)
     return [
         (t.type, t.entry_idx, t.exit_idx, t.exit_reason) for t in trades.orderBy("trade_no").collect()
     ]
@@ -232,8 +234,9 @@ def test_texts(spark):
 def test_leverage_and_equity_at_exit(spark):
     params = TradeParams(leverage=3.0)
     table = bars(spark, [100.0, 100.0, 104.0, 101.0, 101.0])
-    exits = first_exit(table, marks(spark, (1, "bull", 1)), params, SHORT)
-    trades = compounding_trades(nonoverlapping_trades(exits, SHORT), params, SHORT)
+    exits = materialize(first_exit(table, marks(spark, (1, "bull", 1)), params, SHORT), "exits")
+    taken = materialize(nonoverlapping_trades(exits, SHORT), "taken")
+    trades = materialize(compounding_trades(taken, params, SHORT), "trades")
     trade = trades.first()
     assert trade.exit_capital == pytest.approx(103.0) and trade.return_pct == pytest.approx(3.0)
     line = equity_curve(table, trades, params, SHORT).orderBy("idx").collect()
