@@ -13,10 +13,11 @@ no link can cross. Prefix tokens a node shares with no node of like size bound w
 common with any, which rules most pairs out. In a run, nodes are first compared with its head, the
 node whose prefix most others share, and with one other. What that links is one component, and only pairs of
 different components are compared after that, so a large group of near copies costs a few comparisons
-per text instead of all pairs. Such pairs are found by what the two differ in from their head: at
+per text instead of all pairs. Where a run has few such pairs for its nodes, they go through the
+filters as they are. Elsewhere they are found by what the two differ in from their head: at
 least one is not linked with it, so the differences must share tokens, and meet on prefixes again.
-Copies changed in different places have nothing there to share. Any link between different components
-is still found.
+Copies changed in different places have nothing there to share. Either way finds any link between
+different components; the choice is one of cost only.
 
 Edge cases: a null, empty or blank text has an empty set, is linked with nothing, and forms its own
 component. Texts with fewer words than a 3-gram have the whole sequence as their only token. Rows
@@ -49,6 +50,8 @@ class JoinParams:
     orders: int = 3
     #: Bits of the table that marks texts to read again; a power of two.
     marks: int = 1 << 22
+    #: Pairs of different components that a run may have per node to be paired as it is.
+    few: int = 8
 
 
 #: Bits in one of Spark's bitmaps.
@@ -296,22 +299,56 @@ def _head() -> Column:
     return F.struct("kin", "node", "n", "most")
 
 
-def _spokes(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """`a, b, n, comp`: nodes `a` of runs with several components, with the run's head `b`."""
+def _crossing(shared: DataFrame, labels: DataFrame, params: JoinParams) -> DataFrame:
+    """`token, run, node, n, most, comp, head, few`: nodes of runs with several components.
+
+    `head` is the run's, `few` tells whether the run has few pairs of different components.
+    """
+    percent, at = params.percent, ["token", "run"]
     rows = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
-    rows = materialize(rows.select("token", "run", "node", "n", "most", "kin", "comp"), "members")
-    runs = rows.groupBy("token", "run").agg(
-        F.max(_head())["node"].alias("head"),
+    rows = materialize(rows.select(*at, "node", "n", "most", "kin", "comp"), "members")
+    by_comp = rows.groupBy(*at, "comp").agg(
+        F.max(_head()).alias("head"),
         F.min("n").alias("low"),
         F.max("most").alias("top"),
-        F.min("comp").alias("one"),
-        F.max("comp").alias("other"),
+        F.count("*").alias("nodes"),
     )
+    runs = by_comp.groupBy(*at).agg(
+        F.max("head")["node"].alias("head"),
+        F.min("low").alias("low"),
+        F.max("top").alias("top"),
+        F.count("*").alias("comps"),
+        F.sum("nodes").alias("nodes"),
+        F.sum(F.col("nodes").cast("double") * F.col("nodes")).alias("within"),
+    )
+    pairs = (F.col("nodes").cast("double") * F.col("nodes") - F.col("within")) / 2
+    runs = runs.where("comps > 1").withColumn("few", pairs <= params.few * F.col("nodes"))
     common = f"{100 + percent} * least(most, top) >= {percent} * (n + greatest(low, {percent} * n / 100))"
     return (
-        rows.join(runs.where("one <> other"), ["token", "run"])
-        .where("node <> head")
+        rows.join(runs.select(*at, "head", "low", "top", "few"), at)
         .where(common)
+        .select(*at, "node", "n", "most", "comp", "head", "few")
+    )
+
+
+def _plain_pairs(crossing: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in runs that have few of them."""
+    rows = crossing.where("few")
+    side = lambda x: rows.select("token", "run", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "most", "comp")])
+    return (
+        side("a")
+        .join(side("b"), ["token", "run"])
+        .where("node_a < node_b and comp_a <> comp_b")
+        .where(_fits(F.col("n_a"), F.col("n_b"), F.col("most_a"), F.col("most_b"), percent))
+        .select(*_pair("node_a", "node_b", "n_a", "n_b"))
+        .distinct()
+    )
+
+
+def _spokes(crossing: DataFrame) -> DataFrame:
+    """`a, b, n, comp`: nodes `a` of the other runs, with the run's head `b`."""
+    return (
+        crossing.where("not few and node <> head")
         .select(F.col("node").alias("a"), F.col("head").alias("b"), "n", "comp")
         .distinct()
     )
@@ -525,14 +562,19 @@ def groups(
     near = _candidates(stars, signed, params)
     found = links(near, sets_of(near))
     labels = components(found)
-    spokes = materialize(_spokes(shared, labels, params.percent), "spokes")
-    if not spokes.isEmpty():
-        sets = sets_of(spokes)
-        more = _cross_pairs(spokes, sets, ranks, params).join(stars, ["a", "b"], "left_anti")
-        more = materialize(more, "pairs")
-        if not more.isEmpty():
-            known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = components(known.unionAll(links(_candidates(more, signed, params), sets)))
+    crossing = materialize(_crossing(shared, labels, params), "crossing")
+    plain = _plain_pairs(crossing, params.percent).join(stars, ["a", "b"], "left_anti")
+    near = _candidates(materialize(plain, "pairs"), signed, params)
+    spokes = materialize(_spokes(crossing), "spokes")
+    wanted = spokes.select("a", "b").unionAll(near)
+    if not wanted.isEmpty():
+        sets = sets_of(wanted)
+        if not spokes.isEmpty():
+            more = _cross_pairs(spokes, sets, ranks, params).join(stars, ["a", "b"], "left_anti")
+            more = _candidates(materialize(more, "pairs"), signed, params)
+            near = near.unionAll(more).distinct()
+        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = components(known.unionAll(links(near, sets)))
 
     named = (
         keys.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("least"))

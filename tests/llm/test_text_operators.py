@@ -219,8 +219,10 @@ def test_similarity_groups_equal_brute_force(spark):
                 low, high = sorted((label[a], label[b]))
                 label = [low if x == high else x for x in label]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    got = {r["id"]: (r["n"], r["component"]) for r in jaccard_join.groups(docs).collect()}
-    assert got == {k: (len(sets[k]), label[k]) for k in range(len(rows))}
+    for few in (0, 8):  # either way to pairs of different components
+        params = jaccard_join.JoinParams(few=few)
+        got = {r["id"]: (r["n"], r["component"]) for r in jaccard_join.groups(docs, params).collect()}
+        assert got == {k: (len(sets[k]), label[k]) for k in range(len(rows))}
 
 
 def test_long_prefixes_meet_for_similar_sets():
