@@ -9,8 +9,9 @@ be shared; a pair goes on only if it meets this under every order, and is then v
 sets. Counts only rank tokens: a wrong count costs time, never a link.
 
 Equal sets are one node. The nodes of a token are cut into runs by size, where sizes leave a gap that
-no link can cross. Prefix tokens a node shares with no node of like size bound what it can have in
-common with any, which rules most pairs out. In a run, nodes are first compared with its head, the
+no link can cross. A prefix token that no other prefix of like size has is in no set whose own prefix
+reaches further in the order. So of two nodes, the one whose prefix ends first has at most its other
+tokens in common with the other, which rules most pairs out. In a run, nodes are first compared with its head, the
 node whose prefix most others share, and with one other. What that links is one component, and only pairs of
 different components are compared after that, so a large group of near copies costs a few comparisons
 per text instead of all pairs. Where a run has few such pairs for its nodes, they go through the
@@ -185,9 +186,9 @@ def _spread(keys: DataFrame, params: JoinParams) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFrame:
-    """`node, n, prefix, others`: the prefix tokens of the first order, and longer ones of the others.
+    """`node, n, last, prefix, others`: the prefix tokens of the first order, and longer ones of the others.
 
-    A node has a row per task that met it.
+    `last` is where the prefix ends in the first order. A node has a row per task that met it.
     """
     size, percent, orders = params.size, params.percent, params.orders
 
@@ -195,7 +196,7 @@ def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFra
         table, known = ranks.value, set()
         for batch in batches:
             for sets in token_sets(batch.column(0), size):
-                nodes, sizes, prefixes, others = [], [], [], []
+                nodes, sizes, lasts, prefixes, others = [], [], [], [], []
                 for s in sets:
                     if not len(s):
                         continue
@@ -206,6 +207,7 @@ def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFra
                     nodes.append(node)
                     sizes.append(len(s))
                     prefixes.append(_ranked(s, table, 0, prefix_length(len(s), percent)))
+                    lasts.append(int(_order_key(prefixes[-1], table, 0).max()))
                     others.append([long_prefix(s, table, k, percent) for k in range(1, orders)])
                 if len(known) > 1_000_000:  # this only saves repeats
                     known.clear()
@@ -216,25 +218,27 @@ def signatures(docs: DataFrame, ranks, params: JoinParams, text: str) -> DataFra
                         [
                             pa.array(nodes, pa.int64()),
                             pa.array(sizes, pa.int64()),
+                            pa.array(lasts, pa.int64()),
                             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                             pa.array(others, pa.list_(pa.binary())),
                         ],
-                        ["node", "n", "prefix", "others"],
+                        ["node", "n", "last", "prefix", "others"],
                     )
 
     return docs.select(text_bytes(text).alias("text")).mapInArrow(
-        scan, "node bigint, n bigint, prefix array<bigint>, others array<binary>"
+        scan, "node bigint, n bigint, last bigint, prefix array<bigint>, others array<binary>"
     )
 
 
 def _meetings(signed: DataFrame, percent: int) -> DataFrame:
-    """`token, run, node, n, most, kin`: nodes under their prefix tokens where another of like size is.
+    """`token, run, node, n, last, most, kin`: nodes under their prefix tokens where another of like size is.
 
     Runs of a token are cut where a size is too small for the next. A prefix token of a node that is
-    not met in any run is shared with nothing it could be linked with, so of its n tokens at most
-    `most`, n less these, can be common with another. `kin` grows with the nodes met on them.
+    not met in any run is in no other prefix of like size, so of its n tokens at most `most`, n less
+    these, can be common with a node whose prefix ends no sooner. One whose prefix ends before may have
+    the token behind its prefix. `kin` grows with the nodes met on them.
     """
-    rows = signed.select(F.explode("prefix").alias("token"), "node", "n")
+    rows = signed.select(F.explode("prefix").alias("token"), "node", "n", "last")
     by_size = W.partitionBy("token").orderBy("n", "node")
     fits = lambda small, large: F.coalesce(100 * small >= percent * large, F.lit(False))
     rows = (
@@ -245,12 +249,12 @@ def _meetings(signed: DataFrame, percent: int) -> DataFrame:
     )
     by_run = W.partitionBy("token", "run")
     rows = (
-        rows.select("token", "run", "node", "n")
+        rows.select("token", "run", "node", "n", "last")
         .withColumn("lo", F.min("node").over(by_run))
         .withColumn("hi", F.max("node").over(by_run))
         .withColumn("met", F.count("*").over(by_run))
         .where("lo <> hi")
-        .select("token", "run", "node", "n", "met")
+        .select("token", "run", "node", "n", "last", "met")
         .distinct()
     )
     rows = materialize(rows, "meetings")
@@ -264,9 +268,12 @@ def _meetings(signed: DataFrame, percent: int) -> DataFrame:
     return rows.drop("met").join(most, "node")
 
 
-def _fits(na: Column, nb: Column, most_a: Column, most_b: Column, percent: int) -> Column:
-    """Whether two sets can be similar, from their sizes and what they can have in common."""
-    common = (100 + percent) * F.least(most_a, most_b) >= percent * (na + nb)
+def _fits(a: list[str], b: list[str], percent: int) -> Column:
+    """Whether two sets can be similar, from their columns `n, last, most`: by their sizes and what
+    the one whose prefix ends first can have in common with the other."""
+    (na, last_a, most_a), (nb, last_b, most_b) = [[F.col(c) for c in x] for x in (a, b)]
+    most = F.when(last_a <= last_b, most_a).otherwise(most_b)
+    common = (100 + percent) * most >= percent * (na + nb)
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & common
 
 
@@ -284,29 +291,29 @@ def _pair(a: str, b: str, na: str, nb: str) -> list[Column]:
 def _star_pairs(shared: DataFrame, percent: int) -> DataFrame:
     """Every node with the head of its run, and with the node of the largest number."""
     by_run = W.partitionBy("token", "run")
-    rows = shared.withColumn("head", F.max(_head()).over(by_run)).withColumn("last", F.max(F.struct("node", "n", "most")).over(by_run))
+    rows = shared.withColumn("head", F.max(_head()).over(by_run)).withColumn("end", F.max(F.struct("node", "n", "last", "most")).over(by_run))
     pairs = [
-        rows.where(F.col("node") != F.col(f"{end}.node"))
-        .where(_fits(F.col("n"), F.col(f"{end}.n"), F.col("most"), F.col(f"{end}.most"), percent))
-        .select(*_pair("node", f"{end}.node", "n", f"{end}.n"))
-        for end in ("head", "last")
+        rows.where(F.col("node") != F.col(f"{other}.node"))
+        .where(_fits(["n", "last", "most"], [f"{other}.{c}" for c in ("n", "last", "most")], percent))
+        .select(*_pair("node", f"{other}.node", "n", f"{other}.n"))
+        for other in ("head", "end")
     ]
     return pairs[0].unionAll(pairs[1]).distinct()
 
 
 def _head() -> Column:
     """Orders the nodes of a run: its head, the largest, is the one whose prefix most others share."""
-    return F.struct("kin", "node", "n", "most")
+    return F.struct("kin", "node", "n", "last", "most")
 
 
 def _crossing(shared: DataFrame, labels: DataFrame, params: JoinParams) -> DataFrame:
-    """`token, run, node, n, most, comp, head, few`: nodes of runs with several components.
+    """`token, run, node, n, last, most, comp, head, few`: nodes of runs with several components.
 
     `head` is the run's, `few` tells whether the run has few pairs of different components.
     """
     percent, at = params.percent, ["token", "run"]
     rows = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
-    rows = materialize(rows.select(*at, "node", "n", "most", "kin", "comp"), "members")
+    rows = materialize(rows.select(*at, "node", "n", "last", "most", "kin", "comp"), "members")
     by_comp = rows.groupBy(*at, "comp").agg(
         F.max(_head()).alias("head"),
         F.min("n").alias("low"),
@@ -323,23 +330,24 @@ def _crossing(shared: DataFrame, labels: DataFrame, params: JoinParams) -> DataF
     )
     pairs = (F.col("nodes").cast("double") * F.col("nodes") - F.col("within")) / 2
     runs = runs.where("comps > 1").withColumn("few", pairs <= params.few * F.col("nodes"))
-    common = f"{100 + percent} * least(most, top) >= {percent} * (n + greatest(low, {percent} * n / 100))"
+    # Whichever prefix ends first, what a node can have in common with another of the run is `top` at most.
+    common = f"{100 + percent} * top >= {percent} * (n + greatest(low, {percent} * n / 100))"
     return (
         rows.join(runs.select(*at, "head", "low", "top", "few"), at)
         .where(common)
-        .select(*at, "node", "n", "most", "comp", "head", "few")
+        .select(*at, "node", "n", "last", "most", "comp", "head", "few")
     )
 
 
 def _plain_pairs(crossing: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in runs that have few of them."""
     rows = crossing.where("few")
-    side = lambda x: rows.select("token", "run", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "most", "comp")])
+    side = lambda x: rows.select("token", "run", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "last", "most", "comp")])
     return (
         side("a")
         .join(side("b"), ["token", "run"])
         .where("node_a < node_b and comp_a <> comp_b")
-        .where(_fits(F.col("n_a"), F.col("n_b"), F.col("most_a"), F.col("most_b"), percent))
+        .where(_fits(["n_a", "last_a", "most_a"], ["n_b", "last_b", "most_b"], percent))
         .select(*_pair("node_a", "node_b", "n_a", "n_b"))
         .distinct()
     )

@@ -225,6 +225,24 @@ def test_similarity_groups_equal_brute_force(spark):
         assert got == {k: (len(sets[k]), label[k]) for k in range(len(rows))}
 
 
+def test_isolated_pairs_are_found_where_one_text_extends_the_other(spark):
+    rng = random.Random(11)
+    rows = []
+    for pair in range(300):
+        n, more = rng.choice([(22, 2), (32, 3), (52, 5), (102, 10), (102, 12)])
+        base = [f"p{pair}w{k}" for k in range(n)]
+        extra = [f"p{pair}x{k}" for k in range(more)]
+        rows += [" ".join(base), " ".join(base + extra if pair % 2 else extra + base)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    size = [len(words(t)) - 2 for t in rows]
+    wanted = {k: k - 1 if k % 2 and 100 * size[k - 1] >= 90 * size[k] else k for k in range(len(rows))}
+    assert 150 < len(set(wanted.values())) < 600
+    for few in (0, 8):
+        params = jaccard_join.JoinParams(few=few)
+        got = {r["id"]: r["component"] for r in jaccard_join.groups(docs, params).collect()}
+        assert got == wanted
+
+
 def test_long_prefixes_meet_for_similar_sets():
     rng = np.random.default_rng(1)
     ranks = rng.integers(0, 6, 1 << 10).astype(np.uint8)
