@@ -1,4 +1,6 @@
-"""Texts whose sets of word 3-grams have a Jaccard similarity of 0.9 or more, and their groups.
+"""Texts whose sets of word n-grams reach a Jaccard similarity, and their groups.
+
+The setting is 3-grams and 0.9 unless `JoinParams` says otherwise; the numbers below are for it.
 
 Prefix filtering under several global orders. If two sets of n and m tokens reach the similarity,
 they share a token among the first n - ceil(0.9 n) + 1 of one and the same number of the other, in

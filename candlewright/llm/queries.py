@@ -24,6 +24,10 @@ from candlewright.session import materialize
 PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+#: The pipeline's near copies: sets of five words, similarity 0.8. The op5 query has its own setting.
+STAGE_COPIES = jaccard_join.JoinParams(size=5, percent=80)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -199,7 +203,7 @@ def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without words stay. Of rows with the same id and the same set one stays.
     """
-    found = jaccard_join.groups(docs).where("node is not null and not (id <=> component)")
+    found = jaccard_join.groups(docs, STAGE_COPIES).where("node is not null and not (id <=> component)")
     lost = found.select(F.col("id").alias("lost_id")).distinct()
     rest = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left_anti")
     return rest.dropDuplicates(["doc_id", "text"]).select(*docs.columns)

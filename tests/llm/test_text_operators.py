@@ -243,6 +243,35 @@ def test_isolated_pairs_are_found_where_one_text_extends_the_other(spark):
         assert got == wanted
 
 
+def test_groups_of_the_stage_equal_brute_force(spark):
+    rng = random.Random(7)
+    rows = families(rng)
+    for family in range(40):  # four or five words of 200 changed: 0.8 or just less of five words, below 0.9 of three
+        base = [f"s{family}w{k}" for k in range(200)]
+        copy = list(base)
+        for j in range(4 + family % 2):
+            copy[rng.randrange(40 * j + 5, 40 * j + 35)] = f"s{family}y{j}"
+        rows += [" ".join(base), " ".join(copy)]
+    sets = []
+    for text in rows:
+        w = words(text.translate(ASCII))
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set()))
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for few in (0, 8):
+        params = jaccard_join.JoinParams(size=5, percent=80, few=few)
+        got = {r["id"]: (r["n"], r["component"]) for r in jaccard_join.groups(docs, params).collect()}
+        assert got == {k: (len(sets[k]), label[k]) for k in range(len(rows))}
+    left = {r["doc_id"] for r in queries.stage_near_copies(spark, docs, DATA).collect()}
+    assert left == {k for k in range(len(rows)) if label[k] == k}
+
+
 def test_long_prefixes_meet_for_similar_sets():
     rng = np.random.default_rng(1)
     ranks = rng.integers(0, 6, 1 << 10).astype(np.uint8)
