@@ -13,9 +13,12 @@ from candlewright.llm import (
     licenses,
     line_dedup,
     maxent_lm,
+    multi_index,
     pieces,
     quality_crf,
     quality_rules,
+    ranked_search,
+    token_counts,
     toxicity,
 )
 from candlewright.session import materialize
@@ -171,6 +174,38 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = token_counts.load_model(PIECE_MODEL)
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
+    return counted.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit")
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").where(multi_index.usable(F.col("embedding")))
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(
+        F.col("vec_id").alias("id"),
+        shifted.alias("label"),
+        multi_index.whole_numbers(F.col("embedding"), 256).alias("z"),
+    )
+    found = multi_index.hard_negatives(rows, F.col("id") % 50 == 0)
+    return found.select(
+        F.col("anchor").alias("anchor_id"),
+        F.col("positive").alias("positive_id"),
+        "rank",
+        F.col("negative").alias("negative_id"),
+        "positive_score",
+        "negative_score",
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 # --- stages of the pipeline; each returns the columns of its input ---------------------
 
 
@@ -235,6 +270,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_quality_crf": op10_quality_crf,
+    "op11_token_counts": op11_token_counts,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 
@@ -294,4 +332,61 @@ select distinct doc_id, line, regexp_replace(template, '#[0-9]+$', '') as licens
 from best where rn = 1"""
 
 
-ORACLES = {"op2_line_dedup": _op2_sql(), "op9_licenses": _op9_sql()}
+OP12_SQL = """
+with rows as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as z
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same,
+         cast(list_sum(list_transform(range(1, least(len(a.z), len(r.z)) + 1),
+                                      lambda i: a.z[i] * r.z[i])) as bigint) as score
+  from rows a join rows r on a.vec_id <> r.vec_id where a.vec_id % 50 = 0),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id) as integer) as rank,
+       s.other_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+  and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
+qualify rank <= 3"""
+
+OP13_SQL = r"""
+with cut as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+  from documents),
+docs as (select row_number() over () as d, doc_id, t, len(t) as n from cut where len(t) > 0),
+whole as (select count(*) as cn, cast(sum(n) as bigint) as cl from docs),
+held as (
+  select d, term, count(*) as tf from (select d, unnest(t) as term from docs) group by d, term),
+wanted as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+  group by item_id, term),
+weights as (
+  select term, cast(floor(1000 * ln(cast(2 * cn + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w
+  from (select term, count(*) as df from held group by term), whole),
+parts as (
+  select h.d, h.term, g.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (25 + (75 * o.n * cn) // cl))) as s
+  from held h join weights g using (term) join docs o using (d), whole
+  where h.term in (select term from wanted)),
+scores as (
+  select q.item_id, p.d, cast(sum(q.times * p.s) as bigint) as score
+  from wanted q join parts p using (term) group by q.item_id, p.d)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank,
+       doc_id, score
+from scores join docs using (d) where score > 0 qualify rank <= 10"""
+
+ORACLES = {
+    "op2_line_dedup": _op2_sql(),
+    "op9_licenses": _op9_sql(),
+    "op12_hard_negatives": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
+}
