@@ -7,11 +7,11 @@ tokens of a text is the sum over its pre-tokens.
 1. Each task counts the pre-tokens of its texts; sums per pre-token are encoded, once each, into
    `pre_token, n, tokens`. Long ones (over 32 characters) are encoded where they are met, once per
    task, and go on under a digest, so no long string is shuffled.
-2. Of N pre-tokens in the corpus, those met more than N / 65,536 times are at most 65,536, of at most
-   128 bytes each, whatever the corpus. This head is joined to the frequencies of every document
+2. The most frequent pre-tokens, at most 1,048,576 of at most 128 bytes each whatever the corpus, are
+   cut off by a histogram of frequencies. This head is joined to the frequencies of every document
    from a broadcast, in the pass that takes the frequencies.
-3. The other pre-tokens of a document are rows `row, pre_token, n`, joined by pre-token with the
-   counts. None of them holds more than 1 / 65,536 of all, so no task gets a large part of the rows.
+3. The other pre-tokens of a document are rows `row, pre_token, m`, joined by pre-token with the
+   counts. Over a million are more frequent than any of them, so no task gets a large part of the rows.
 
 No list of token ids is kept. Edge cases: null counts as empty, and an empty text has no tokens. The
 marker character in a text is the blank it stands for, as in the library. Rows that share an id, and
@@ -33,8 +33,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from candlewright.session import materialize
 
 MARK = "▁"
-#: Pre-tokens that may be met more often than one in so many.
-HEAD = 1 << 16
+#: Pre-tokens in the head, at most.
+HEAD = 1 << 20
 #: Characters of a pre-token that is shuffled as it is; a longer one goes under its digest.
 WIDE = 32
 #: Entries a task counts before it hands them on.
@@ -189,8 +189,16 @@ def count_tokens(docs: DataFrame, model: Model, id_col: str = "doc_id", text: st
     """`id, n_bytes, n_tokens` for every row."""
     context = docs.sparkSession.sparkContext
     counts = materialize(pre_token_counts(docs, model, text), "pre-tokens")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    often = F.col("n") * HEAD > total
+    # Sixteen steps to a doubling: some hundred levels whatever the counts.
+    level = F.floor(F.log2("n") * 16)
+    levels = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    least, held = levels[0]["level"] + 1 if levels else 0, 0
+    for row in levels:
+        held += row["count"]
+        if held > HEAD:
+            break
+        least = row["level"]
+    often = level >= least
     head = {r["pre_token"]: r["tokens"] for r in counts.where(often).toLocalIterator()}
     shared, known = context.broadcast(model), context.broadcast(head)
 
