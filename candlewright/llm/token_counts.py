@@ -7,11 +7,11 @@ tokens of a text is the sum over its pre-tokens.
 1. Each task counts the pre-tokens of its texts; sums per pre-token are encoded, once each, into
    `pre_token, n, tokens`. Long ones (over 32 characters) are encoded where they are met, once per
    task, and go on under a digest, so no long string is shuffled.
-2. The most frequent pre-tokens, at most 1,048,576 of at most 128 bytes each whatever the corpus, are
+2. The most frequent pre-tokens, at most 262,144 of at most 128 bytes each whatever the corpus, are
    cut off by a histogram of frequencies. This head is joined to the frequencies of every document
    from a broadcast, in the pass that takes the frequencies.
 3. The other pre-tokens of a document are rows `row, pre_token, m`, joined by pre-token with the
-   counts. Over a million are more frequent than any of them, so no task gets a large part of the rows.
+   counts. None is as frequent as one of the head, so no task gets a large part of the rows.
 
 No list of token ids is kept. Edge cases: null counts as empty, and an empty text has no tokens. The
 marker character in a text is the blank it stands for, as in the library. Rows that share an id, and
@@ -34,7 +34,7 @@ from candlewright.session import materialize
 
 MARK = "▁"
 #: Pre-tokens in the head, at most.
-HEAD = 1 << 20
+HEAD = 1 << 18
 #: Characters of a pre-token that is shuffled as it is; a longer one goes under its digest.
 WIDE = 32
 #: Entries a task counts before it hands them on.
