@@ -155,7 +155,7 @@ def keyed(docs: DataFrame, params: JoinParams, id_col: str, text: str) -> DataFr
             for block, data in blocks.split(counts.astype(np.uint32)):
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.nulls(1).cast(kind),
+                        pa.nulls(1, kind),
                         pa.nulls(1).cast(pa.int64()),
                         pa.nulls(1).cast(pa.int64()),
                         pa.array(["tokens"]),

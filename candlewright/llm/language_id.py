@@ -12,7 +12,8 @@ How often a page in a language declares a code or carries it in its address is e
 pages, weighted by the text's posterior. Both have a bounded number of values (two or three letters).
 
 Edge cases: a null or empty page has no text evidence, missing markup and addresses none of theirs;
-what is missing is left out of the sum, and a page without any evidence gets the corpus prior. Ties
+what is missing is left out of the sum, and a page without any evidence gets the corpus prior. Pages and
+addresses may be of any length and need not be well formed: every pattern takes time in proportion. Ties
 go to the language that sorts first. Repeated rows count as often as they occur. With no labelled
 texts there are no languages, and every page gets null.
 """
@@ -109,35 +110,59 @@ def fit_text(texts: DataFrame, params: LanguageParams = LanguageParams(), text:
     return TextModel(names, np.log(smooth / smooth.sum(0)).astype(np.float32))
 
 
-_DROP = re.compile(r"<!--.*?-->|<(script|style|nav|footer)\b.*?</\1\s*>", re.S | re.I)
-_TAG = re.compile(r"<[^>]*>")
+_OPEN = re.compile(r"<!--|<(script|style|nav|footer)\b", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "nav", "footer")}
+_CLOSE["!--"] = re.compile("-->")
+_TAG = re.compile(r"<[^<>]*>")
 
 
 def page_text(source: str) -> str:
-    """What a reader of a page sees, roughly."""
-    return html.unescape(_TAG.sub(" ", _DROP.sub(" ", source)))
+    """What a reader of a page sees, roughly.
+
+    One pass: an end that is missing once is not looked for again, so no page takes longer than its
+    length allows.
+    """
+    out, at, start, missing = [], 0, 0, set()
+    while found := _OPEN.search(source, start):
+        name = (found[1] or "!--").lower()
+        end = None if name in missing else _CLOSE[name].search(source, found.end())
+        if end:
+            out.append(source[at : found.start()])
+            at = start = end.end()
+        else:
+            missing.add(name)
+            start = found.end()
+    out.append(source[at:])
+    return html.unescape(_TAG.sub(" ", " ".join(out)))
 
 
 def declared(source: Column) -> Column:
-    """The language code a page declares: on its root element, or in a meta element."""
-    root = F.regexp_extract(source, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b", 1)
-    meta = F.regexp_extract(
-        source, r"(?i)<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?([a-z]{2,3})\b", 1
+    """The language code a page declares: on its root element, or in a meta element.
+
+    Elements are cut out first, by a pattern that never reads a character twice.
+    """
+    elements = F.regexp_extract_all(source, F.lit(r"(?i)<(?:html|meta)\b[^<>]*+>"), F.lit(0))
+    code = lambda x, name: F.lower(
+        F.regexp_extract(x, rf"(?i)\b{name}\s*+=\s*+[\"']?([a-z]{{2,3}})\b", 1)
     )
-    code = F.lower(F.when(root != "", root).otherwise(meta))
-    return F.when(code != "", code)
+    root = F.filter(elements, lambda x: x.rlike(r"(?i)^<html"))
+    meta = F.filter(elements, lambda x: x.rlike(r"(?i)^<meta") & x.rlike("(?i)content-language"))
+    codes = F.concat(F.transform(root, lambda x: code(x, "lang")), F.transform(meta, lambda x: code(x, "content")))
+    return F.get(F.filter(codes, lambda x: x != ""), F.lit(0))
 
 
 def host_of(url: Column) -> Column:
-    host = F.lower(F.regexp_extract(url, r"^(?i:[a-z][a-z0-9+.\-]*://)?(?:[^/?#@]*@)?([^/?#:@]+)", 1))
+    host = F.lower(F.regexp_extract(url, r"^(?i:[a-z][a-z0-9+.\-]*+://)?(?:[^/?#@]*+@)?([^/?#:@]++)", 1))
     return F.when(host != "", host)
 
 
 def address_code(url: Column) -> Column:
     """A two-letter code that stands alone in the path, or the host's country suffix."""
-    path = F.lower(F.regexp_extract(url, r"^(?:[^/?#]*//)?[^/?#]*(?:/[^/?#]*)*?/([a-zA-Z]{2})(?:[/?#]|$)", 1))
-    suffix = F.regexp_extract(host_of(url), r"\.([a-z]{2})$", 1)
-    return F.when(path != "", F.concat(F.lit("/"), path)).when(suffix != "", F.concat(F.lit("."), suffix))
+    path = F.regexp_extract(url, r"^(?:[^/?#]*//)?[^/?#]*(/[^?#]*)", 1)
+    segment = F.get(F.filter(F.split(path, "/"), lambda x: x.rlike("^[a-zA-Z]{2}$")), F.lit(0))
+    suffix = F.substring_index(host_of(url), ".", -1)
+    own = host_of(url).contains(".") & suffix.rlike("^[a-z]{2}$")
+    return F.when(segment.isNotNull(), F.concat(F.lit("/"), F.lower(segment))).when(own, F.concat(F.lit("."), suffix))
 
 
 def text_evidence(rows: DataFrame, model: TextModel, params: LanguageParams = LanguageParams()) -> DataFrame:
@@ -208,9 +233,8 @@ def _host_priors(seen: DataFrame, n: int, belief: float) -> tuple[DataFrame, lis
         seen.where((F.size("p") > 0) & F.col("host").isNotNull())
         .groupBy("host")
         .agg(*[F.sum(F.get("p", F.lit(k))).alias(f"s{k}") for k in range(n)])
-        .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
-        .withColumn("domain", F.when(F.col("domain") != "", F.col("domain")).otherwise(F.col("host")))
-        .withColumn("suffix", F.regexp_extract("host", r"([^.]+)$", 1))
+        .withColumn("domain", F.substring_index("host", ".", -2))
+        .withColumn("suffix", F.substring_index("host", ".", -1))
     )
     by_host = materialize(by_host, "hosts")
     everything = by_host.agg(*sums).first()
@@ -250,15 +274,16 @@ def identify(rows: DataFrame, model: TextModel, params: LanguageParams = Languag
     codes = _log_shares(seen, "code", n, params.code_belief)
     hosts, corpus = _host_priors(seen, n, params.host_belief)
 
-    def from_codes(column: str, table: dict[str, list[float]], k: int) -> Column:
-        pairs = [x for c, v in table.items() for x in (F.lit(c), F.lit(v[k]))]
-        known = F.try_element_at(F.create_map(*pairs), F.col(column)) if pairs else F.lit(None)
-        return F.coalesce(known.cast("double"), F.lit(0.0))
+    def from_codes(df: DataFrame, column: str, table: dict[str, list[float]]) -> DataFrame:
+        """Adds the codes' log shares; a table of at most 27 ** 3 rows."""
+        known = df.sparkSession.createDataFrame(list(table.items()), f"of_{column} string, {column}_logs array<double>")
+        return df.join(F.broadcast(known), F.col(column) == F.col(f"of_{column}"), "left")
 
     def own(k: int) -> Column:
         return F.when(F.size("p") > 0, F.get("p", F.lit(k))).otherwise(0.0)
 
     at = [F.lit(k) for k in range(n)]
+    seen = from_codes(from_codes(seen, "markup", markup), "code", codes)
     joined = seen.join(hosts, F.col("host") == F.col("at_host"), "left")
     total = F.aggregate("host_sums", F.lit(0.0), lambda a, b: a + b)
     mass = sum((own(k) for k in range(n)), F.lit(0.0))
@@ -274,8 +299,8 @@ def identify(rows: DataFrame, model: TextModel, params: LanguageParams = Languag
     logs = [
         F.log(F.get("prior", at[k]))
         + F.when(F.size("evidence") > 0, F.get("evidence", at[k])).otherwise(0.0)
-        + from_codes("markup", markup, k)
-        + from_codes("code", codes, k)
+        + F.coalesce(F.get("markup_logs", at[k]), F.lit(0.0))
+        + F.coalesce(F.get("code_logs", at[k]), F.lit(0.0))
         for k in range(n)
     ]
     names = F.array(*[F.lit(x) for x in model.languages])

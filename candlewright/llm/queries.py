@@ -233,22 +233,38 @@ def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.select(*columns)
 
 
+def row_key() -> Column:
+    """Tells rows apart that share an id or have none. Rows with an id come first."""
+    return F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")
+    )
+
+
+def without(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """The rows whose key is not among `lost`."""
+    gone = lost.select(F.col("id.id").alias("lost_id"), F.col("id.text").alias("lost_text")).distinct()
+    gone = materialize(gone, "lost")
+    same = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.xxhash64("text") == F.col("lost_text"))
+    columns = [F.col(f"rest.{c}") for c in docs.columns]
+    rest = docs.select(F.struct("*").alias("rest"), "doc_id", "text")
+    return rest.join(gone, same, "left_anti").select(*columns)
+
+
 def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one the group is named after.
+    """One document of each group of near copies stays: the one with the smallest id.
 
-    Documents without words stay. Of rows with the same id and the same set one stays.
+    Rows are told apart by id and text, so a row without an id, or with another one's, goes only for
+    its own text. Documents without words stay. Of rows with the same id and text one stays.
     """
-    found = jaccard_join.groups(docs, STAGE_COPIES).where("node is not null and not (id <=> component)")
-    lost = found.select(F.col("id").alias("lost_id")).distinct()
-    rest = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left_anti")
-    return rest.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    found = jaccard_join.groups(docs.select(row_key().alias("key"), "text"), STAGE_COPIES, "key")
+    lost = found.where("node is not null and not (id <=> component)")
+    return without(docs, lost).dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def stage_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    lost = materialize(found.select(F.col("id").alias("lost_id")).distinct(), "leaks")
-    return docs.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left_anti")
+    """Documents that contain a benchmark item go, told apart by id and text."""
+    keyed = docs.select(row_key().alias("key"), "text")
+    return without(docs, decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="key"))
 
 
 def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -305,31 +321,60 @@ def _op9_sql() -> str:
         for k, (name, body) in enumerate(licenses.TEMPLATES)
     )
 
-    def pairs(source: str, keep: str, column: str) -> str:
-        return f"""
-  select {keep}, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as pairs
-  from (select {keep}, list_filter(string_split_regex(lower({column}), '[^a-z0-9]+'), lambda x: x <> '') as w
-        from {source}) where len(w) >= 2"""
+    def normal(column: str) -> str:
+        return f"list_filter(string_split_regex(lower({column}), '[^a-z0-9]+'), lambda x: x <> '')"
+
+    def pairs(words: str) -> str:
+        return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
 
     return f"""
-with templates(template, body) as (values {rows}),
-known as ({pairs("templates", "template", "body")}),
-cut as (select doc_id, text, string_split(text, chr(10)) as l from documents where text is not null),
+with named as (select template, {normal("body")} as w from (values {rows}) v(template, body)),
+known as (select template, len(w) as size, {pairs("w")} as pairs from named where len(w) >= 2),
+longest as (select max(len(pairs)) * 1.5 + 1 as words from known),
+texts as (
+  select distinct doc_id, text, {normal("text")} as w, string_split(text, chr(10)) as l
+  from documents where text is not null),
+cut as (
+  select doc_id, text, w, line, {normal("l[line]")} as own
+  from (select *, unnest(range(1, len(l) + 1)) as line from texts)),
 units as (
-  select doc_id, generate_subscripts(l, 1) - 1 as line, unnest(l) as statement from cut
-  union all select doc_id, -1, text from cut where len(l) > 1),
-shingled as ({pairs("units", "doc_id, line, statement", "statement")}),
-near as (
-  select s.doc_id, s.line, s.statement, k.template,
-         2.0 * len(list_intersect(s.pairs, k.pairs)) / (len(s.pairs) + len(k.pairs)) as dice
-  from shingled s join known k
-    on len(s.pairs) between len(k.pairs) * 0.6 and len(k.pairs) * 1.6),
-best as (
-  select *, row_number() over (partition by doc_id, line, statement order by dice desc, template) as rn
-  from near where dice >= 0.8)
-select distinct doc_id, line, regexp_replace(template, '#[0-9]+$', '') as license,
-       round(dice, 6) as dice, statement
-from best where rn = 1"""
+  select doc_id, text, own, len(own) as n,
+         coalesce(sum(len(own)) over (partition by doc_id, text order by line
+                                      rows between unbounded preceding and 1 preceding), 0) as start
+  from cut
+  union all select doc_id, text, w, len(w), 0 from texts),
+near_units as (
+  select u.doc_id, u.text, u.start, u.n, k.template,
+         2.0 * len(list_intersect(u.pairs, k.pairs)) / (len(u.pairs) + len(k.pairs)) as dice
+  from (select *, {pairs("own")} as pairs from units where n >= 2 and n <= (select words from longest)) u
+  join known k on len(u.pairs) between len(k.pairs) * 0.6 and len(k.pairs) * 1.6),
+best_units as (
+  select doc_id, text, start, n, template, dice from near_units where dice >= 0.8
+  qualify row_number() over (partition by doc_id, text, start, n order by dice desc, template) = 1),
+may as (
+  select t.doc_id, t.text, t.w, k.*
+  from (select *, {pairs("w")} as every from texts where len(w) >= 2) t join known k
+    on len(t.w) >= k.size and len(list_intersect(t.every, k.pairs)) >= len(k.pairs) * 0.6),
+moved as (
+  select doc_id, text, template, pairs, start, size as n, w[start + 1 : start + size] as own
+  from (select *, unnest(range(0, len(w) - size + 1)) as start from may)),
+windows as (
+  select doc_id, text, start, n, template,
+         2.0 * len(list_intersect(own_pairs, pairs)) / (len(own_pairs) + len(pairs)) as dice
+  from (select *, {pairs("own")} as own_pairs from moved)),
+spans as (
+  select doc_id, text, cast(start as int) as start, cast(n as int) as n, template, dice from best_units
+  union select doc_id, text, cast(start as int), cast(n as int), template, dice from windows where dice >= 0.8)
+select distinct x.doc_id, regexp_replace(x.template, '#[0-9]+$', '') as license, round(x.dice, 6) as dice,
+       x.start, x.n as n_words, array_to_string(t.w[x.start + 1 : x.start + x.n], ' ') as statement
+from spans x join texts t on t.doc_id is not distinct from x.doc_id and t.text = x.text
+where not exists (
+  select 1 from spans y
+  where y.doc_id is not distinct from x.doc_id and y.text = x.text
+    and y.start < x.start + x.n and y.start + y.n > x.start
+    and (y.dice > x.dice or (y.dice = x.dice and (
+      y.start < x.start or (y.start = x.start and (
+        y.n < x.n or (y.n = x.n and y.template < x.template)))))))"""
 
 
 OP12_SQL = """

@@ -38,7 +38,7 @@ def words(text):
 @pytest.fixture(scope="module")
 def table():
     con = duckdb.connect()
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         con.execute(f"create view {name} as select * from '{DATA}/{name}.parquet'")
     return con
 
@@ -155,7 +155,7 @@ def test_licences_on_odd_rows(spark):
     line = "Released under the MIT License."
     docs = edge_docs(spark, [*EDGES, (8, line, "a"), (8, line, "a"), (9, f"Some words of prose go before.\n{line.upper()}\nAnd some more after.", "b")])
     got = licenses.scan(docs).collect()
-    assert {(r["doc_id"], r["line"], r["license"]) for r in got} == {(8, 0, "MIT"), (9, 1, "MIT")}
+    assert {(r["doc_id"], r["start"], r["license"]) for r in got} == {(8, 0, "MIT"), (9, 6, "MIT")}
     assert len(got) == 2
     assert licenses.scan(docs, templates=[]).count() == 0
     assert licenses.scan(edge_docs(spark, [])).count() == 0
