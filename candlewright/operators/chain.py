@@ -97,8 +97,8 @@ def follow_chain(
 ) -> DataFrame:
     """Rows of ``df`` on the chain. Positions are unique per key and ``nxt`` exceeds ``pos``.
 
-    Runs two jobs that write the steps of blocks and of groups of blocks. ``df`` is read
-    several times; write it first where it is costly.
+    Blocks form groups, and these larger ones, until a key has one at most; a job per level writes
+    their steps. ``df`` is read several times; write it first where it is costly.
     """
     nodes = df.select(
         key,
@@ -107,10 +107,12 @@ def follow_chain(
         *[c for c in df.columns if c not in (key, pos, nxt)],
     )
     levels = []
-    level = nodes
-    for width in (chunks.size, chunks.size * chunks.fan):
+    level, width = nodes, chunks.size
+    farthest = nodes.agg(F.max("pos")).first()[0] or 0
+    while farthest >= width:
         levels.append((_grouped(level, key, width), width))
         level = materialize(_steps(level, key, width), "steps")
+        width *= chunks.fan
 
     taken = _walk(_grouped(level, key, None), key, None)
     for grouped, width in reversed(levels):

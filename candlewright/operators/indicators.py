@@ -82,10 +82,19 @@ def chunk_window() -> WindowSpec:
     return Window.partitionBy("symbol", "chunk").orderBy("idx")
 
 
+def chunk_size(params: ZoneParams, chunks: ChunkParams) -> int:
+    return max(chunks.size, LOOKBACK, params.trend_period)
+
+
 def in_chunks(candles: DataFrame, params: ZoneParams, chunks: ChunkParams) -> DataFrame:
-    """Indexed candles, cut and overlapped far enough for every lookback."""
+    """Indexed candles, cut and overlapped far enough for every lookback.
+
+    A table that already is (with ``chunk`` and ``own``) is used as it lies.
+    """
+    if {"chunk", "own"} <= set(candles.columns):
+        return candles
     back = max(LOOKBACK, params.trend_period)
-    return halo_chunks(bar_index(candles), max(chunks.size, back), back, LOOKAHEAD)
+    return halo_chunks(bar_index(candles), chunk_size(params, chunks), back, LOOKAHEAD)
 
 
 def add_indicators(chunked: DataFrame, params: ZoneParams, *, extras: bool = True) -> DataFrame:

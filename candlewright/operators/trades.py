@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from candlewright.operators.chain import follow_chain
@@ -13,6 +15,7 @@ from candlewright.operators.index import with_chunk
 from candlewright.operators.scan import running
 from candlewright.params import ChunkParams, TradeParams
 from candlewright.schema import EQUITY_COLUMNS, TRADE_COLUMNS
+from candlewright.session import materialize
 
 
 def side_sign(column: str = "type") -> Column:
@@ -140,6 +143,11 @@ def trade_prices(indexed: DataFrame, spans: DataFrame) -> DataFrame:
     return spans.join(entry, ["symbol", "entry_idx"]).join(leave, ["symbol", "exit_idx"])
 
 
+_EVENT = (
+    "struct<seq:bigint,position:int,capital:double,size:double,entry_price:double,entry_idx:bigint>"
+)
+
+
 def _position_per_bar(indexed: DataFrame, trade_table: DataFrame, chunks: ChunkParams) -> DataFrame:
     """Each bar with the newest trade event up to it, as struct ``now`` (null before any).
 
@@ -171,18 +179,39 @@ def _position_per_bar(indexed: DataFrame, trade_table: DataFrame, chunks: ChunkP
         ).alias("event"),
     )
     events = opened.union(closed).groupBy("symbol", "idx").agg(F.max("event").alias("event"))
-    # Events are rows beside the bars rather than joined to them: one shuffle of the bars.
-    bars = indexed.select("symbol", "idx", "bar_ts", "close")
-    rows = bars.unionByName(events, allowMissingColumns=True)
-    return running(
-        with_chunk(rows, chunks.size),
+    placed = indexed if "chunk" in indexed.columns else with_chunk(indexed, chunks.size)
+    bars = placed.select("symbol", "idx", "bar_ts", "close", "chunk")
+    events = with_chunk(events, chunks.size)
+    # A chunk starts with the newest event of the chunks before it; these are one row per chunk.
+    newest = events.groupBy("symbol", "chunk").agg(F.max_by("event", "idx").alias("event"))
+    every = bars.select("symbol", "chunk").distinct().join(newest, ["symbol", "chunk"], "left")
+    carried = running(
+        materialize(with_chunk(every, chunks.fan, "chunk", "_group"), "chunk-events"),
         ["symbol"],
-        "chunk",
-        ["idx"],
-        {"now": ("last", F.col("event"))},
+        "_group",
+        ["chunk"],
+        {"carry": ("last", F.col("event"))},
+        inclusive=False,
         fan=chunks.fan,
-        peers=True,
-    ).where("bar_ts is not null")
+    )
+    carries = carried.where("carry is not null").select(
+        "symbol", (F.col("chunk") * chunks.size - 1).alias("idx"), F.col("carry").alias("event"), "chunk"
+    )
+    # Grouped by chunk on both sides, so bars that lie in buckets of chunks are not moved.
+    marks = events.unionByName(carries).select("symbol", "idx", F.col("event").cast(_EVENT), "chunk")
+    marks = marks.toDF("symbol", "at", "event", "chunk")
+    keys = ["symbol", "chunk"]
+    return bars.groupBy(*keys).cogroup(marks.groupBy(*keys)).applyInArrow(
+        _newest_event, f"symbol string, idx bigint, bar_ts timestamp_ntz, close double, now {_EVENT}"
+    )
+
+
+def _newest_event(bars: pa.Table, marks: pa.Table) -> pa.Table:
+    """Bars of a chunk, each with the last event up to it."""
+    marks = marks.sort_by("at")
+    found = np.searchsorted(marks["at"].to_numpy(), bars["idx"].to_numpy(), "right") - 1
+    now = marks["event"].combine_chunks().take(pa.array(np.maximum(found, 0), mask=found < 0))
+    return bars.select(["symbol", "idx", "bar_ts", "close"]).append_column("now", now)
 
 
 def equity_curve(

@@ -5,6 +5,7 @@ Tables that later steps use more than once are written to the shared folder once
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -14,16 +15,15 @@ from candlewright.operators import indicators as indicator_ops
 from candlewright.operators import stats
 from candlewright.operators import trades as trade_ops
 from candlewright.operators import zones as zone_ops
-from candlewright.operators.index import bar_index
 from candlewright.params import ChunkParams, TradeParams, ZoneParams
-from candlewright.session import materialize
+from candlewright.session import materialize, materialize_by
 
 
 class Study:
     """One candle table under one setting. Nothing runs before a result is asked for.
 
-    Steps refer to their input several times, so the input is written first. Candles without a
-    symbol or a time have no place in a history; ``candle_rejects`` lists them.
+    Steps refer to their input several times, so the input is written first. A chunk is as long as
+    the longest lookback at least. Candles without a symbol or a time have no place in a history; ``candle_rejects`` lists them.
     """
 
     def __init__(
@@ -36,23 +36,36 @@ class Study:
         self.candles = candles
         self.zone_params = zone_params
         self.trade_params = trade_params
-        self.chunks = chunks
+        self.chunks = replace(chunks, size=indicator_ops.chunk_size(zone_params, chunks))
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        """Candles with their position, cut into chunks with the rim of their neighbours.
+
+        Written once, in buckets by symbol and chunk: windows, the exit scan and the equity read the
+        bars where they lie. A table that already has ``idx`` is not indexed again.
+        """
+        whole = self.candles.where("symbol is not null and bar_ts is not null")
+        cut = indicator_ops.in_chunks(whole, self.zone_params, self.chunks)
+        return materialize_by(cut, "bars", ["symbol", "chunk"], ["idx"])
+
+    @cached_property
+    def in_place(self) -> DataFrame:
+        """The bars by chunk, each once."""
+        return self.placed.where("own").drop("own")
 
     @cached_property
     def bars(self) -> DataFrame:
-        """Candles with their position. A table that already has ``idx`` is used in place."""
-        if "idx" in self.candles.columns:
-            return self.candles
-        placed = self.candles.where("symbol is not null and bar_ts is not null")
-        return materialize(bar_index(placed), "bars")
+        """Candles with their position."""
+        return self.in_place.drop("chunk")
 
     @cached_property
     def indicators(self) -> DataFrame:
-        return indicator_ops.indicators(self.bars, self.zone_params, self.chunks)
+        return indicator_ops.indicators(self.placed, self.zone_params, self.chunks)
 
     @cached_property
     def candidates(self) -> DataFrame:
-        found = zone_ops.zone_candidates(self.bars, self.zone_params, self.chunks)
+        found = zone_ops.zone_candidates(self.placed, self.zone_params, self.chunks)
         return materialize(found, "candidates")
 
     @cached_property
@@ -67,7 +80,7 @@ class Study:
     def exits(self) -> DataFrame:
         """Every possible entry with its exit."""
         signals = zone_ops.signal_bars(self.zones, self.trade_params.entry_at)
-        found = exit_ops.first_exit(self.bars, signals, self.trade_params, self.chunks)
+        found = exit_ops.first_exit(self.in_place, signals, self.trade_params, self.chunks)
         return materialize(found, "exits")
 
     @cached_property
@@ -86,7 +99,7 @@ class Study:
     @cached_property
     def equity(self) -> DataFrame:
         table = self.written_trades
-        return trade_ops.equity_curve(self.bars, table, self.trade_params, self.chunks)
+        return trade_ops.equity_curve(self.in_place, table, self.trade_params, self.chunks)
 
     @cached_property
     def stops(self) -> DataFrame:

@@ -63,7 +63,7 @@ def study(
         if trade_params != STUDY:
             # The same bars and zones serve every way of trading them.
             base = study(spark, sf_dir, STUDY, resolution, chunks)
-            made.bars, made.zones = base.bars, base.zones
+            made.placed, made.zones = base.placed, base.zones
         return made
 
     return _once(spark, ("study", sf_dir, resolution, trade_params, chunks), build)
