@@ -12,7 +12,7 @@ from candlewright.plans.study import Study
 from candlewright.sources.ticks import candles_from_ticks, walk_candles
 from candlewright.streaming.candles import stream_candles, stream_dedupe
 from candlewright.streaming.positions import stream_positions
-from candlewright.streaming.signals import stream_signals
+from candlewright.streaming.signals import SignalStream, current_zones, stream_signals
 
 NAMES = dict(symbol="event_type", seq="event_id", price="value", volume="value")
 
@@ -78,7 +78,7 @@ def test_signals_and_positions_equal_batch_across_a_restart(spark, tmp_path):
     write_days(candles, "bar_ts", source, days(8, 20, 40))
     feed()
 
-    zones = spark.read.parquet(f"{out}/zones").drop("batch_id")
+    zones = current_zones(spark, out)
     trade_params = TradeParams(entry_at="trigger")
     study = Study(candles, TRADING, trade_params)
     want = study.zones
@@ -142,3 +142,49 @@ def test_positions_take_bars_in_any_order(spark, tmp_path, files):
     whole = run([rows], "ordered", 100)
     assert len(whole) == 78
     assert run([mixed[:25], mixed[25:50], mixed[45:]], "mixed", files) == whole
+
+
+def test_corrections_within_the_horizon_and_bounded_folders(spark, tmp_path):
+    """Late and revised candles change the zones; those before the horizon are put aside."""
+    candles = walk_candles(spark.read.parquet(f"{DATA}/events.parquet")).where("symbol in ('view', 'click')")
+    rows = sorted(candles.collect(), key=lambda r: (r.bar_ts, r.symbol))
+    target = SignalStream(spark, str(tmp_path / "out"), TRADING, horizon=60)
+    rng, waiting, sent, seen = random.Random(4), [], [], []
+
+    def feed(part):
+        target(spark.createDataFrame(part, candles.schema).coalesce(1), len(sent))
+        sent.append(part)
+
+    for k in range(0, len(rows), 40):
+        # What was held back goes with the next batch.
+        part, waiting = waiting, []
+        for row in rows[k : k + 40]:
+            chance = rng.random()
+            if chance < 0.05:
+                waiting.append(row)
+                continue
+            if chance < 0.1:
+                waiting.append(row)
+                part.append(row.__class__(*row[:2], row.open * 1.01, *row[3:]))
+            else:
+                part.append(row)
+        feed(part)
+        seen.append({str(f.relative_to(tmp_path)) for f in (tmp_path / "out").glob("*/*/slot=*")})
+    feed(waiting or rows[-1:])
+    assert len(sent) > 6 and seen[1] == seen[-1]
+    want = Study(candles, TRADING).zones
+    got = current_zones(spark, str(tmp_path / "out"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() > 0
+    log = spark.read.parquet(str(tmp_path / "out" / "zones"))
+    assert log.where("op = 'retract'").count() > 0
+    assert spark.read.parquet(str(tmp_path / "out" / "late")).count() == 0
+
+    # The same batch again changes nothing; a candle of long ago is put aside.
+    target(spark.createDataFrame(sent[-1], candles.schema), len(sent) - 1)
+    assert current_zones(spark, str(tmp_path / "out")).exceptAll(got).count() == 0
+    feed([rows[0].__class__(*rows[0][:2], 1.0, *rows[0][3:]), rows[1]])
+    late = spark.read.parquet(str(tmp_path / "out" / "late"))
+    assert [r.open for r in late.collect()] == [1.0]
+    bars = spark.read.parquet(str(tmp_path / "out" / "bars"))
+    numbers = {s: sorted(r.idx for r in bars.collect() if r.symbol == s) for s in ("view", "click")}
+    assert all(n == list(range(len(n))) for n in numbers.values())

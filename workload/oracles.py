@@ -304,6 +304,7 @@ having time_bucket(interval '1 hour', ts) + interval '1 hour'
   <= (select date_trunc('millisecond', max(ts)) - interval '10 minutes' from events)""",
     "stream_dedupe": _q(CANDLES, CANDLE_SELECT),
     "stream_signals": _q(ZONES, "select symbol, side, trigger_idx, start_idx, top, bot from zones", True),
+    "stream_signals_corrected": _q(ZONES, "select symbol, side, trigger_idx, start_idx, top, bot from zones", True),
     "stream_positions": _q(
         TRIGGER,
         """select symbol, trade_no, type, entry_idx, exit_idx, round(entry_price, 6) as entry_price, entry_time,

@@ -753,8 +753,29 @@ def _signal_folders(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_signals(spark, sf_dir):
-    zones = spark.read.parquet(f"{_signal_folders(spark, sf_dir)}/zones")
-    return zones.select("symbol", "side", "trigger_idx", "start_idx", "top", "bot")
+    return signals.current_zones(spark, _signal_folders(spark, sf_dir))
+
+
+def stream_signals_corrected(spark, sf_dir):
+    """The same candles; every 40th comes a week late, and every 50th wrong at first and then revised."""
+    base = candles(spark, sf_dir)
+    hour = F.floor(F.unix_timestamp(F.col("bar_ts").cast("timestamp")) / 3600)
+    late, wrong = hour % 40 == 7, hour % 50 == 11
+    week = F.greatest(F.lit(0), F.least(F.lit(4), F.floor(F.datediff("bar_ts", F.lit("2024-01-01")) / 7)))
+    first = base.select(
+        *[c for c in CANDLE_COLUMNS if c != "open"],
+        F.when(wrong, F.col("open") * 1.01).otherwise(F.col("open")).alias("open"),
+        F.when(late, week + 1).otherwise(week).alias("_file"),
+    )
+    sent = first.unionByName(base.where(wrong).withColumn("_file", week + 1))
+    path = scratch_path(spark, "corrected_stream")
+    for number in range(6):
+        part = sent.where(F.col("_file") == number).select(*CANDLE_COLUMNS)
+        part.coalesce(1).write.mode("append").parquet(path)
+    source = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = scratch_path(spark, "corrected_signals")
+    _finish(signals.stream_signals(source, out, scratch_path(spark, "offsets"), TRADING))
+    return signals.current_zones(spark, out)
 
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -891,6 +912,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_candles": stream_candles,
     "stream_dedupe": stream_dedupe,
     "stream_signals": stream_signals,
+    "stream_signals_corrected": stream_signals_corrected,
     "stream_positions": stream_positions,
     "stream_equity": stream_equity,
 }
