@@ -1,11 +1,14 @@
 """Benchmark items inside documents: SimHash windows of the item's size, then exact similarity.
 
 A window is a run of as many words as the item has. Windows that share no shingle with any item can
-not be similar to one, so windows start where a shingle of an item occurs, on the item's diagonal.
-Each gets a 64-bit SimHash of its weighted shingles. Fingerprints are cut into 8 blocks of 8 bits; if
-two differ in at most 15 bits, some block differs in at most one, so the items are listed under all
-9 values near each of their blocks, and a window looks its 8 blocks up: every pair within the radius
-is found. These pairs are verified by the weighted Jaccard similarity of their shingles, with counts.
+not be similar to one, so windows start where a shingle of an item occurs, on the item's diagonal, and
+anywhere between two such starts that are less than half an item apart, where words were put in or
+left out. Each gets a 64-bit SimHash of its weighted shingles. Fingerprints are cut into 8 blocks of 8
+bits; if two differ in at most 23 bits, some block differs in at most two, so the items are listed
+under all 37 values near each of their blocks, and a window looks its 8 blocks up: every pair within
+the radius is found. These pairs are verified by the weighted Jaccard similarity of their shingles,
+with counts. Windows of the least similarity that counts differ in some 10 bits; the README says how
+many lie beyond the radius.
 
 A shingle has five words (the whole item when it is shorter); its weight falls with the number of
 items that have it, in whole thousandths, so that sums do not depend on their order.
@@ -26,8 +29,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from candlewright.llm.native import grams, hashes, let, words
 from candlewright.session import materialize
 
-#: Blocks of 8 bits, each looked up with one bit changed or none: 8 * 2 - 1 bits of distance.
-BLOCKS, RADIUS = 8, 15
+#: Blocks of 8 bits, each looked up with up to two bits changed: 8 * 3 - 1 bits of distance.
+BLOCKS, RADIUS = 8, 23
+NEAR = sorted({(1 << a) | (1 << b) for a in range(8) for b in range(8)} | {0})
 
 
 @dataclass(frozen=True)
@@ -71,7 +75,7 @@ def _block(k: int) -> Column:
 
 
 def windows(docs: DataFrame, shingles: DataFrame, id_col: str, text: str) -> DataFrame:
-    """`id, row, size, k, start`: windows on the diagonals of shared shingles."""
+    """`id, row, size, k, start`: windows on the diagonals of shared shingles, and between near ones."""
     found = None
     for k in sorted(r["k"] for r in shingles.select("k").distinct().collect()):
         runs = docs.select(
@@ -85,7 +89,14 @@ def windows(docs: DataFrame, shingles: DataFrame, id_col: str, text: str) -> Dat
             .distinct()
         )
         found = own if found is None else found.unionAll(own)
-    return found
+    starts = found.groupBy("id", "row", "size", "k").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+
+    def upto_next(start: Column, i: Column) -> Column:
+        then = F.get("starts", i + 1)
+        near = (then - start) * 2 < F.col("size")
+        return F.when(near, F.sequence(start, then - 1)).otherwise(F.array(start))
+
+    return starts.select("id", "row", "size", "k", F.explode(F.flatten(F.transform("starts", upto_next))).alias("start"))
 
 
 def _window_shingles(docs: DataFrame, found: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -155,7 +166,6 @@ def leaks(
     seen = materialize(seen, "window-shingles")
     prints = _fingerprints(seen, spot)
 
-    near = [F.lit(0), *[F.lit(1 << b) for b in range(8)]]
     listed = item_prints.select(
         "entry",
         "item",
@@ -167,7 +177,7 @@ def leaks(
             F.flatten(
                 F.array(
                     *[
-                        F.array(*[F.struct(F.lit(k).alias("block"), _block(k).bitwiseXOR(x).alias("value")) for x in near])
+                        F.array(*[F.struct(F.lit(k).alias("block"), _block(k).bitwiseXOR(F.lit(x)).alias("value")) for x in NEAR])
                         for k in range(BLOCKS)
                     ]
                 )
