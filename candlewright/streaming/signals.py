@@ -35,8 +35,8 @@ class SignalStream:
 
     ``bars`` holds every new bar once, with the signal it had when it came, numbered in order of
     arrival: a candle that comes late does not open or close a position in the past. ``late`` holds
-    candles from before the horizon that are not what is known already, and candles without a
-    symbol or a time. Of two versions of a candle in one batch the greatest by its values counts.
+    candles from before the horizon (repeats of what is no longer kept among them), and candles
+    without a symbol or a time. Of two versions of a candle in one batch the greatest by its values counts.
     A batch reads the slot of the batch before and writes its own, so one that is run again gives
     the same rows, and the number of folders does not grow but for the three results.
     """
