@@ -166,33 +166,18 @@ def leaks(
     seen = materialize(seen, "window-shingles")
     prints = _fingerprints(seen, spot)
 
-    listed = item_prints.select(
-        "entry",
-        "item",
-        "size",
-        "k",
-        F.col("total").alias("item_total"),
-        F.col("print").alias("item_print"),
-        F.explode(
-            F.flatten(
-                F.array(
-                    *[
-                        F.array(*[F.struct(F.lit(k).alias("block"), _block(k).bitwiseXOR(F.lit(x)).alias("value")) for x in NEAR])
-                        for k in range(BLOCKS)
-                    ]
-                )
-            )
-        ).alias("b"),
-    ).select("entry", "item", "size", "k", "item_total", "item_print", "b.block", "b.value")
+    cut = F.posexplode(F.array(*[_block(k) for k in range(BLOCKS)])).alias("block", "value")
+    listed = (
+        item_prints.select(
+            "entry", "item", "size", "k", F.col("total").alias("item_total"), F.col("print").alias("item_print"), "print"
+        )
+        .select("entry", "item", "size", "k", "item_total", "item_print", cut)
+        .withColumn("flip", F.explode(F.array(*[F.lit(x) for x in NEAR])))
+        .withColumn("value", F.col("value").bitwiseXOR(F.col("flip")))
+        .drop("flip")
+    )
     listed = materialize(listed.coalesce(1), "blocks")
-    looked = prints.select(
-        *spot,
-        "total",
-        "print",
-        F.explode(
-            F.array(*[F.struct(F.lit(k).alias("block"), _block(k).alias("value")) for k in range(BLOCKS)])
-        ).alias("b"),
-    ).select(*spot, "total", "print", "b.block", "b.value")
+    looked = prints.select(*spot, "total", "print", cut)
     pairs = (
         looked.join(listed, ["size", "k", "block", "value"])
         .where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
