@@ -233,38 +233,36 @@ def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return done.select(*columns)
 
 
-def row_key() -> Column:
-    """Tells rows apart that share an id or have none. Rows with an id come first."""
-    return F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")
-    )
-
-
-def without(docs: DataFrame, lost: DataFrame) -> DataFrame:
-    """The rows whose key is not among `lost`."""
-    gone = lost.select(F.col("id.id").alias("lost_id"), F.col("id.text").alias("lost_text")).distinct()
-    gone = materialize(gone, "lost")
-    same = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.xxhash64("text") == F.col("lost_text"))
-    columns = [F.col(f"rest.{c}") for c in docs.columns]
-    rest = docs.select(F.struct("*").alias("rest"), "doc_id", "text")
-    return rest.join(gone, same, "left_anti").select(*columns)
-
-
 def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id.
 
     Rows are told apart by id and text, so a row without an id, or with another one's, goes only for
     its own text. Documents without words stay. Of rows with the same id and text one stays.
     """
-    found = jaccard_join.groups(docs.select(row_key().alias("key"), "text"), STAGE_COPIES, "key")
-    lost = found.where("node is not null and not (id <=> component)")
-    return without(docs, lost).dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    found = jaccard_join.groups(rows, STAGE_COPIES, "key").where("node is not null")
+    found = materialize(found.select(F.col("id").alias("key"), "component"), "copies")
+    several = found.where("key <> component").select("component").distinct()
+    members = found.join(several, "component", "left_semi").distinct()
+    named = rows.select("key", "doc_id").join(members, "key")
+    named = materialize(named, "members")
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    first = named.groupBy("component").agg(F.min(rank)["key"].alias("first"))
+    lost = named.join(first, "component").where("key <> first")
+    lost = materialize(lost.select(F.col("key").alias("lost"), F.col("doc_id").alias("lost_id")).distinct(), "lost")
+    same = (F.xxhash64("rest.doc_id", "rest.text") == F.col("lost")) & F.col("rest.doc_id").eqNullSafe(F.col("lost_id"))
+    rest = docs.select(F.struct("*").alias("rest")).join(lost, same, "left_anti").select("rest.*")
+    return rest.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def stage_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go, told apart by id and text."""
-    keyed = docs.select(row_key().alias("key"), "text")
-    return without(docs, decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="key"))
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = decontaminate.leaks(docs.select(key.alias("key"), "text"), table(spark, sf_dir, "benchmark"), id_col="key")
+    lost = found.select(F.col("id.id").alias("lost_id"), F.col("id.text").alias("lost")).distinct()
+    lost = materialize(lost, "leaks")
+    same = (F.xxhash64("rest.text") == F.col("lost")) & F.col("rest.doc_id").eqNullSafe(F.col("lost_id"))
+    return docs.select(F.struct("*").alias("rest")).join(lost, same, "left_anti").select("rest.*")
 
 
 def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
