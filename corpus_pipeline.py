@@ -1,8 +1,9 @@
 """From raw documents to token ids: five stages, each a written table the next one reads.
 
 Needs the subpackage `candlewright.llm`. `run` gives the last stage's rows. No SQL says the same
-(weak supervision, similarity groups and piece ids are no SQL), so `ORACLE_SQL` is None and the
-stages are tested against brute force.
+(weak supervision, similarity groups and piece ids are no SQL), so `ORACLE_SQL` is None. The
+stages are tested one by one: near copies and leaks against brute force, lines against SQL, the rules'
+measures and the pieces' scores against plain Python. The whole run is tested for what it must not keep.
 """
 
 from __future__ import annotations
