@@ -49,6 +49,40 @@ def startup_text(
     return "\n".join(lines)
 
 
+def _general(value: Column) -> Column:
+    """A number without the zeros it does not need."""
+    return F.regexp_replace(F.format_string("%.6f", value.cast("double")), r"\.?0+$", "")
+
+
+def _percent(share: Column) -> Column:
+    return F.concat(F.format_string("%.2f", share.cast("double") * 100), F.lit("%"))
+
+
+def startup_message(settings: DataFrame) -> DataFrame:
+    """One message per run about to start.
+
+    ``settings``: product_id, timeframe, initial_capital, leverage, sensitivity,
+    min_volume_percentile, min_distance, stop_pct, trail_pct; other columns are kept. A missing
+    setting reads ``?``.
+    """
+    values = {
+        "Product ID: ": F.col("product_id").cast("string"),
+        "Initial Capital: $": _general(F.col("initial_capital")),
+        "Leverage: ": F.concat(_general(F.col("leverage")), F.lit("x")),
+        "- Candle TF: ": F.col("timeframe"),
+        "- Price Move Threshold: ": _percent(F.col("sensitivity")),
+        "- Min Volume Percentile: ": _general(F.col("min_volume_percentile")),
+        "- Min Candles Between Trades: ": F.col("min_distance").cast("string"),
+        "- Stop Loss: ": _percent(F.col("stop_pct")),
+        "- Trailing Stop: ": _percent(F.col("trail_pct")),
+    }
+    lines = [F.concat(F.lit(k), F.coalesce(v, F.lit("?"))) for k, v in values.items()]
+    lines.insert(0, F.lit(f"{START_MARK} Trading Bot Started!"))
+    lines.insert(4, F.lit("Order Block Strategy Params:"))
+    lines.insert(8, F.lit("- SMA Trend: 20/50"))
+    return settings.withColumn("message", F.array_join(F.array(*lines), "\n"))
+
+
 def alert_text(trades: DataFrame) -> DataFrame:
     """An entry and an exit message for every trade."""
     side = F.when(F.col("type") == "long", "BUY").otherwise("SELL")

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from candlewright.operators.chain import follow_chain
 from candlewright.operators.exits import initial_stop
@@ -65,30 +66,32 @@ def _compound(taken: DataFrame, params: TradeParams, chunks: ChunkParams) -> Dat
 
 
 def _rounded_capital(numbered: DataFrame, params: TradeParams) -> DataFrame:
-    """Entry capital when sizes are rounded.
+    """Entry capital and position size (``_size``) when sizes are rounded.
 
     Rounding makes every trade depend on the exact capital left by the one before, so trades
     of a symbol pass in order through one task. Only the running capital is held; rows stream.
     """
     columns = numbered.columns
-    schema = numbered.schema
+    schema = StructType(numbered.schema.fields).add("_size", "double")
 
     def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         symbol, capital = None, params.initial_capital
         for batch in batches:
-            before = []
+            before, sizes = [], []
             for name, kind, entry, leave in zip(
                 batch["symbol"], batch["type"], batch["entry_price"], batch["exit_price"]
             ):
                 if name != symbol:
                     symbol, capital = name, params.initial_capital
                 before.append(capital)
+                usable = entry and entry == entry
+                size = round(capital * params.leverage / entry, params.size_decimals) if usable else 0.0
+                sizes.append(size)
                 # Without a usable price the trade changes nothing, as in the exact form.
-                if entry and entry == entry and leave == leave:
-                    size = round(capital * params.leverage / entry, params.size_decimals)
+                if usable and leave == leave:
                     change = size * leave - size * entry
                     capital += change if kind == "long" else -change
-            yield batch.assign(entry_capital=before)[columns]
+            yield batch.assign(entry_capital=before, _size=sizes)[[*columns, "_size"]]
 
     ordered = numbered.repartition("symbol").sortWithinPartitions("symbol", "trade_no")
     return ordered.mapInPandas(carry, schema)
@@ -99,11 +102,11 @@ def compounding_trades(
 ) -> DataFrame:
     """The trade table of non-overlapping entries."""
     numbered = _compound(taken, params, chunks)
-    if params.size_decimals is not None:
-        numbered = _rounded_capital(numbered, params)
-    size = position_size(
-        F.col("entry_capital"), F.col("entry_price"), params.leverage, params.size_decimals
-    )
+    if params.size_decimals is None:
+        size = position_size(F.col("entry_capital"), F.col("entry_price"), params.leverage)
+    else:
+        # The size that the capital was carried with, not rounded a second time by another rule.
+        numbered, size = _rounded_capital(numbered, params), F.col("_size")
     first = initial_stop(F.col("entry_price"), side_sign(), params.stop_pct)
     reason = (
         F.when(F.col("exit_kind") == "stop", params.stop_reason)

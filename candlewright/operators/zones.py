@@ -164,6 +164,24 @@ def signals_on_last_bar(indexed: DataFrame, zones: DataFrame, entry_at: str = "o
     return signal_bars(zones, entry_at).join(newest, ["symbol", "idx"])
 
 
+def signals_at_polls(
+    indexed: DataFrame, zones: DataFrame, entry_at: str = "trigger", every_seconds: int = 86400
+) -> DataFrame:
+    """What a run that looks every ``every_seconds`` acts on: signals on each look's newest bar.
+
+    Looks are at whole multiples of the interval from 1970 on; ``polled_at`` is the end of the one
+    that first sees the bar. Zones of a bar do not depend on later bars, so one scan serves all looks.
+    """
+    # The window is half open, as a look takes in the bars before its instant.
+    look = F.window("bar_ts", f"{every_seconds} seconds")["end"].cast("timestamp_ntz")
+    newest = (
+        indexed.where("bar_ts is not null")
+        .groupBy("symbol", look.alias("polled_at"))
+        .agg(F.max("idx").alias("idx"))
+    )
+    return signal_bars(zones, entry_at).join(newest, ["symbol", "idx"])
+
+
 def zone_active_bars(
     indexed: DataFrame, zones: DataFrame, chunks: ChunkParams = ChunkParams()
 ) -> DataFrame:

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from candlewright.schema import CANDLE, CANDLE_COLUMNS, OHLCV
 from candlewright.session import materialize
 
 _TEXT_FIELDS = "open string, high string, low string, close string, volume string"
-ENVELOPE = (
-    "success boolean, error string, "
-    f"result array<struct<time bigint, timestamp bigint, {_TEXT_FIELDS.replace(' string', ': string')}>>"
-)
 
 
 def read_candles(
@@ -64,27 +58,89 @@ def to_number(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def candle_normalize(raw: DataFrame) -> DataFrame:
-    """Raw rows (symbol, ``time`` or ``timestamp`` in epoch seconds, five fields) to candles."""
+# Epoch seconds beyond the year 9999 are no times; milliseconds taken for seconds end up there.
+_LAST_SECOND = 253402300799
+
+
+def read_time(raw: Column) -> Column:
+    """Epoch seconds as text or number to (seconds, reason): one of the two is null.
+
+    A whole number is a time, also written as text or with a zero fraction. Everything else keeps
+    no time and says why.
+    """
+    written = raw.cast("string")
+    number = written.try_cast("decimal(38,6)")
+    reason = (
+        F.when(written.isNull(), "missing")
+        .when(number.isNull(), "not a number")
+        .when(F.abs(number) > _LAST_SECOND, "out of range")
+        .when(number != F.floor(number), "fractional")
+    )
+    whole = F.when(reason.isNull(), number).try_cast("bigint")
+    return F.struct(whole.alias("seconds"), reason.alias("reason"))
+
+
+def _raw_time(raw: DataFrame) -> Column:
     names = [c for c in ("time", "timestamp") if c in raw.columns]
-    at = F.timestamp_seconds(F.coalesce(*[F.col(c).cast("bigint") for c in names]))
+    return F.coalesce(*[F.col(c).cast("string") for c in names])
+
+
+def candle_normalize(raw: DataFrame) -> DataFrame:
+    """Raw rows (symbol, ``time`` or ``timestamp`` in epoch seconds, five fields) to candles.
+
+    A time that cannot be read is missing here and kept as it came by ``time_rejects``.
+    """
     # Epoch seconds are UTC whatever zone the session shows times in.
-    at = F.to_utc_timestamp(at, F.current_timezone()).cast("timestamp_ntz")
+    at = F.timestamp_seconds(read_time(_raw_time(raw))["seconds"])
     return raw.select(
         "symbol",
-        at.alias("bar_ts"),
+        F.to_utc_timestamp(at, F.current_timezone()).cast("timestamp_ntz").alias("bar_ts"),
         *[to_number(F.col(c).cast("string")).alias(c) for c in OHLCV],
     )
 
 
+def time_rejects(raw: DataFrame) -> DataFrame:
+    """Raw rows whose time cannot be read: the time as it came, the reason, and the five fields."""
+    return raw.select(
+        "symbol",
+        _raw_time(raw).alias("raw_time"),
+        read_time(_raw_time(raw))["reason"].alias("reason"),
+        *[to_number(F.col(c).cast("string")).alias(c) for c in OHLCV],
+    ).where("reason is not null")
+
+
 def parse_envelopes(responses: DataFrame, body: str = "body") -> DataFrame:
-    return responses.withColumn("_e", F.from_json(body, ENVELOPE))
+    """Responses with ``_e``: success, error and the list of bars, each as it came (a variant).
+
+    A bar of an odd shape spoils neither its response nor its neighbours.
+    """
+    opened = F.try_parse_json(body)
+    return responses.withColumn(
+        "_e",
+        F.struct(
+            F.try_variant_get(opened, "$.success", "boolean").alias("success"),
+            F.try_variant_get(opened, "$.error", "string").alias("error"),
+            F.try_variant_get(opened, "$.result", "array<variant>").alias("bars"),
+        ),
+    )
+
+
+def envelope_rows(responses: DataFrame, body: str = "body") -> DataFrame:
+    """Raw rows out of JSON envelopes (symbol, body), every field as text; failed ones give none."""
+    bars = (
+        parse_envelopes(responses, body)
+        .where("_e.success")
+        .select("symbol", F.explode("_e.bars").alias("_bar"))
+    )
+    fields = ["time", "timestamp", *OHLCV]
+    return bars.select(
+        "symbol", *[F.try_variant_get("_bar", f"$.{c}", "string").alias(c) for c in fields]
+    )
 
 
 def candle_envelope(responses: DataFrame, body: str = "body") -> DataFrame:
     """Candles out of JSON envelopes (symbol, body); failed and empty ones give no rows."""
-    opened = parse_envelopes(responses, body).where("_e.success")
-    return candle_normalize(opened.select("symbol", F.inline("_e.result")))
+    return candle_normalize(envelope_rows(responses, body))
 
 
 def envelope_errors(responses: DataFrame, body: str = "body") -> DataFrame:
@@ -97,20 +153,6 @@ def envelope_errors(responses: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def backfill_union(slices: Iterable[DataFrame]) -> DataFrame:
-    """Slices of history as one table. A candle two slices share is taken from the later one."""
-    united = None
-    for number, part in enumerate(slices):
-        tagged = part.select(*CANDLE_COLUMNS, F.lit(number).alias("_slice"))
-        united = tagged if united is None else united.unionByName(tagged)
-    if united is None:
-        raise ValueError("no slices")
-    newest = united.groupBy("symbol", "bar_ts").agg(
-        *[F.max_by(c, "_slice").alias(c) for c in OHLCV]
-    )
-    return newest.select(*CANDLE_COLUMNS)
-
-
 def _newest(candles: DataFrame, value: str) -> DataFrame:
     """The newest value of each symbol, written first.
 
@@ -154,13 +196,16 @@ def head_tail(candles: DataFrame, n: int = 5) -> DataFrame:
 CSV = "timestamp string, " + _TEXT_FIELDS
 
 
-def read_candle_csv(spark: SparkSession, path: str, symbol: str | Column) -> DataFrame:
+def read_candle_csv(spark: SparkSession, path: str, symbol: str | Column | None = None) -> DataFrame:
     """Headered CSV files; ``symbol`` names the table, or is a Column such as a path part.
 
-    Rows whose time or numbers cannot be read keep a null there.
+    Without it the symbol is that of the folders (``symbol=...``) below ``path``: a filter on it
+    reads only those folders. Rows whose time or numbers cannot be read keep a null there.
     """
-    name = F.lit(symbol) if isinstance(symbol, str) else symbol
-    raw = spark.read.schema(CSV).option("mode", "PERMISSIVE").csv(path, header=True)
+    in_folders = symbol is None
+    name = F.col("symbol") if in_folders else F.lit(symbol) if isinstance(symbol, str) else symbol
+    schema = f"{CSV}, symbol string" if in_folders else CSV
+    raw = spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path, header=True)
     return raw.select(
         name.alias("symbol"),
         F.col("timestamp").try_cast("timestamp_ntz").alias("bar_ts"),

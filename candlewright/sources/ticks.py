@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType, TimestampNTZType
 
 from candlewright.operators.scan import running
 from candlewright.schema import CANDLE_COLUMNS, resolution_seconds
@@ -12,6 +13,34 @@ def bar_start(ts: Column | str, resolution: str) -> Column:
     return F.window(ts, f"{resolution_seconds(resolution)} seconds")["start"].cast("timestamp_ntz")
 
 
+# Farther apart than any two sequence numbers of 64 bits.
+_STRIDE = "20000000000000000000"
+
+
+def _micros(ticks: DataFrame, ts: str) -> Column:
+    if not isinstance(ticks.schema[ts].dataType, TimestampNTZType):
+        return F.unix_micros(F.col(ts).cast("timestamp"))
+    # Not by way of the session's zone, where two times may fall on one.
+    minutes = F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return minutes * 60_000_000 + (F.date_part(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("bigint")
+
+
+def tick_key(ticks: DataFrame, ts: str, seq: str | None) -> Column:
+    """Time and sequence number in one value of fixed width that sorts like the pair.
+
+    A pair is no fixed-width value, so taking its extremes makes Spark sort all ticks first; a decimal
+    keeps the aggregation hash-based. A tick without a number comes before those with one. A ``seq`` that
+    is no whole number (such as a text) is compared as it is, at the price of the sort.
+    """
+    if seq is None:
+        return F.col(ts)
+    if not isinstance(ticks.schema[seq].dataType, IntegralType):
+        return F.struct(ts, seq)
+    wide = "decimal(20,0)"
+    number = F.coalesce(F.col(seq).cast(wide), F.lit("-9223372036854775809").cast(wide))
+    return _micros(ticks, ts).cast("decimal(18,0)") * F.lit(_STRIDE).cast(wide) + number
+
+
 def candles_from_ticks(
     ticks: DataFrame,
     resolution: str,
@@ -22,12 +51,8 @@ def candles_from_ticks(
     price: str = "price",
     volume: str = "volume",
 ) -> DataFrame:
-    """OHLCV bars of the ticks; ``seq`` orders ticks of one instant.
-
-    Where no two ticks of a symbol share an instant, ``seq=None`` is several times faster: a
-    plain timestamp keeps the aggregation hash-based, a pair makes Spark sort the ticks first.
-    """
-    at = F.col(ts) if seq is None else F.struct(ts, seq)
+    """OHLCV bars of the ticks; ``seq`` orders ticks of one instant."""
+    at = tick_key(ticks, ts, seq)
     return (
         ticks.select(
             F.col(symbol).alias("symbol"),

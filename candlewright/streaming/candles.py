@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from candlewright.schema import CANDLE_COLUMNS, resolution_seconds
+from candlewright.sources.ticks import tick_key
 
 
 def stream_candles(
@@ -18,7 +19,7 @@ def stream_candles(
     *,
     symbol: str = "symbol",
     ts: str = "ts",
-    seq: str = "seq",
+    seq: str | None = "seq",
     price: str = "price",
     volume: str = "volume",
 ) -> DataFrame:
@@ -26,11 +27,11 @@ def stream_candles(
 
     Ticks later than that are dropped. Same bars as the batch operator for all closed ones.
     """
-    order = F.struct(ts, seq)
+    timed = ticks.withColumn(ts, F.col(ts).cast("timestamp"))
+    order = tick_key(timed, ts, seq)
     bar = F.window(ts, f"{resolution_seconds(resolution)} seconds")
     return (
-        ticks.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, late_by)
+        timed.withWatermark(ts, late_by)
         .groupBy(F.col(symbol).alias("symbol"), bar.alias("_bar"))
         .agg(
             F.min_by(price, order).alias("open"),

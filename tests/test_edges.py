@@ -18,7 +18,7 @@ from candlewright.params import TRADING, ChunkParams, TradeParams
 from candlewright.plans.study import Study
 from candlewright.schema import CANDLE, EQUITY_COLUMNS, TRADE_COLUMNS, ZONE_COLUMNS
 from candlewright.session import materialize
-from candlewright.sources import candles as sources
+from candlewright.sources import backfill, candles as sources
 
 SHORT = ChunkParams(size=64, fan=2)
 START = dt.datetime(2024, 1, 1)
@@ -190,7 +190,7 @@ def test_csv_row_without_time_is_rejected(spark, tmp_path):
 def test_backfill_takes_shared_candle_from_the_later_slice(spark):
     one = candles(spark, [(1.0, 1.0, 1.0, 1.0, 1.0)] * 2)
     two = candles(spark, [(2.0, 2.0, 2.0, 2.0, 2.0)] * 3).where("bar_ts > timestamp_ntz'2024-01-01'")
-    got = [r.open for r in sources.backfill_union([one, two]).orderBy("bar_ts").collect()]
+    got = [r.open for r in backfill.backfill_union([one, two]).orderBy("bar_ts").collect()]
     assert got == [1.0, 2.0, 2.0]
 
 

@@ -228,6 +228,10 @@ _STATS = """count(*) as n_trades,
 _SYMBOL_STATS = f"""symbol, {_STATS}, round(max_by(exit_capital, trade_no), 5) as final_capital,
   round(max_by(exit_capital, trade_no) - 100, 5) as total_return_pct"""
 
+RANGES = """ranges as (
+  select symbol, date_trunc('day', min(bar_ts)) as start_ts, date_trunc('day', max(bar_ts)) + interval '1 day' as end_ts
+  from candles group by symbol)"""
+
 LINES = """lines as (
   select l_orderkey, l_linenumber, l_suppkey, l_partkey as product_id, l_quantity as size,
     case when l_returnflag = 'R' then 'sell' else 'buy' end as side,
@@ -315,6 +319,16 @@ from trades where exit_reason <> 'end_of_data'""",
         True,
     ),
     "stream_equity": _TRADED["equity_at_trigger"],
+    # Without the bars after a gap that the watermark has not passed at the end.
+    "stream_gaps": _q(
+        f"""{BARS}, mark as (select date_trunc('millisecond', max(bar_ts)) - interval '1 day' as mark_ts from bars
+  where idx % 97 <> 50),
+stuck as (
+  select g.symbol, min(g.idx) as idx from bars g left join bars n on n.symbol = g.symbol and n.idx = g.idx + 1
+  where g.idx % 97 = 50 and (n.idx is null or n.bar_ts > (select mark_ts from mark)) group by g.symbol)""",
+        """select symbol, b.idx, case when b.idx % 97 = 51 then 1 else 0 end::bigint as n_missing
+from bars b left join stuck s using (symbol) where b.idx % 97 <> 50 and (s.idx is null or b.idx < s.idx)""",
+    ),
     "candle_scan": _q(
         CANDLES,
         f"{CANDLE_SELECT} where symbol = 'view' and bar_ts between timestamp '2024-01-09 23:00:00' "
@@ -335,9 +349,42 @@ from trades where exit_reason <> 'end_of_data'""",
         "select symbol, bar_ts, open, high, low, case when close < open then null else close end as close, "
         "case when hour(bar_ts) <> 7 then volume end as volume from candles",
     ),
-    "backfill_union": _q(
+    "candle_times": _q(
+        CANDLES, f"{CANDLE_SELECT} where hour(bar_ts) not in (3, 9, 15, 21)"
+    ),
+    "candle_time_rejects": _q(
         CANDLES,
-        f"{CANDLE_SELECT} where bar_ts between timestamp '2024-01-01' and timestamp '2024-02-01'",
+        """select symbol,
+  case hour(bar_ts) when 3 then epoch(bar_ts)::bigint || '.5' when 9 then strftime(bar_ts, '%Y-%m-%d %H:%M')
+    when 21 then epoch(bar_ts)::bigint || '000' end as raw_time,
+  case hour(bar_ts) when 3 then 'fractional' when 9 then 'not a number' when 15 then 'missing'
+    else 'out of range' end as reason, open, high, low, close, volume
+from candles where hour(bar_ts) in (3, 9, 15, 21)""",
+    ),
+    "backfill_union": _q(CANDLES, CANDLE_SELECT),
+    "backfill_plan": _q(
+        f"{CANDLES}, {RANGES}",
+        """select symbol, (row_number() over (partition by symbol order by began) - 1)::bigint as slice,
+  began::timestamp as start_ts, least(began + interval '100 hours', end_ts)::timestamp as end_ts
+from (select symbol, end_ts, unnest(generate_series(start_ts, end_ts - interval '1 second', interval '100 hours')) as began
+  from ranges)""",
+    ),
+    "backfill_coverage": _q(
+        CANDLES,
+        """select symbol, min(bar_ts) as start_ts, max(bar_ts) as end_ts, count(*) as n_bars
+from (select symbol, bar_ts,
+  bar_ts - to_hours(row_number() over (partition by symbol order by bar_ts)) as run from candles)
+group by symbol, run""",
+    ),
+    "backfill_gaps": _q(
+        f"""{CANDLES}, {RANGES}, hours as (
+  select symbol, unnest(generate_series(start_ts, end_ts - interval '1 second', interval '1 hour')) as bar_ts from ranges),
+lacking as (select symbol, bar_ts from hours anti join candles using (symbol, bar_ts))""",
+        """select symbol, min(bar_ts)::timestamp as start_ts, (max(bar_ts) + interval '1 hour')::timestamp as end_ts,
+  count(*) as n_missing
+from (select symbol, bar_ts,
+  bar_ts - to_hours(row_number() over (partition by symbol order by bar_ts)) as run from lacking)
+group by symbol, run""",
     ),
     "latest_window": _q(
         CANDLES,
@@ -452,6 +499,13 @@ from trades where exit_reason <> 'end_of_data'""",
         "from zones group by symbol",
         True,
     ),
+    "signals_at_polls": _q(
+        f"""{ZONES}, {_signals('trigger')}, polls as (
+  select symbol, time_bucket(interval '6 hours', bar_ts) + interval '6 hours' as polled_at, max(idx) as idx
+  from bars group by symbol, time_bucket(interval '6 hours', bar_ts))""",
+        "select symbol, idx, polled_at, side, n_copies from polls join signals using (symbol, idx)",
+        True,
+    ),
     "zone_overlay": _q(
         f"{ZONES}, r as (select symbol, min(low) as lo, max(high) as hi, max(idx) as last_idx from bars group by symbol)",
         "select symbol, side, trigger_idx, start_idx, last_idx, round((bot - lo) / (hi - lo), 8) as bot_frac, "
@@ -597,13 +651,17 @@ every as (select symbol, lo, hi, cast(unnest(range(1, 21)) as integer) as bin fr
     "position_from_events": """
 with e as (
   select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn,
-    case when event_id % 2 = 0 then 1 else -1 end as sign
-  from events where event_type in ('purchase', 'error'))
-select user_id, case when event_type = 'purchase' then sign else 0 end as position,
-  case when event_type = 'purchase' then value end as entry_price,
-  case when event_type = 'purchase' then round(value * (1 - sign * 0.02), 6) end as stop_loss,
-  case when event_type = 'purchase' then round(value * (1 - sign * 0.015), 6) end as trailing_stop
+    case when event_id % 2 = 0 then 1 else -1 end as sign, event_type in ('purchase', 'signup', 'view') as entered
+  from events)
+select user_id, case when entered then sign else 0 end as position,
+  case when entered then value end as entry_price,
+  case when entered then round(value * (1 - sign * 0.02), 6) end as stop_loss,
+  case when entered then round(value * (1 - sign * 0.015), 6) end as trailing_stop
 from e where rn = 1""",
+    "order_intents_fractional": f"""
+with {LINES}, o as (
+  select *, size * discount * case when side = 'sell' then -1 else 1 end as part from lines)
+select l_orderkey, l_linenumber, product_id, trunc(part)::bigint as size, side from o where abs(part) >= 1""",
     "order_intents": _q(INTENTS, "select * from intents"),
     "stop_order_intents": _q(
         f"""{LINES}, o as (
@@ -668,6 +726,20 @@ from shown, (values ('entry'), ('exit')) as v(kind)""",
         "select '⚠️ <b>Error Alert</b>' || chr(10) || chr(10) || 'error: unavailable' as message, "
         "count(distinct date_trunc('day', bar_ts)) as n from candles where symbol = 'error'",
     ),
+    "startup_message": """
+select p_partkey as product_id, concat('🚀 Trading Bot Started!',
+  chr(10), 'Product ID: ', p_partkey,
+  chr(10), 'Initial Capital: $', regexp_replace(printf('%.6f', p_retailprice::double), '\\.?0+$', ''),
+  chr(10), 'Leverage: ', regexp_replace(printf('%.6f', (p_size % 5 + 1) / 2.0), '\\.?0+$', ''), 'x',
+  chr(10), 'Order Block Strategy Params:',
+  chr(10), '- Candle TF: ', ['1m', '5m', '15m', '1h', '4h', '1d'][p_size % 6 + 1],
+  chr(10), '- Price Move Threshold: ', printf('%.2f', (p_size + 1) / 10.0), '%',
+  chr(10), '- Min Volume Percentile: 30',
+  chr(10), '- SMA Trend: 20/50',
+  chr(10), '- Min Candles Between Trades: ', case when p_size = 7 then '?' else '5' end,
+  chr(10), '- Stop Loss: 2.00%',
+  chr(10), '- Trailing Stop: 1.50%') as message
+from part""",
     "round_to_tick": f"select p_partkey, {_tick('t005', '0.05', 2)},{_tick('t05', '0.5', 1)},{_tick('t1', '1', 1)} from part",
 }
 

@@ -16,9 +16,9 @@ from candlewright.operators import zones as zone_ops
 from candlewright.operators.index import bar_index
 from candlewright.params import ROUNDED_STUDY, STUDY, TRADING, ChunkParams, TradeParams
 from candlewright.plans.study import Study
-from candlewright.schema import CANDLE_COLUMNS
+from candlewright.schema import CANDLE_COLUMNS, RESOLUTIONS
 from candlewright.session import materialize, scratch_path
-from candlewright.sources import candles as candle_sources
+from candlewright.sources import backfill, candles as candle_sources
 from candlewright.sources import sinks
 from candlewright.sources.ticks import resample_candles, walk_candles
 from candlewright.streaming import candles as streams
@@ -141,14 +141,72 @@ def candle_normalize(spark, sf_dir):
     return candle_sources.candle_normalize(raw)
 
 
+def _time_envelopes(spark, sf_dir) -> DataFrame:
+    """Daily responses whose times come in every form a source has been seen to send."""
+    secs = F.unix_seconds(F.col("bar_ts").cast("timestamp")).cast("string")
+    hour = F.hour("bar_ts")
+    time = (
+        F.when(hour == 3, F.concat(secs, F.lit(".5")))
+        .when(hour == 6, F.concat(secs, F.lit(".0")))
+        .when(hour == 9, F.concat(F.lit('"'), F.date_format("bar_ts", "yyyy-MM-dd HH:mm"), F.lit('"')))
+        .when(hour == 12, F.concat(F.lit('"'), secs, F.lit('"')))
+        .when(hour == 15, "null")
+        .when(hour == 21, F.concat(secs, F.lit("000")))
+        .otherwise(secs)
+    )
+    fields = [F.concat(F.lit(f',"{c}":'), F.col(c).cast("string")) for c in CANDLE_COLUMNS[2:]]
+    bar = F.concat(F.lit('{"time":'), time, *fields, F.lit("}"))
+    daily = candles(spark, sf_dir).groupBy("symbol", F.to_date("bar_ts").alias("day"))
+    return daily.agg(F.array_join(F.collect_list(bar), ",").alias("bars")).select(
+        "symbol", F.concat(F.lit('{"success":true,"result":['), "bars", F.lit("]}")).alias("body")
+    )
+
+
+def candle_times(spark, sf_dir):
+    """Candles of the same responses: every whole number is a time, however it is written."""
+    return candle_sources.candle_envelope(_time_envelopes(spark, sf_dir)).where("bar_ts is not null")
+
+
+def candle_time_rejects(spark, sf_dir):
+    raw = candle_sources.envelope_rows(_time_envelopes(spark, sf_dir))
+    return candle_sources.time_rejects(raw)
+
+
+BACKFILL_BARS = 100
+
+
+def _ranges(spark, sf_dir) -> DataFrame:
+    """Whole days from each symbol's first candle to its last."""
+    first, last = F.date_trunc("day", F.min("bar_ts")), F.date_trunc("day", F.max("bar_ts"))
+    return candles(spark, sf_dir).groupBy("symbol").agg(
+        first.cast("timestamp_ntz").alias("start_ts"),
+        (last + F.expr("interval 1 day")).cast("timestamp_ntz").alias("end_ts"),
+    )
+
+
 def backfill_union(spark, sf_dir):
-    base = candles(spark, sf_dir)
-    edges = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    slices = [
-        candle_sources.candle_scan(base, None, f"{a} 00:00:00", f"{b} 00:00:00")
-        for a, b in zip(edges, edges[1:])
-    ]
-    return candle_sources.backfill_union(slices)
+    """Slices as files, read in one scan. A slice has half the volume of the bar it ends in."""
+    ranges = _ranges(spark, sf_dir)
+    cut = backfill.cut_slices(candles(spark, sf_dir), ranges, 3600, BACKFILL_BARS)
+    plan = backfill.slice_plan(ranges, 3600, BACKFILL_BARS)
+    ends = plan.select("symbol", "slice", F.col("end_ts").alias("bar_ts"), F.lit(0.5).alias("_part"))
+    part = F.coalesce("_part", F.lit(1.0))
+    seen = cut.join(ends, ["symbol", "slice", "bar_ts"], "left").withColumn("volume", F.col("volume") * part)
+    path = scratch_path(spark, "slices")
+    seen.drop("_part").write.partitionBy("slice").parquet(path)
+    return backfill.merge_slices(backfill.read_slices(spark, path))
+
+
+def backfill_plan(spark, sf_dir):
+    return backfill.slice_plan(_ranges(spark, sf_dir), 3600, BACKFILL_BARS)
+
+
+def backfill_coverage(spark, sf_dir):
+    return backfill.coverage(candles(spark, sf_dir), 3600)
+
+
+def backfill_gaps(spark, sf_dir):
+    return backfill.gaps(candles(spark, sf_dir), _ranges(spark, sf_dir), 3600)
 
 
 def latest_window(spark, sf_dir):
@@ -169,8 +227,7 @@ def candle_csv(spark, sf_dir):
     at = F.when(F.hour("bar_ts") != 0, F.date_format("bar_ts", "yyyy-MM-dd HH:mm:ss"))
     out = candles(spark, sf_dir).select("symbol", at.alias("timestamp"), *CANDLE_COLUMNS[2:])
     out.write.partitionBy("symbol").csv(path, header=True)
-    folder = F.regexp_extract(F.input_file_name(), "symbol=([^/]+)/", 1)
-    read = candle_sources.read_candle_csv(spark, f"{path}/symbol=*", folder)
+    read = candle_sources.read_candle_csv(spark, path)
     return read.where("bar_ts is not null")
 
 
@@ -179,8 +236,7 @@ def candle_csv_rejects(spark, sf_dir):
     at = F.when(F.hour("bar_ts") != 0, F.date_format("bar_ts", "yyyy-MM-dd HH:mm:ss"))
     out = candles(spark, sf_dir).select("symbol", at.alias("timestamp"), *CANDLE_COLUMNS[2:])
     out.write.partitionBy("symbol").csv(path, header=True)
-    folder = F.regexp_extract(F.input_file_name(), "symbol=([^/]+)/", 1)
-    read = candle_sources.read_candle_csv(spark, f"{path}/symbol=*", folder)
+    read = candle_sources.read_candle_csv(spark, path)
     return candle_sources.candle_rejects(read).drop("bar_ts")
 
 
@@ -346,6 +402,12 @@ def signals_on_last_bar(spark, sf_dir):
     return zone_ops.signals_on_last_bar(upto, s.zones, "trigger")
 
 
+def signals_at_polls(spark, sf_dir):
+    """What a run that looks every six hours acts on, over all bars."""
+    s = study(spark, sf_dir)
+    return zone_ops.signals_at_polls(s.bars, s.zones, "trigger", 6 * 3600)
+
+
 def zone_overlay(spark, sf_dir):
     s = study(spark, sf_dir)
     return rounded(zone_ops.zone_overlay(s.bars, s.zones), bot_frac=8, top_frac=8)
@@ -518,8 +580,8 @@ def candle_summary(spark, sf_dir):
 
 
 def position_from_events(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "error"))
-    entry = F.col("event_type") == "purchase"
+    e = table(spark, sf_dir, "events")
+    entry = F.col("event_type").isin("purchase", "signup", "view")
     direction = F.when(F.col("event_id") % 2 == 0, "long").otherwise("short")
     sign = F.when(direction == "long", 1).otherwise(-1)
     events = e.select(
@@ -571,6 +633,19 @@ def order_intents(spark, sf_dir):
     return order_ops.order_intents(orders)
 
 
+def order_intents_fractional(spark, sf_dir):
+    """Sizes with a fraction of either sign: the fraction goes, and so do orders of less than one."""
+    size = F.col("size") * F.col("discount") * F.when(F.col("side") == "sell", -1).otherwise(1)
+    orders = _line_orders(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "product_id", size.alias("size"), "side", "order_type",
+        F.col("price").alias("limit_price"),
+        F.lit(None).cast("string").alias("time_in_force"),
+        F.lit(None).cast("string").alias("post_only"),
+        F.lit(None).cast("string").alias("reduce_only"),
+    )
+    return order_ops.order_intents(orders).select("l_orderkey", "l_linenumber", "product_id", "size", "side")
+
+
 def stop_order_intents(spark, sf_dir):
     orders = _line_orders(spark, sf_dir).select(
         "l_orderkey",
@@ -650,6 +725,22 @@ def error_alert(spark, sf_dir):
     return failed.groupBy(text.error_alert(shown).alias("message")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def startup_message(spark, sf_dir):
+    """A run for every part, with settings made from its columns."""
+    settings = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.element_at(F.array(*map(F.lit, RESOLUTIONS)), (F.col("p_size") % len(RESOLUTIONS) + 1).cast("int")).alias("timeframe"),
+        F.col("p_retailprice").alias("initial_capital"),
+        ((F.col("p_size") % 5 + 1) / 2).alias("leverage"),
+        ((F.col("p_size") + 1) / 1000).alias("sensitivity"),
+        F.lit(TRADING.min_volume_percentile).alias("min_volume_percentile"),
+        F.when(F.col("p_size") != 7, F.lit(TRADING.min_distance)).alias("min_distance"),
+        F.lit(STUDY.stop_pct).alias("stop_pct"),
+        F.lit(STUDY.trail_pct).alias("trail_pct"),
+    )
+    return text.startup_message(settings).select("product_id", "message")
+
+
 def round_to_tick_query(spark, sf_dir):
     price = F.col("p_retailprice")
     made = {}
@@ -804,6 +895,23 @@ def stream_positions(spark, sf_dir):
     )
 
 
+def stream_gaps(spark, sf_dir):
+    """Bars that never come: every 97th is left out, and those after it wait a day at most."""
+    s = study(spark, sf_dir)
+    signal = zone_ops.signal_bars(s.zones, "trigger")
+    bars = s.bars.select("symbol", "idx", "bar_ts", "close").join(signal, ["symbol", "idx"], "left")
+    sent = bars.where(F.col("idx") % 97 != 50).withColumn("n_copies", F.coalesce("n_copies", F.lit(0)))
+    path = scratch_path(spark, "gap_stream")
+    sent = materialize(sent.withColumn("bar_ts", F.col("bar_ts").cast("timestamp")), "gap_bars")
+    edges = ["2000-01-01", "2024-01-10", "2024-01-20", "2100-01-01"]
+    for start, end in zip(edges, edges[1:]):
+        part = sent.where((F.col("bar_ts") >= start) & (F.col("bar_ts") < end))
+        part.coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    moved = positions.stream_positions(reader, TRIGGER_STUDY, "1 day")
+    return _to_folder(spark, moved, "stream_gaps").select("symbol", "idx", "n_missing")
+
+
 def stream_equity(spark, sf_dir):
     equity = positions.stream_equity(_positions(spark, sf_dir))
     return _equity_columns(equity.withColumn("bar_ts", F.col("bar_ts").cast("timestamp_ntz")))
@@ -814,7 +922,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candle_envelope": candle_envelope,
     "candle_envelope_errors": candle_envelope_errors,
     "candle_normalize": candle_normalize,
+    "candle_times": candle_times,
+    "candle_time_rejects": candle_time_rejects,
     "backfill_union": backfill_union,
+    "backfill_plan": backfill_plan,
+    "backfill_coverage": backfill_coverage,
+    "backfill_gaps": backfill_gaps,
     "latest_window": latest_window,
     "latest_bars": latest_bars,
     "lookback_days": lookback_days,
@@ -860,6 +973,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_at_zone_start": bars_at_zone_start,
     "zone_active_bars": zone_active_bars,
     "signals_on_last_bar": signals_on_last_bar,
+    "signals_at_polls": signals_at_polls,
     "zone_overlay": zone_overlay,
     "first_exit": first_exit,
     "nonoverlapping_trades": nonoverlapping_trades,
@@ -899,6 +1013,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candle_summary": candle_summary,
     "position_from_events": position_from_events,
     "order_intents": order_intents,
+    "order_intents_fractional": order_intents_fractional,
     "stop_order_intents": stop_order_intents,
     "order_batches": order_batches,
     "order_json": order_json,
@@ -908,6 +1023,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_position": first_position,
     "alert_text": alert_text,
     "error_alert": error_alert,
+    "startup_message": startup_message,
     "round_to_tick": round_to_tick_query,
     "stream_candles": stream_candles,
     "stream_dedupe": stream_dedupe,
@@ -915,4 +1031,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_signals_corrected": stream_signals_corrected,
     "stream_positions": stream_positions,
     "stream_equity": stream_equity,
+    "stream_gaps": stream_gaps,
 }
