@@ -51,11 +51,13 @@ def startup_text(
 
 def _general(value: Column) -> Column:
     """A number without the zeros it does not need."""
-    return F.regexp_replace(F.format_string("%.6f", value.cast("double")), r"\.?0+$", "")
+    shown = F.regexp_replace(F.format_string("%.6f", value.cast("double")), r"\.?0+$", "")
+    return F.when(value.isNotNull(), shown)
 
 
 def _percent(share: Column) -> Column:
-    return F.concat(F.format_string("%.2f", share.cast("double") * 100), F.lit("%"))
+    shown = F.concat(F.format_string("%.2f", share.cast("double") * 100), F.lit("%"))
+    return F.when(share.isNotNull(), shown)
 
 
 def startup_message(settings: DataFrame) -> DataFrame:

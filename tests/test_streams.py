@@ -144,6 +144,35 @@ def test_positions_take_bars_in_any_order(spark, tmp_path, files):
     assert run([mixed[:25], mixed[25:50], mixed[45:]], "mixed", files) == whole
 
 
+def test_positions_give_up_bars_that_never_come(spark, tmp_path):
+    """A lost bar counts as one without a price, once event time is past the delay."""
+    rng, price, rows = random.Random(11), 100.0, []
+    for idx in range(60):
+        price *= 1 + rng.uniform(-0.03, 0.03)
+        side = rng.choice(["bull", "bear", None])
+        ts = dt.datetime(2024, 1, 1) + dt.timedelta(hours=idx)
+        rows.append(("A", idx, ts, price, side, int(side is not None)))
+    lost, waits = {7, 20, 21, 22}, {57}
+    schema = "symbol string, idx bigint, bar_ts timestamp, close double, side string, n_copies bigint"
+
+    def run(parts, name, delay):
+        for part in parts:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        bars = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+        return to_parquet(stream_positions(bars, gap_delay=delay), tmp_path, f"out_{name}").orderBy("idx").collect()
+
+    # Bar 30 comes late but within the delay.
+    first = [r for r in rows[:35] if r[1] not in lost | {30}]
+    sent = [first, [rows[30]] + rows[35:50], [r for r in rows[50:] if r[1] not in waits]]
+    got = run(sent, "gaps", "6 hours")
+    priced = [r if r[1] not in lost else (*r[:3], None, *r[4:]) for r in rows]
+    want = run([priced], "whole", None)
+    assert [r.idx for r in got] == [r.idx for r in want if r.idx < 57]
+    assert [tuple(r)[:-1] for r in got] == [tuple(r)[:-1] for r in want if r.idx < 57]
+    assert {r.idx: r.n_missing for r in got if r.n_missing} == {8: 1, 23: 3}
+    assert not any(r.n_missing for r in want)
+
+
 def test_corrections_within_the_horizon_and_bounded_folders(spark, tmp_path):
     """Late and revised candles change the zones; those before the horizon are put aside."""
     candles = walk_candles(spark.read.parquet(f"{DATA}/events.parquet")).where("symbol in ('view', 'click')")
