@@ -1,7 +1,8 @@
 """Sums of large fixed-size arrays over all tasks, block by block.
 
 A task that has counted something into an array emits the array in blocks. Blocks with the same
-number are added where they meet, one at a time, so no task holds more than one array.
+number are added in a tree: first in groups of some `FAN`, then the groups' sums, and so on. A task
+adds to one block at a time per block number it meets, however many tasks have counted.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from candlewright.session import materialize
 
 BLOCK = 1 << 16
 
@@ -23,32 +26,47 @@ def split(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield k // BLOCK, block.tobytes()
 
 
+#: Rows of one block that are added in one step of the tree, on average.
+FAN = 16
+
+
 def summed(blocks: DataFrame, kind: str) -> DataFrame:
     """Rows `name, block, data` with the data of equal names and blocks added up.
 
-    `kind` is the numpy type inside `data`; sums are kept in 64 bits and returned as float64.
+    `kind` is the numpy type inside `data`; sums are kept in 64 bits and returned as float64. The
+    blocks are read several times, so they should be a written table.
     """
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], np.ndarray] = {}
-        for batch in batches:
-            for name, block, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                values = np.frombuffer(data, kind).astype(np.float64)
-                if (name, block) in held:
-                    held[name, block] += values
-                else:
-                    held[name, block] = values
-        for (name, block), values in held.items():
-            yield pa.RecordBatch.from_pylist(
-                [{"name": name, "block": block, "data": values.tobytes()}],
-                schema=pa.schema([("name", pa.string()), ("block", pa.int32()), ("data", pa.binary())]),
-            )
-
-    return (
-        blocks.select("name", "block", "data")
-        .repartition(16, "name", "block")
-        .mapInArrow(add, "name string, block int, data binary")
-    )
+    def adder(kind: str):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[str, int], np.ndarray] = {}
+            for batch in batches:
+                for name, block, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    values = np.frombuffer(data, kind)
+                    if (name, block) in held:
+                        held[name, block] += values
+                    else:
+                        held[name, block] = values.astype(np.float64)
+            for (name, block), values in held.items():
+                yield pa.RecordBatch.from_pylist(
+                    [{"name": name, "block": block, "data": values.tobytes()}],
+                    schema=pa.schema([("name", pa.string()), ("block", pa.int32()), ("data", pa.binary())]),
+                )
+
+        return add
+
+    rows = blocks.select("name", "block", "data")
+    met = rows.groupBy("name", "block").agg(F.count(F.lit(1)).alias("n"))
+    most = met.agg(F.max("n")).first()[0] or 0
+    shape = "name string, block int, data binary"
+    while most > 2 * FAN:
+        groups = -(-most // FAN)
+        part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
+        dealt = rows.withColumn("part", part).repartition("name", "block", "part").drop("part")
+        rows = materialize(dealt.mapInArrow(adder(kind), shape), "sums")
+        # A group may meet another in its task, which only makes it one less.
+        most, kind = groups, "float64"
+    return rows.repartition(16, "name", "block").mapInArrow(adder(kind), shape)
 
 
 def gathered(sums: DataFrame, size: int) -> dict[str, np.ndarray]:

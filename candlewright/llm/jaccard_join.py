@@ -51,10 +51,14 @@ class JoinParams:
     #: Cells of the table that counts tokens for their rank; a power of two.
     cells: int = 1 << 20
     orders: int = 3
-    #: Bits of the table that marks texts to read again; a power of two.
+    #: Least and most bits of the table that marks texts to read again; powers of two. Between them it
+    #: has eight for every text. Beyond, more texts are read in vain.
     marks: int = 1 << 22
+    most_marks: int = 1 << 30
     #: Pairs of different components that a run may have per node to be paired as it is.
     few: int = 8
+    #: Nodes of such a run that one task pairs with the others.
+    piece: int = 1 << 16
 
 
 #: Bits in one of Spark's bitmaps.
@@ -309,9 +313,10 @@ def _head() -> Column:
 
 
 def _crossing(shared: DataFrame, labels: DataFrame, params: JoinParams) -> DataFrame:
-    """`token, run, node, n, last, most, comp, head, few`: nodes of runs with several components.
+    """`token, run, node, n, last, most, comp, head, few, main, pieces`: nodes of runs with several components.
 
-    `head` is the run's, `few` tells whether the run has few pairs of different components.
+    `head` is the run's, `main` its component with most nodes, `few` tells whether the run has few pairs
+    of different components, `pieces` how many tasks share the run.
     """
     percent, at = params.percent, ["token", "run"]
     rows = shared.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
@@ -327,6 +332,8 @@ def _crossing(shared: DataFrame, labels: DataFrame, params: JoinParams) -> DataF
         F.min("low").alias("low"),
         F.max("top").alias("top"),
         F.count("*").alias("comps"),
+        F.max(F.struct("nodes", "comp"))["comp"].alias("main"),
+        F.ceil(F.sum("nodes") / params.piece).alias("pieces"),
         F.sum("nodes").alias("nodes"),
         F.sum(F.col("nodes").cast("double") * F.col("nodes")).alias("within"),
     )
@@ -335,20 +342,31 @@ def _crossing(shared: DataFrame, labels: DataFrame, params: JoinParams) -> DataF
     # Whichever prefix ends first, what a node can have in common with another of the run is `top` at most.
     common = f"{100 + percent} * top >= {percent} * (n + greatest(low, {percent} * n / 100))"
     return (
-        rows.join(runs.select(*at, "head", "low", "top", "few"), at)
+        rows.join(runs.select(*at, "head", "low", "top", "few", "main", "pieces"), at)
         .where(common)
-        .select(*at, "node", "n", "last", "most", "comp", "head", "few")
+        .select(*at, "node", "n", "last", "most", "comp", "head", "few", "main", "pieces")
     )
 
 
 def _plain_pairs(crossing: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in runs that have few of them."""
+    """Pairs of different components in runs that have few of them.
+
+    The nodes outside a run's main component, of which there are few, meet all nodes of the run, which
+    are dealt in pieces. So nodes of the main component, however many, are not tried with each other.
+    """
     rows = crossing.where("few")
-    side = lambda x: rows.select("token", "run", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "last", "most", "comp")])
+    at = ["token", "run", "piece"]
+    values = ["node", "n", "last", "most", "comp"]
+    side = lambda df, x: df.select(*at, "main", *[F.col(c).alias(f"{c}_{x}") for c in values])
+    outside = rows.where("comp <> main").withColumn(
+        "piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1))
+    )
+    dealt = rows.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")))
     return (
-        side("a")
-        .join(side("b"), ["token", "run"])
-        .where("node_a < node_b and comp_a <> comp_b")
+        side(outside, "a")
+        .drop("main")
+        .join(side(dealt, "b"), at)
+        .where("comp_a <> comp_b and (comp_b = main or node_a < node_b)")
         .where(_fits(["n_a", "last_a", "most_a"], ["n_b", "last_b", "most_b"], percent))
         .select(*_pair("node_a", "node_b", "n_a", "n_b"))
         .distinct()
@@ -436,19 +454,20 @@ def _cross_pairs(spokes: DataFrame, sets: DataFrame, ranks, params: JoinParams)
     )
 
 
-def _marked(values: DataFrame, params: JoinParams):
-    """A table of bits, of fixed size, in which the numbers of a column `x` are marked."""
-    place = F.col("x").bitwiseAND(F.lit(params.marks - 1)) + 1
+def _marked(values: DataFrame, most: int, params: JoinParams):
+    """A table of bits in which the numbers of a column `x` are marked; there are `most` at most."""
+    marks = min(params.most_marks, max(params.marks, 1 << (8 * most).bit_length()))
+    place = F.col("x").bitwiseAND(F.lit(marks - 1)) + 1
     parts = (
         values.select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
         .collect()
     )
-    table = np.zeros((max(params.marks // _BUCKET, 1), _BUCKET // 8), np.uint8)
+    table = np.zeros((max(marks // _BUCKET, 1), _BUCKET // 8), np.uint8)
     for row in parts:
         table[row["part"] - 1] = np.frombuffer(row["bits"], np.uint8)
-    return values.sparkSession.sparkContext.broadcast((table.reshape(-1), params.marks))
+    return values.sparkSession.sparkContext.broadcast((table.reshape(-1), marks))
 
 
 def _hit(marked: tuple[np.ndarray, int], x: np.ndarray) -> np.ndarray:
@@ -477,7 +496,8 @@ def _common(x: bytes, y: bytes) -> int:
 
 def _candidates(pairs: DataFrame, signed: DataFrame, params: JoinParams) -> DataFrame:
     """Pairs whose longer prefixes share enough under every further order."""
-    bits, percent = _marked(_ends(pairs).select(F.col("node").alias("x")), params), params.percent
+    percent = params.percent
+    bits = _marked(_ends(pairs).select(F.col("node").alias("x")), 2 * pairs.count(), params)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -513,7 +533,7 @@ def _sets_of(
         .agg(F.min("id").alias("id"))
         .select(F.xxhash64("id").bitwiseXOR(F.col("node")).alias("x"))
     )
-    bits = _marked(carriers, params)
+    bits = _marked(carriers, 2 * pairs.count(), params)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
