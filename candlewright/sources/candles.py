@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from candlewright.schema import CANDLE, CANDLE_COLUMNS, OHLCV
 from candlewright.session import materialize
@@ -10,6 +10,14 @@ from candlewright.session import materialize
 _TEXT_FIELDS = "open string, high string, low string, close string, volume string"
 
 
+def candle_folders(
+    spark: SparkSession, path: str, fmt: str = "parquet", resolution: str = "1m"
+) -> DataFrame:
+    """The same table with the folder's ``date``."""
+    table = spark.read.schema(f"{CANDLE}, resolution string, date date").format(fmt).load(path)
+    return table.where(F.col("resolution") == resolution)
+
+
 def read_candles(
     spark: SparkSession,
     path: str,
@@ -22,8 +30,7 @@ def read_candles(
 
     A range of time reads only the folders of its days.
     """
-    table = spark.read.schema(f"{CANDLE}, resolution string, date date").format(fmt).load(path)
-    picked = table.where(F.col("resolution") == resolution)
+    picked = candle_folders(spark, path, fmt, resolution)
     if start is not None:
         picked = picked.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
@@ -109,6 +116,31 @@ def time_rejects(raw: DataFrame) -> DataFrame:
     ).where("reason is not null")
 
 
+def observed_intake(raw: DataFrame, name: str | Observation) -> DataFrame:
+    """Raw rows as candles, those without a symbol or a readable time left out, and counted on the way.
+
+    The counts come with the pass that reads the rows: by ``Observation.get`` in batch, by the progress
+    of a stream under its name. ``rows_in`` is the sum of ``kept``, ``no_symbol`` and ``bad_time``, where a
+    row without either counts under its time; ``bad_numbers`` counts kept rows with a value lost.
+    """
+    fields = [F.col(c).cast("string") for c in OHLCV]
+    lost = sum((to_number(f).isNull() & f.isNotNull()).cast("int") for f in fields) > 0
+    bad = read_time(_raw_time(raw))["reason"].isNotNull()
+    marked = raw.withColumns(
+        {"_bad": bad, "_none": ~bad & F.col("symbol").isNull(), "_lost": lost}
+    )
+    kept = ~F.col("_bad") & ~F.col("_none")
+    counted = marked.observe(
+        name,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(kept).alias("kept"),
+        F.count_if("_none").alias("no_symbol"),
+        F.count_if("_bad").alias("bad_time"),
+        F.count_if(kept & F.col("_lost")).alias("bad_numbers"),
+    )
+    return candle_normalize(counted.where(kept).drop("_bad", "_none", "_lost"))
+
+
 def parse_envelopes(responses: DataFrame, body: str = "body") -> DataFrame:
     """Responses with ``_e``: success, error and the list of bars, each as it came (a variant).
 
@@ -169,6 +201,31 @@ def latest_window(candles: DataFrame, limit: int = 500, bar_seconds: int = 60) -
     return candles.join(newest, "symbol").where(F.col("bar_ts") >= first).select(*CANDLE_COLUMNS)
 
 
+def latest_window_in_folders(table: DataFrame, limit: int = 500, bar_seconds: int = 60) -> DataFrame:
+    """``latest_window`` of a table from ``candle_folders``, out of each symbol's newest folders only.
+
+    The newest day of a symbol is found without reading a column, its newest candle in that folder. The
+    (symbol, date) pairs that the window needs are a small table; joined on the folders' own columns,
+    they tell the scan which folders to open (dynamic partition pruning): those of a wanted symbol on a day
+    that some symbol's window needs, for Spark prunes each column by itself. A symbol whose newest folder has no
+    candle with a time gives no rows.
+    """
+    keys = ["symbol", "date"]
+    days = table.groupBy("symbol").agg(F.max("date").alias("date"))
+    days = materialize(days, "newest_days").where("date is not null")
+    # Spark prunes by a side that has a filter of its own.
+    known = days.where(F.col("date") >= F.lit("0001-01-01").cast("date"))
+    newest = table.join(known, keys).groupBy("symbol").agg(F.max("bar_ts").alias("_newest"))
+    first = F.col("_newest") - F.make_interval(secs=F.lit(limit * bar_seconds))
+    wanted = newest.where("_newest is not null").select(
+        "symbol",
+        first.alias("_first"),
+        F.explode(F.sequence(F.to_date(first), F.to_date("_newest"))).alias("date"),
+    )
+    wanted = materialize(wanted, "wanted_days").where(F.col("date") >= F.lit("0001-01-01").cast("date"))
+    return table.join(wanted, keys).where("bar_ts >= _first").select(*CANDLE_COLUMNS)
+
+
 def latest_bars(candles: DataFrame, limit: int = 500) -> DataFrame:
     """The last ``limit`` candles of each symbol, however far back they reach.
 

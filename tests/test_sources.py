@@ -3,12 +3,12 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from candlewright.functions.text import startup_message, startup_text
 from candlewright.params import TRADING, TradeParams
 from candlewright.schema import CANDLE
-from candlewright.sources import backfill, candles as sources
+from candlewright.sources import backfill, candles as sources, sinks
 from candlewright.sources.ticks import candles_from_ticks, tick_key
 
 START = dt.datetime(2024, 1, 1)
@@ -154,4 +154,45 @@ def test_csv_symbol_from_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(symbol" in plan
 
 
+def test_latest_window_opens_the_newest_folders_only(spark, tmp_path):
+    # Days without candles; one symbol ended long before the other.
+    rows = [("a", n) for n in range(0, 9 * 1440, 7) if n // 1440 not in (6,)] + [("b", n) for n in range(0, 2000, 9)]
+    table = candles(spark, rows)
+    path = str(tmp_path / "t")
+    sinks.write_candles(table, path)
+    got = sources.latest_window_in_folders(sources.candle_folders(spark, path), 3000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    want = sources.latest_window(table, 3000)
+    assert {r.symbol for r in want.select("symbol").distinct().collect()} == {"a", "b"}
+    # From here on no folder of a day that is in no window can be read.
+    broken = list((tmp_path / "t").glob("resolution=1m/symbol=a/date=2024-01-0[3-5]/*.parquet"))
+    for file in broken:
+        file.write_bytes(b"not a table")
+    assert len(broken) >= 3
+    assert want.count() > 500 and got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    empty = sources.candle_folders(spark, path).limit(0)
+    assert sources.latest_window_in_folders(empty, 3000).count() == 0
+
+
+def test_intake_counts_in_batch_and_on_a_stream(spark, tmp_path):
+    rows = [("a", "60", "1"), ("a", "x", "1"), (None, "60", "1"), (None, None, "y"), ("b", "120", "y"), ("b", "0", None)]
+    raw = spark.createDataFrame(rows, "symbol string, time string, open string")
+    raw = raw.select("*", *[F.lit("1").alias(c) for c in CANDLE_FIELDS[1:]])
+    want = {"rows_in": 6, "kept": 3, "no_symbol": 1, "bad_time": 2, "bad_numbers": 1}
+    counts = Observation("intake")
+    assert sources.observed_intake(raw, counts).count() == 3
+    assert counts.get == want
+    raw.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(raw.schema).parquet(str(tmp_path / "in"))
+    query = (
+        sources.observed_intake(stream, "intake").writeStream.format("parquet")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "offsets"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    seen = [p.observedMetrics["intake"].asDict() for p in query.recentProgress if "intake" in p.observedMetrics]
+    assert {k: sum(p[k] for p in seen) for k in want} == want
+
+
 CANDLE_FIELDS = ["open", "high", "low", "close", "volume"]

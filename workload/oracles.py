@@ -360,6 +360,13 @@ from bars b left join stuck s using (symbol) where b.idx % 97 <> 50 and (s.idx i
   case hour(bar_ts) when 3 then 'fractional' when 9 then 'not a number' when 15 then 'missing'
     else 'out of range' end as reason, open, high, low, close, volume
 from candles where hour(bar_ts) in (3, 9, 15, 21)""",
+    ),
+    "intake_counts": _q(
+        CANDLES,
+        """select count(*) as rows_in, count(*) filter (good and symbol <> 'error') as kept,
+  count(*) filter (good and symbol = 'error') as no_symbol, count(*) filter (not good) as bad_time,
+  count(*) filter (good and symbol <> 'error' and volume > 50) as bad_numbers
+from (select *, hour(bar_ts) not in (3, 9, 15, 21) as good from candles)""",
     ),
     "backfill_union": _q(CANDLES, CANDLE_SELECT),
     "backfill_plan": _q(
@@ -743,6 +750,8 @@ from part""",
     "round_to_tick": f"select p_partkey, {_tick('t005', '0.05', 2)},{_tick('t05', '0.5', 1)},{_tick('t1', '1', 1)} from part",
 }
 
+ORACLES["latest_window_in_folders"] = ORACLES["latest_window"]
+
 # The same rows, whatever the size of the chunks.
 ORACLES |= {
     f"{name}_chunked": ORACLES[name]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from candlewright.functions import text
 from candlewright.functions.ticks import round_to_tick
@@ -213,6 +213,27 @@ def latest_window(spark, sf_dir):
     return candle_sources.latest_window(candles(spark, sf_dir), 50, 3600)
 
 
+def latest_window_in_folders(spark, sf_dir):
+    """The same window out of a table in folders, of which only the newest are read."""
+    path = scratch_path(spark, "candle_table")
+    sinks.write_candles(candles(spark, sf_dir), path, "1h")
+    folders = candle_sources.candle_folders(spark, path, resolution="1h")
+    return candle_sources.latest_window_in_folders(folders, 50, 3600)
+
+
+def intake_counts(spark, sf_dir):
+    """Counts that come with the pass over the rows of the daily responses."""
+    raw = candle_sources.envelope_rows(_time_envelopes(spark, sf_dir))
+    raw = raw.withColumn("symbol", F.when(F.col("symbol") != "error", F.col("symbol")))
+    raw = raw.withColumn("volume", F.when(F.col("volume").cast("double") > 50, F.lit("n/a")).otherwise(F.col("volume")))
+    counts = Observation("intake")
+    materialize(candle_sources.observed_intake(raw, counts), "intake")
+    return spark.createDataFrame([counts.get], INTAKE)
+
+
+INTAKE = "rows_in bigint, kept bigint, no_symbol bigint, bad_time bigint, bad_numbers bigint"
+
+
 def latest_bars(spark, sf_dir):
     return candle_sources.latest_bars(candles(spark, sf_dir), 50)
 
@@ -929,6 +950,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_coverage": backfill_coverage,
     "backfill_gaps": backfill_gaps,
     "latest_window": latest_window,
+    "latest_window_in_folders": latest_window_in_folders,
+    "intake_counts": intake_counts,
     "latest_bars": latest_bars,
     "lookback_days": lookback_days,
     "candle_csv": candle_csv,
