@@ -1,14 +1,17 @@
 """A language model: hashed maximum entropy over word classes, then words within their class.
 
-P(word | before) = P(class | before) * P(word | class). The commonest words are classes of their own;
-all others share classes by their last two bytes, which needs no table of words. The first factor is
-a softmax over the classes, with one weight row per active feature: the word before, the classes of
-the two words before, and the words two and three places back (skips). Features are hashed into a
-table of fixed size. The second factor is the word's share of its class; the number of words seen
-once estimates the share of unknown words, which count together as one more word of the class.
-
-Training covers all training texts. Counts of (feature, class) give the gradient of the empty model
-and a first step from it; every further step is one pass in which each task adds up the expected
+P(word | before) = P(class | before) * P(group | class, before) * P(word | group). The commonest words
+are classes of their own; all others share classes by their last two bytes, and a class is split into
+groups by the first byte and the third last, which needs no table of words. The first two factors are
+softmaxes, over the classes and over the groups of a class, with one weight row per active feature:
+the word before, the classes of the two words before, and the words two and three places back (skips).
+Features are hashed into two tables, one for classes and one with a part per class for its groups.
+Their rows follow from the distinct tokens counted in training (`table_rows`), so the tables grow with
+the corpus. The last factor is the word's share of its group; the number of words seen once estimates
+the share of unknown words, which count together as one more word of the group.
+
+Training covers all training texts. Counts of (feature, class or group) give the gradient of the empty
+model and a first step from it; every further step is one pass in which each task adds up the expected
 counts under the current weights over its texts, and the blocks of all tasks are summed.
 
 Words are known by 64-bit hashes. The counts of the most frequent words are held by every task, up to
@@ -39,8 +42,12 @@ class ModelParams:
     #: Words that are classes of their own, and classes for all others.
     own: int = 24
     shared: int = 24
-    #: Rows of the weight table; a power of two.
-    rows: int = 1 << 14
+    #: Groups of each shared class.
+    groups: int = 16
+    #: Rows of the class table for each square root of a distinct token.
+    rows_per_root: int = 64
+    #: Scan partitions that one task counts over, as long as every core has a task.
+    splits: int = 8
     #: Gradient steps over all training texts after the first one.
     steps: int = 1
     #: Scale of the first step, and of the others.
@@ -66,13 +73,20 @@ class Tokens:
     hashes: np.ndarray
     #: Class a token has unless it is a class of its own.
     shared: np.ndarray
+    #: Its group in that class.
+    group: np.ndarray
     #: Place in its text.
     place: np.ndarray
     #: Tokens of text k are bounds[k] to bounds[k + 1].
     bounds: np.ndarray
 
 
-def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int) -> Tokens:
+def table_rows(distinct: int, params: ModelParams) -> int:
+    """Rows of the class table: the power of two from `rows_per_root` times the root of the distinct tokens on."""
+    return 1 << max(8, int(np.ceil(np.log2(params.rows_per_root * max(distinct, 1) ** 0.5))))
+
+
+def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int, groups: int = 1) -> Tokens:
     words = hash_words(data, offsets)
     sizes = np.diff(words.bounds)
     bounds = np.concatenate([[0], np.cumsum(sizes + 1)])
@@ -80,13 +94,20 @@ def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int) -> Tokens:
     at = np.arange(len(words.hashes)) + owner
     hashes = np.full(bounds[-1], END, np.uint64)
     hashes[at] = words.hashes
-    kind = np.zeros(bounds[-1], np.int64)
+    kind, group = np.zeros(bounds[-1], np.int64), np.zeros(bounds[-1], np.int64)
     if len(at):
-        last = LOWER[data[words.ends - 1]].astype(np.uint64)
-        two = np.where(words.ends - words.begins > 1, LOWER[data[words.ends - 2]], 0).astype(np.uint64)
-        kind[at] = (mix(last * np.uint64(257) + two + np.uint64(1)) % np.uint64(shared)).astype(np.int64)
+
+        def byte(places: np.ndarray) -> np.ndarray:
+            inside = (places >= words.begins) & (places < words.ends)
+            return np.where(inside, LOWER[data[np.maximum(places, 0)]], 0).astype(np.uint64)
+
+        def bucket(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+            return (mix(a * np.uint64(257) + b + np.uint64(1)) % np.uint64(n)).astype(np.int64)
+
+        kind[at] = bucket(byte(words.ends - 1), byte(words.ends - 2), shared)
+        group[at] = bucket(byte(words.begins), byte(words.ends - 3), groups)
     place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes + 1)
-    return Tokens(hashes, kind, place, bounds)
+    return Tokens(hashes, kind, group, place, bounds)
 
 
 @dataclass
@@ -106,8 +127,8 @@ class Classes:
         return np.where(self.own[at] == tokens.hashes, at, len(self.own) + tokens.shared)
 
 
-def features(tokens: Tokens, kinds: np.ndarray, rows: int) -> list[np.ndarray]:
-    """Weight rows that are active for each token."""
+def contexts(tokens: Tokens, kinds: np.ndarray) -> list[np.ndarray]:
+    """What stands before each token, as one hash per kind of feature."""
 
     def back(values: np.ndarray, n: int, edge) -> np.ndarray:
         out = np.full(len(values), edge, values.dtype)
@@ -117,13 +138,42 @@ def features(tokens: Tokens, kinds: np.ndarray, rows: int) -> list[np.ndarray]:
     word = [back(tokens.hashes, n, START) for n in (1, 2, 3)]
     first, second = (back(kinds, n, 255).astype(np.uint64) for n in (1, 2))
     codes = [word[0], first * np.uint64(256) + second, word[1], word[2]]
-    mask = np.uint64(rows - 1)
-    return [(mix(c ^ _SEED[k]) & mask).astype(np.int64) for k, c in enumerate(codes)]
+    return [mix(c ^ _SEED[k]) for k, c in enumerate(codes)]
 
 
 FEATURES = 4
 
 
+def features(tokens: Tokens, kinds: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Rows of the class table that are active for each token."""
+    mask = np.uint64(rows - 1)
+    return [(c & mask).astype(np.int64) for c in contexts(tokens, kinds)]
+
+
+@dataclass
+class Layer:
+    """The tokens one softmax decides on: their active rows and what they turned out to be."""
+
+    active: list[np.ndarray]
+    kinds: np.ndarray
+
+
+def layers(tokens: Tokens, classes: Classes, rows: int) -> tuple[Layer, Layer, np.ndarray]:
+    """Classes of all tokens, groups of those in shared classes, and where the latter stand.
+
+    The group table has `rows // 8` rows for each shared class, those of the first class first.
+    """
+    kinds = classes.of(tokens)
+    codes = contexts(tokens, kinds)
+    mask, part = np.uint64(rows - 1), rows // 8
+    at = np.flatnonzero(kinds >= len(classes.own))
+    region = (kinds[at] - len(classes.own)) * part
+    high = np.uint64(32)
+    grouped = [region + ((c[at] >> high) & np.uint64(part - 1)).astype(np.int64) for c in codes]
+    whole = Layer([(c & mask).astype(np.int64) for c in codes], kinds)
+    return whole, Layer(grouped, tokens.group[at]), at
+
+
 def class_powers(active: list[np.ndarray], low: int, high: int, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Unnormalised chances of each class for a run of tokens. Weights stay far from overflow."""
     x = np.take(weights, active[0][low:high], axis=0)
@@ -159,8 +209,8 @@ BLOCK_ROWS = "name string, block int, data binary"
 
 
 def count_tokens(train: DataFrame, params: ModelParams) -> DataFrame:
-    """`token, shared, c` over the training texts, given as `text` in bytes."""
-    shared = params.shared
+    """`token, shared, c` over the training texts, given as `text` in bytes; `shared` numbers class and group."""
+    shared, groups = params.shared, params.groups
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -177,9 +227,9 @@ def count_tokens(train: DataFrame, params: ModelParams) -> DataFrame:
 
         for batch in batches:
             for _, _, data, offsets in parts(batch.column(0)):
-                t = read_tokens(data, offsets, shared)
+                t = read_tokens(data, offsets, shared, groups)
                 unique, first, c = np.unique(t.hashes, return_index=True, return_counts=True)
-                held.append((unique, t.shared[first].astype(np.int32), c))
+                held.append((unique, (t.shared * groups + t.group)[first].astype(np.int32), c))
                 if sum(len(x[0]) for x in held) > 2_000_000:
                     held = [merged()]
                     if len(held[0][0]) > 1_000_000:
@@ -194,11 +244,15 @@ def count_tokens(train: DataFrame, params: ModelParams) -> DataFrame:
 @dataclass
 class LanguageModel:
     classes: Classes
+    #: Weights of classes, and of groups with a quarter of the group's log share in each row.
     weights: np.ndarray
     bias: np.ndarray
-    #: Per class: tokens, and words seen once.
-    class_tokens: np.ndarray
-    class_once: np.ndarray
+    group_weights: np.ndarray
+    #: Per group, those of the first shared class first: tokens, and words seen once.
+    group_tokens: np.ndarray
+    group_once: np.ndarray
+    #: Tokens of each word that is a class of its own.
+    own_tokens: np.ndarray
     tokens: int
     words: int
     #: Sorted hashes of frequent words and their counts.
@@ -221,57 +275,84 @@ def _held_from(counts: DataFrame, most: int) -> int:
     return start
 
 
-def _observed(train: DataFrame, classes: Classes, params: ModelParams) -> np.ndarray:
-    """How often each feature stands before each class."""
-    n, rows = classes.n, params.rows
+def _tasks(train: DataFrame, params: ModelParams) -> DataFrame:
+    """Fewer, larger tasks for counts into arrays: a task sends its arrays once, whatever it has read."""
+    cores, splits = train.sparkSession.sparkContext.defaultParallelism, train.rdd.getNumPartitions()
+    return train.coalesce(max(1, -(-splits // (params.splits * cores))) * cores)
+
+
+def _counted(train: DataFrame, shapes: dict[str, tuple[int, int]], fill, params: ModelParams, label: str):
+    """The arrays that `fill(tokens, arrays)` adds to over all texts, summed over tasks."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(rows * n, np.int64)
+        arrays = {name: np.zeros(shape, np.float32) for name, shape in shapes.items()}
         for batch in batches:
             for _, _, data, offsets in parts(batch.column(0)):
-                t = read_tokens(data, offsets, params.shared)
-                kinds = classes.of(t)
-                for f in features(t, kinds, rows):
-                    counts += np.bincount(f * n + kinds, minlength=rows * n)
-        yield from _block_rows(counts.astype(np.float32), "seen")
+                fill(read_tokens(data, offsets, params.shared, params.groups), arrays)
+        for name, values in arrays.items():
+            yield from _block_rows(values, name)
 
-    found = materialize(train.mapInArrow(scan, BLOCK_ROWS), "observed")
-    sums = blocks.gathered(blocks.summed(found, "float32"), rows * n)
-    return sums.get("seen", np.zeros(rows * n)).reshape(rows, n)
+    found = materialize(_tasks(train, params).mapInArrow(scan, BLOCK_ROWS), label)
+    sums = materialize(blocks.summed(found, "float32"), label)
+    out = []
+    for name, shape in shapes.items():
+        size = shape[0] * shape[1]
+        one = blocks.gathered(sums.where(F.col("name") == name), size)
+        out.append(one.get(name, np.zeros(size)).astype(np.float32).reshape(shape))
+    return out
 
 
-def expected(t: Tokens, kinds: np.ndarray, weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
-    """Add the model's expected counts over some tokens; `into` has a row per class."""
-    active = features(t, kinds, len(weights))
+def _seen(layer: Layer, into: np.ndarray) -> None:
+    n = into.shape[1]
+    flat = into.reshape(-1)
+    for f in layer.active:
+        cells, c = np.unique(f * n + layer.kinds, return_counts=True)
+        flat[cells] += c
+
+
+def _observed(train: DataFrame, classes: Classes, rows: int, params: ModelParams) -> list[np.ndarray]:
+    """How often each feature stands before each class and before each group."""
+
+    def fill(t: Tokens, arrays: dict[str, np.ndarray]) -> None:
+        whole, grouped, _ = layers(t, classes, rows)
+        _seen(whole, arrays["classes"])
+        _seen(grouped, arrays["groups"])
+
+    shapes = {"classes": (rows, classes.n), "groups": (params.shared * (rows // 8), params.groups)}
+    return _counted(train, shapes, fill, params, "observed")
+
+
+def _add_expected(active: list[np.ndarray], weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
     wide = 16 * RUN
     odds = np.empty((len(bias), wide))
-    for start in range(0, len(kinds), wide):
-        end = min(start + wide, len(kinds))
+    for start in range(0, len(active[0]), wide):
+        end = min(start + wide, len(active[0]))
         for low in range(start, end, RUN):
             high = min(low + RUN, end)
             x = class_powers(active, low, high, weights, bias)
             odds[:, low - start : high - start] = (x / x.sum(1, keepdims=True)).T
         for f in active:
-            own = f[start:end]
+            met, own = np.unique(f[start:end], return_inverse=True)
             for k in range(len(bias)):
-                into[k] += np.bincount(own, odds[k, : end - start], len(weights))
+                into[k, met] += np.bincount(own, odds[k, : end - start], len(met))
+
 
+def expected(t: Tokens, kinds: np.ndarray, weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
+    """Add the model's expected counts of classes over some tokens; `into` has a row per class."""
+    _add_expected(features(t, kinds, len(weights)), weights, bias, into)
 
-def _expected(train: DataFrame, classes: Classes, weights: np.ndarray, bias: np.ndarray, params: ModelParams) -> np.ndarray:
-    held = train.sparkSession.sparkContext.broadcast((classes, weights, bias))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, w, b = held.value
-        sums = np.zeros(w.shape[::-1])
-        for batch in batches:
-            for _, _, data, offsets in parts(batch.column(0)):
-                t = read_tokens(data, offsets, params.shared)
-                expected(t, own.of(t), w, b, sums)
-        yield from _block_rows(sums.astype(np.float32), "expected")
+def _expected(train: DataFrame, classes: Classes, weights, bias, group_weights, params: ModelParams) -> list[np.ndarray]:
+    held = train.sparkSession.sparkContext.broadcast((classes, weights, bias, group_weights))
+
+    def fill(t: Tokens, arrays: dict[str, np.ndarray]) -> None:
+        own, w, b, g = held.value
+        whole, grouped, _ = layers(t, own, len(w))
+        _add_expected(whole.active, w, b, arrays["classes"])
+        _add_expected(grouped.active, g, np.zeros(g.shape[1], np.float32), arrays["groups"])
 
-    found = materialize(train.mapInArrow(scan, BLOCK_ROWS), "expected")
-    sums = blocks.gathered(blocks.summed(found, "float32"), weights.size)
-    return sums.get("expected", np.zeros(weights.size)).reshape(weights.shape[::-1]).T
+    shapes = {"classes": weights.shape[::-1], "groups": group_weights.shape[::-1]}
+    return [x.T for x in _counted(train, shapes, fill, params, "expected")]
 
 
 def fit(train: DataFrame, counts: DataFrame, params: ModelParams = ModelParams()) -> LanguageModel:
@@ -284,38 +365,52 @@ def fit(train: DataFrame, counts: DataFrame, params: ModelParams = ModelParams()
     held, held_counts = hashes[order], frequent.column("c").to_numpy()[order]
     top = np.argsort(-held_counts, kind="stable")[: params.own]
     classes = Classes(np.sort(held[top]), params.shared)
-    n = classes.n
+    n, shared, groups = classes.n, params.shared, params.groups
 
     own = F.col("token").isin(*classes.own.view(np.int64).tolist()) if len(classes.own) else F.lit(False)
-    tokens, once = np.zeros(n), np.zeros(n)
-    by_class = counts.where(~own).groupBy("shared").agg(
+    group_tokens, group_once = np.zeros(shared * groups), np.zeros(shared * groups)
+    by_group = counts.where(~own).groupBy("shared").agg(
         F.sum("c").alias("n"), F.sum((F.col("c") == 1).cast("bigint")).alias("once")
     )
-    for row in by_class.collect():
-        tokens[len(classes.own) + row["shared"]] = row["n"]
-        once[len(classes.own) + row["shared"]] = row["once"]
-    tokens[: len(classes.own)] = held_counts[np.searchsorted(held, classes.own)] if len(classes.own) else 0
+    for row in by_group.collect():
+        group_tokens[row["shared"]], group_once[row["shared"]] = row["n"], row["once"]
+    own_tokens = held_counts[np.searchsorted(held, classes.own)] if len(classes.own) else np.zeros(0, np.int64)
+    inside = group_tokens.reshape(shared, groups)
+    tokens = np.concatenate([own_tokens, inside.sum(1)])
 
     share = (tokens + 0.5) / (tokens + 0.5).sum()
     bias = np.log(share).astype(np.float32)
-    weights = np.zeros((params.rows, n), np.float32)
+    inside = (inside + 0.5) / (inside + 0.5).sum(1, keepdims=True)
+    rows = table_rows(totals["v"], params)
+    # One row of shares for each row of the group table, which belongs to one class.
+    inside = np.repeat(inside, rows // 8, 0)
+    weights, groups_only = np.zeros((rows, n), np.float32), (np.log(inside) / FEATURES).astype(np.float32)
+    group_weights = groups_only
     if totals["n"]:
-        seen = _observed(train, classes, params)
-        flat = seen.sum(1, keepdims=True) * share
-        prior = params.damping * share
-        weights = (params.first / 2 * np.log((seen + prior) / (flat + prior))).astype(np.float32)
+
+        def first(seen: np.ndarray, chance: np.ndarray) -> np.ndarray:
+            flat, prior = seen.sum(1, keepdims=True) * chance, params.damping * chance
+            return (params.first / 2 * np.log((seen + prior) / (flat + prior))).astype(np.float32)
+
+        def step(seen: np.ndarray, model: np.ndarray) -> np.ndarray:
+            moved = (seen - model) / (np.maximum(seen, model) + params.damping)
+            return (params.rate * moved).astype(np.float32)
+
+        seen, group_seen = _observed(train, classes, rows, params)
+        weights, group_weights = first(seen, share), groups_only + first(group_seen, inside)
         for _ in range(params.steps):
-            model = _expected(train, classes, weights, bias, params)
-            step = (seen - model) / (np.maximum(seen, model) + params.damping)
-            weights += (params.rate * step).astype(np.float32)
+            model, group_model = _expected(train, classes, weights, bias, group_weights, params)
+            weights += step(seen, model)
+            group_weights += step(group_seen, group_model)
     return LanguageModel(
-        classes, weights, bias, tokens, once, int(totals["n"] or 0), int(totals["v"]), held, held_counts, start
+        classes, weights, bias, group_weights, group_tokens, group_once, own_tokens,
+        int(totals["n"] or 0), int(totals["v"]), held, held_counts, start,
     )
 
 
 def _word_logs(model: LanguageModel) -> np.ndarray:
-    """Log10 of what a class's tokens and its unknown words share."""
-    return np.log10(model.class_tokens + model.class_once + 0.5)
+    """Log10 of what a group's tokens and its unknown words share."""
+    return np.log10(model.group_tokens + model.group_once + 0.5)
 
 
 def score(
@@ -329,24 +424,25 @@ def score(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        own_n, whole = len(m.classes.own), _word_logs(m)
+        whole, zero = _word_logs(m), np.zeros(params.groups, np.float32)
         row = TaskContext.get().partitionId() << 40
         log_base = np.log10(m.held_counts + base) - log_all
         for batch in batches:
             for first, last, data, offsets in parts(batch.column(2)):
-                t = read_tokens(data, offsets, params.shared)
-                kinds = m.classes.of(t)
-                active = features(t, kinds, len(m.weights))
-                logs = class_logs(active, kinds, m.weights, m.bias)
+                t = read_tokens(data, offsets, params.shared, params.groups)
+                by_class, by_group, grouped = layers(t, m.classes, len(m.weights))
+                logs = class_logs(by_class.active, by_class.kinds, m.weights, m.bias)
+                logs[grouped] += class_logs(by_group.active, by_group.kinds, m.group_weights, zero)
+                group = t.shared * params.groups + t.group
                 if len(m.held):
                     at = np.minimum(np.searchsorted(m.held, t.hashes), len(m.held) - 1)
                     known = m.held[at] == t.hashes
                 else:
-                    at, known = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), bool)
-                plain = np.zeros(len(kinds))
+                    at, known = np.zeros(len(logs), np.int64), np.zeros(len(logs), bool)
+                plain = np.zeros(len(logs))
                 plain[known] = log_base[at[known]]
-                inside = known & (kinds >= own_n)
-                logs[inside] += np.log10(m.held_counts[at[inside]]) - whole[kinds[inside]]
+                inside = grouped[known[grouped]]
+                logs[inside] += np.log10(m.held_counts[at[inside]]) - whole[group[inside]]
                 starts, n = t.bounds[:-1], last - first
                 number = row + np.arange(n)
                 yield pa.RecordBatch.from_arrays(
@@ -376,7 +472,7 @@ def score(
                             none.cast(pa.float64()),
                             none.cast(pa.float64()),
                             pa.array(t.hashes[rare].view(np.int64)),
-                            pa.array((kinds[rare] - own_n).astype(np.int32)),
+                            pa.array(group[rare].astype(np.int32)),
                             none.cast(pa.int64()),
                         ],
                         names,
@@ -391,19 +487,22 @@ def score(
     )
     found = materialize(found, "scores")
     texts = found.where(F.col("token").isNull()).drop("token", "kind", "c")
-    whole = F.array(*[F.lit(float(x)) for x in _word_logs(model)[len(model.classes.own) :]])
-    once = F.array(*[F.lit(float(x)) for x in model.class_once[len(model.classes.own) :]])
+    kinds = docs.sparkSession.createDataFrame(
+        [(k, float(a), float(b)) for k, (a, b) in enumerate(zip(_word_logs(model), model.group_once))],
+        "kind int, whole double, once double",
+    )
     c = F.coalesce("c", F.lit(0))
-    seen = F.when(c > 0, c).otherwise(F.get(once, F.col("kind")) + 0.5)
+    seen = F.when(c > 0, c).otherwise(F.col("once") + 0.5)
     tail = (
         found.where(F.col("token").isNotNull())
         .select("row", "token", "kind")
         .join(counts.where(F.col("c") < model.held_from).select("token", "c"), "token", "left")
+        .join(F.broadcast(kinds), "kind")
         .groupBy("row")
         .agg(
             F.sum((c > 0).cast("bigint")).alias("tail_known"),
             F.sum(F.log10(c + base) - log_all).alias("tail_base"),
-            F.sum(F.log10(seen) - F.get(whole, F.col("kind"))).alias("tail_score"),
+            F.sum(F.log10(seen) - F.col("whole")).alias("tail_score"),
         )
     )
     add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))

@@ -146,7 +146,7 @@ def test_scores_on_odd_rows(spark):
 
 
 def test_language_model_on_odd_rows(spark):
-    params = maxent_lm.ModelParams(rows=1 << 8, held=4)
+    params = maxent_lm.ModelParams(rows_per_root=16, held=4)
     got, model = maxent_lm.train_and_score(edge_docs(spark), F.col("doc_id") == 1, params)
     got = got.collect()
     assert len(got) == len(EDGES)
@@ -628,3 +628,106 @@ def test_pipeline_takes_out_what_it_should(spark):
     rejected = {r["doc_id"] for r in queries.op7_quality_rules(spark, DATA).collect() if not r["kept"]}
     assert not rejected & set(ids)
     assert not leaked & set(ids) or len(leaked & set(ids)) < len(leaked)
+
+
+def _softmax(scores: list[float]) -> list[float]:
+    powers = [math.exp(x) for x in scores]
+    return [x / sum(powers) for x in powers]
+
+
+def test_model_scores_equal_plain_python(spark):
+    pick = random.Random(5)
+    vocabulary = ["the", "a", "cat", "cot", "sat", "mat", "bird", "third", "lonely", "only", "x"]
+    weight = [9, 7, 4, 4, 3, 3, 2, 2, 1, 1, 1]
+    texts = {k: " ".join(pick.choices(vocabulary, weight, k=pick.randint(0, 12))) for k in range(40)}
+    texts[3], texts[41] = "never seen words the cat", None
+    held = {3, 8, 9, 41}
+    params = maxent_lm.ModelParams(own=3, shared=4, groups=3, held=4, steps=2)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got, model = maxent_lm.train_and_score(docs, F.col("doc_id").isin(*held), params)
+    got = {r["id"]: r for r in got.collect()}
+    rows = maxent_lm.table_rows(model.words, params)
+
+    tokens = {}  # per text: for each token its word, class, group and the rows of both tables
+    for k, text in texts.items():
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        t = maxent_lm.read_tokens(data, np.array([0, len(data)]), params.shared, params.groups)
+        whole, grouped, at = maxent_lm.layers(t, model.classes, rows)
+        tokens[k] = [[w, int(c), None, [f[i] for f in whole.active], []] for i, (w, c) in enumerate(zip(t.hashes, whole.kinds))]
+        for j, i in enumerate(at):
+            tokens[k][i][2] = int(grouped.kinds[j])
+            tokens[k][i][4] = [f[j] for f in grouped.active]
+    train = [x for k in texts if k not in held for x in tokens[k]]
+    c = collections.Counter(x[0] for x in train)
+    assert min(c[w] for w in model.classes.own) >= max(c[w] for w in c if w not in model.classes.own)
+    n, groups = model.classes.n, params.groups
+
+    def shares(counts: list[int]) -> list[float]:
+        return [(x + 0.5) / (sum(counts) + 0.5 * len(counts)) for x in counts]
+
+    share = {None: shares([sum(x[1] == k for x in train) for k in range(n)])}
+    for k in range(len(model.classes.own), n):
+        share[k] = shares([sum(x[1] == k and x[2] == g for x in train) for g in range(groups)])
+
+    def layer(x, second: bool):
+        return (x[1], x[4], x[2], groups) if second else (None, x[3], x[1], n)
+
+    weights = {}
+    for second in (False, True):
+        seen, owner = collections.defaultdict(collections.Counter), {}
+        own = [layer(x, second) for x in train if not second or x[2] is not None]
+        for kind, active, found, _ in own:
+            for row in active:
+                seen[row][found] += 1
+                owner[row] = kind
+        w = {}
+        for row, found in seen.items():
+            flat = sum(found.values())
+            p = share[owner[row]]
+            w[row] = [
+                params.first / 2 * math.log((found[k] + params.damping * p[k]) / (flat * p[k] + params.damping * p[k]))
+                for k in range(len(p))
+            ]
+        for _ in range(params.steps):
+            model_counts = {row: [0.0] * len(x) for row, x in w.items()}
+            for kind, active, _, size in own:
+                odds = _softmax([math.log(share[kind][k]) + sum(w[row][k] for row in active) for k in range(size)])
+                for row in active:
+                    for k in range(size):
+                        model_counts[row][k] += odds[k]
+            for row, x in w.items():
+                for k in range(len(x)):
+                    e, o = model_counts[row][k], seen[row][k]
+                    x[k] += params.rate * (o - e) / (max(o, e) + params.damping)
+        weights[second] = w
+
+    def chance(x, second: bool) -> float:
+        kind, active, found, size = layer(x, second)
+        empty = [0.0] * size
+        return _softmax(
+            [math.log(share[kind][k]) + sum(weights[second].get(row, empty)[k] for row in active) for k in range(size)]
+        )[found]
+
+    once = collections.Counter()
+    size = collections.Counter()
+    for x in {x[0]: x for x in train}.values():
+        if x[2] is not None:
+            once[x[1], x[2]] += c[x[0]] == 1
+            size[x[1], x[2]] += c[x[0]]
+    for k in texts:
+        total = 0.0
+        for x in tokens[k]:
+            total += math.log10(chance(x, False))
+            if x[2] is not None:
+                cell = (x[1], x[2])
+                total += math.log10(chance(x, True)) + math.log10(
+                    (c[x[0]] or once[cell] + 0.5) / (size[cell] + once[cell] + 0.5)
+                )
+        assert got[k]["score"] == pytest.approx(total, rel=1e-4), k
+
+
+def test_language_model_tables_grow_with_the_words():
+    params = maxent_lm.ModelParams()
+    rows = [maxent_lm.table_rows(v, params) for v in (0, 10**4, 10**6, 10**8, 10**10)]
+    assert rows == sorted(rows) and len(set(rows)) == len(rows)
+    assert all(v**0.5 * params.rows_per_root <= r for v, r in zip((0, 10**4, 10**6, 10**8, 10**10), rows))
