@@ -102,7 +102,9 @@ def clean(
         .agg(F.flatten(F.collect_list("at")).alias("at"))
     )
     rows = packed(docs, F.col(id_col).alias("id"), F.xxhash64(F.col(text)).alias("row"))
+    # The table of lost lines grows with the corpus: the join is the same at every size.
     gone = materialize(gone, "lost-lines").select(F.col("id").alias("gone_id"), F.col("row").alias("gone_row"), "at")
+    gone = gone.hint("merge")
     body = F.col(f"doc.{text}")
     lines = _lines(body)
     counted = F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(AROUND)) != ""))
