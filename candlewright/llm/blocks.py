@@ -7,7 +7,7 @@ adds to one block at a time per block number it meets, however many tasks have c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,23 +26,44 @@ def split(values: np.ndarray) -> Iterator[tuple[int, bytes]]:
             yield k // BLOCK, block.tobytes()
 
 
+def pack(values: np.ndarray, kept: int = 4) -> bytes:
+    """Numbers as the first `kept` bytes of their float32, byte by byte and compressed.
+
+    Four bytes keep them as they are, three round them to 16 bits of mantissa.
+    """
+    whole = np.ascontiguousarray(values, "<f4").view("<u4")
+    if kept < 4:
+        whole = whole + np.uint32(1 << (8 * (4 - kept) - 1))
+    planes = whole.view(np.uint8).reshape(-1, 4).T[4 - kept :]
+    head = np.array([len(whole), kept], "<u4").tobytes()
+    return head + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n, kept = (int(x) for x in np.frombuffer(data, "<u4", 2))
+    planes = pa.decompress(memoryview(data)[8:], n * kept, codec="zstd", asbytes=True)
+    whole = np.zeros((n, 4), np.uint8)
+    whole[:, 4 - kept :] = np.frombuffer(planes, np.uint8).reshape(kept, n).T
+    return whole.view("<f4").ravel()
+
+
 #: Rows of one block that are added in one step of the tree, on average.
 FAN = 16
 
 
-def summed(blocks: DataFrame, kind: str) -> DataFrame:
+def summed(blocks: DataFrame, kind: str | Callable[[bytes], np.ndarray]) -> DataFrame:
     """Rows `name, block, data` with the data of equal names and blocks added up.
 
-    `kind` is the numpy type inside `data`; sums are kept in 64 bits and returned as float64. The
+    `kind` is the numpy type inside `data`, or a function that reads it; sums are kept in 64 bits and returned as float64. The
     blocks are read several times, so they should be a written table.
     """
 
-    def adder(kind: str):
+    def adder(kind):
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[tuple[str, int], np.ndarray] = {}
             for batch in batches:
                 for name, block, data in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                    values = np.frombuffer(data, kind)
+                    values = kind(data) if callable(kind) else np.frombuffer(data, kind)
                     if (name, block) in held:
                         held[name, block] += values
                     else:

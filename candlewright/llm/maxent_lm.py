@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +87,13 @@ def table_rows(distinct: int, params: ModelParams) -> int:
     return 1 << max(8, int(np.ceil(np.log2(params.rows_per_root * max(distinct, 1) ** 0.5))))
 
 
+@lru_cache
+def _buckets(n: int) -> np.ndarray:
+    """A bucket for every two bytes, in lower case."""
+    a, b = np.meshgrid(LOWER.astype(np.uint64), LOWER.astype(np.uint64), indexing="ij")
+    return (mix(a * np.uint64(257) + b + np.uint64(1)) % np.uint64(n)).astype(np.int16)
+
+
 def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int, groups: int = 1) -> Tokens:
     words = hash_words(data, offsets)
     sizes = np.diff(words.bounds)
@@ -96,16 +104,9 @@ def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int, groups: int
     hashes[at] = words.hashes
     kind, group = np.zeros(bounds[-1], np.int64), np.zeros(bounds[-1], np.int64)
     if len(at):
-
-        def byte(places: np.ndarray) -> np.ndarray:
-            inside = (places >= words.begins) & (places < words.ends)
-            return np.where(inside, LOWER[data[np.maximum(places, 0)]], 0).astype(np.uint64)
-
-        def bucket(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-            return (mix(a * np.uint64(257) + b + np.uint64(1)) % np.uint64(n)).astype(np.int64)
-
-        kind[at] = bucket(byte(words.ends - 1), byte(words.ends - 2), shared)
-        group[at] = bucket(byte(words.begins), byte(words.ends - 3), groups)
+        first, second, third = words.begins, words.ends - 2, words.ends - 3
+        kind[at] = _buckets(shared)[data[words.ends - 1], np.where(second < first, 0, data[second])]
+        group[at] = _buckets(groups)[data[first], np.where(third < first, 0, data[third])]
     place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes + 1)
     return Tokens(hashes, kind, group, place, bounds)
 
@@ -185,6 +186,8 @@ def class_powers(active: list[np.ndarray], low: int, high: int, weights: np.ndar
 
 #: Tokens handled at a time; their rows of weights stay in the processor's cache.
 RUN = 1 << 11
+#: Tokens whose counts are added up before they go to the tables.
+WIDE = 16 * RUN
 
 
 def class_logs(active: list[np.ndarray], kinds: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -197,8 +200,9 @@ def class_logs(active: list[np.ndarray], kinds: np.ndarray, weights: np.ndarray,
     return logs
 
 
-def _block_rows(values: np.ndarray, name: str) -> Iterator[pa.RecordBatch]:
+def _block_rows(values: np.ndarray, name: str, kept: int) -> Iterator[pa.RecordBatch]:
     for block, data in blocks.split(values.ravel()):
+        data = blocks.pack(np.frombuffer(data, values.dtype).astype(np.float32), kept)
         yield pa.RecordBatch.from_arrays(
             [pa.array([name]), pa.array([block], pa.int32()), pa.array([data], pa.binary())],
             ["name", "block", "data"],
@@ -281,33 +285,41 @@ def _tasks(train: DataFrame, params: ModelParams) -> DataFrame:
     return train.coalesce(max(1, -(-splits // (params.splits * cores))) * cores)
 
 
-def _counted(train: DataFrame, shapes: dict[str, tuple[int, int]], fill, params: ModelParams, label: str):
+def _counted(
+    train: DataFrame, shapes: dict[str, tuple[int, int]], fill, params: ModelParams, label: str, kind=np.float32, kept: int = 4
+) -> list[np.ndarray]:
     """The arrays that `fill(tokens, arrays)` adds to over all texts, summed over tasks."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = {name: np.zeros(shape, np.float32) for name, shape in shapes.items()}
+        arrays = {name: np.zeros(shape, kind) for name, shape in shapes.items()}
         for batch in batches:
             for _, _, data, offsets in parts(batch.column(0)):
                 fill(read_tokens(data, offsets, params.shared, params.groups), arrays)
         for name, values in arrays.items():
-            yield from _block_rows(values, name)
+            yield from _block_rows(values, name, kept)
 
     found = materialize(_tasks(train, params).mapInArrow(scan, BLOCK_ROWS), label)
-    sums = materialize(blocks.summed(found, "float32"), label)
-    out = []
-    for name, shape in shapes.items():
-        size = shape[0] * shape[1]
-        one = blocks.gathered(sums.where(F.col("name") == name), size)
-        out.append(one.get(name, np.zeros(size)).astype(np.float32).reshape(shape))
-    return out
+    sums = {name: np.zeros(shape, np.float32) for name, shape in shapes.items()}
+    for row in blocks.summed(found, blocks.unpack).toLocalIterator():
+        values, at = np.frombuffer(row["data"], np.float64), row["block"] * blocks.BLOCK
+        sums[row["name"]].reshape(-1)[at : at + len(values)] = values
+    return list(sums.values())
+
+
+def _met(f: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of a run, and which of them each token has; `place` is room for all rows."""
+    met = np.flatnonzero(np.bincount(f, minlength=len(place)))
+    place[met] = np.arange(len(met))
+    return met, place[f]
 
 
 def _seen(layer: Layer, into: np.ndarray) -> None:
-    n = into.shape[1]
-    flat = into.reshape(-1)
-    for f in layer.active:
-        cells, c = np.unique(f * n + layer.kinds, return_counts=True)
-        flat[cells] += c
+    n, place = into.shape[1], np.zeros(len(into), np.int64)
+    for start in range(0, len(layer.kinds), WIDE):
+        kinds = layer.kinds[start : start + WIDE]
+        for f in layer.active:
+            met, own = _met(f[start : start + WIDE], place)
+            into[met] += np.bincount(own * n + kinds, minlength=len(met) * n).reshape(-1, n)
 
 
 def _observed(train: DataFrame, classes: Classes, rows: int, params: ModelParams) -> list[np.ndarray]:
@@ -319,27 +331,30 @@ def _observed(train: DataFrame, classes: Classes, rows: int, params: ModelParams
         _seen(grouped, arrays["groups"])
 
     shapes = {"classes": (rows, classes.n), "groups": (params.shared * (rows // 8), params.groups)}
-    return _counted(train, shapes, fill, params, "observed")
+    return _counted(train, shapes, fill, params, "observed", np.int32)
 
 
 def _add_expected(active: list[np.ndarray], weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
-    wide = 16 * RUN
-    odds = np.empty((len(bias), wide))
-    for start in range(0, len(active[0]), wide):
-        end = min(start + wide, len(active[0]))
+    """Add the chances of every class to the rows that are active; `into` has the shape of `weights`."""
+    place = np.zeros(len(weights), np.int64)
+    odds = np.empty((len(bias), WIDE))
+    for start in range(0, len(active[0]), WIDE):
+        end = min(start + WIDE, len(active[0]))
         for low in range(start, end, RUN):
             high = min(low + RUN, end)
             x = class_powers(active, low, high, weights, bias)
             odds[:, low - start : high - start] = (x / x.sum(1, keepdims=True)).T
         for f in active:
-            met, own = np.unique(f[start:end], return_inverse=True)
+            met, own = _met(f[start:end], place)
+            sums = np.empty((len(bias), len(met)), into.dtype)
             for k in range(len(bias)):
-                into[k, met] += np.bincount(own, odds[k, : end - start], len(met))
+                sums[k] = np.bincount(own, odds[k, : end - start], len(met))
+            into[met] += sums.T
 
 
 def expected(t: Tokens, kinds: np.ndarray, weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
     """Add the model's expected counts of classes over some tokens; `into` has a row per class."""
-    _add_expected(features(t, kinds, len(weights)), weights, bias, into)
+    _add_expected(features(t, kinds, len(weights)), weights, bias, into.T)
 
 
 def _expected(train: DataFrame, classes: Classes, weights, bias, group_weights, params: ModelParams) -> list[np.ndarray]:
@@ -351,8 +366,8 @@ def _expected(train: DataFrame, classes: Classes, weights, bias, group_weights,
         _add_expected(whole.active, w, b, arrays["classes"])
         _add_expected(grouped.active, g, np.zeros(g.shape[1], np.float32), arrays["groups"])
 
-    shapes = {"classes": weights.shape[::-1], "groups": group_weights.shape[::-1]}
-    return [x.T for x in _counted(train, shapes, fill, params, "expected")]
+    shapes = {"classes": weights.shape, "groups": group_weights.shape}
+    return _counted(train, shapes, fill, params, "expected", kept=3)
 
 
 def fit(train: DataFrame, counts: DataFrame, params: ModelParams = ModelParams()) -> LanguageModel:

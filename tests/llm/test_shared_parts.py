@@ -74,3 +74,10 @@ def test_marks_grow_with_what_is_marked(spark):
         marked = jaccard_join._marked(values, most, params).value
         assert marked[1] == marks and jaccard_join._hit(marked, numbers).all()
         assert jaccard_join._hit(marked, numbers + 12345).mean() < 0.1
+
+
+def test_packed_numbers_come_back():
+    values = np.concatenate([np.random.default_rng(1).lognormal(0, 5, 1000), [0, 1, 7, 2**24]]).astype(np.float32)
+    assert np.array_equal(blocks.unpack(blocks.pack(values)), values)
+    assert np.allclose(blocks.unpack(blocks.pack(values, 3)), values, rtol=2**-16, atol=0)
+    assert len(blocks.unpack(blocks.pack(values[:0]))) == 0
