@@ -46,7 +46,7 @@ class ModelParams:
     #: Groups of each shared class.
     groups: int = 16
     #: Rows of the class table for each square root of a distinct token.
-    rows_per_root: int = 64
+    rows_per_root: int = 16
     #: Scan partitions that one task counts over, as long as every core has a task.
     splits: int = 8
     #: Gradient steps over all training texts after the first one.
@@ -105,8 +105,8 @@ def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int, groups: int
     kind, group = np.zeros(bounds[-1], np.int64), np.zeros(bounds[-1], np.int64)
     if len(at):
         first, second, third = words.begins, words.ends - 2, words.ends - 3
-        kind[at] = _buckets(shared)[data[words.ends - 1], np.where(second < first, 0, data[second])]
-        group[at] = _buckets(groups)[data[first], np.where(third < first, 0, data[third])]
+        kind[at] = _buckets(shared)[data[words.ends - 1], np.where(second < first, 0, data[np.maximum(second, 0)])]
+        group[at] = _buckets(groups)[data[first], np.where(third < first, 0, data[np.maximum(third, 0)])]
     place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes + 1)
     return Tokens(hashes, kind, group, place, bounds)
 
@@ -367,7 +367,9 @@ def _expected(train: DataFrame, classes: Classes, weights, bias, group_weights,
         _add_expected(grouped.active, g, np.zeros(g.shape[1], np.float32), arrays["groups"])
 
     shapes = {"classes": weights.shape, "groups": group_weights.shape}
-    return _counted(train, shapes, fill, params, "expected", kept=3)
+    found = _counted(train, shapes, fill, params, "expected", kept=3)
+    held.unpersist()
+    return found
 
 
 def fit(train: DataFrame, counts: DataFrame, params: ModelParams = ModelParams()) -> LanguageModel:
