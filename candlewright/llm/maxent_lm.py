@@ -89,9 +89,9 @@ def table_rows(distinct: int, params: ModelParams) -> int:
 
 @lru_cache
 def _buckets(n: int) -> np.ndarray:
-    """A bucket for every two bytes, in lower case."""
+    """A bucket for every two bytes, in lower case; the first byte counts 256."""
     a, b = np.meshgrid(LOWER.astype(np.uint64), LOWER.astype(np.uint64), indexing="ij")
-    return (mix(a * np.uint64(257) + b + np.uint64(1)) % np.uint64(n)).astype(np.int16)
+    return (mix(a * np.uint64(257) + b + np.uint64(1)) % np.uint64(n)).astype(np.int64).ravel()
 
 
 def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int, groups: int = 1) -> Tokens:
@@ -104,13 +104,39 @@ def read_tokens(data: np.ndarray, offsets: np.ndarray, shared: int, groups: int
     hashes[at] = words.hashes
     kind, group = np.zeros(bounds[-1], np.int64), np.zeros(bounds[-1], np.int64)
     if len(at):
-        first, second, third = words.begins, words.ends - 2, words.ends - 3
-        kind[at] = _buckets(shared)[data[words.ends - 1], np.where(second < first, 0, data[np.maximum(second, 0)])]
-        group[at] = _buckets(groups)[data[first], np.where(third < first, 0, data[np.maximum(third, 0)])]
+        length = words.ends - words.begins
+
+        def byte(place: np.ndarray) -> np.ndarray:
+            return data.take(place, mode="clip").astype(np.int64)
+
+        pair = byte(words.ends - 1) << 8 | byte(words.ends - 2) * (length > 1)
+        kind[at] = _buckets(shared).take(pair)
+        pair = byte(words.begins) << 8 | byte(words.ends - 3) * (length > 2)
+        group[at] = _buckets(groups).take(pair)
     place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes + 1)
     return Tokens(hashes, kind, group, place, bounds)
 
 
+class Places:
+    """Finds hashes among sorted ones by their first bits; hashes spread evenly, so few places are tried."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = len(hashes).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.hashes = np.append(hashes, np.uint64(2**64 - 1))
+        self.first = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each hash the place it has, and whether it is there; the place means nothing if not."""
+        at = self.first.take((wanted >> self.shift).view(np.int64)).astype(np.int64)
+        left = np.flatnonzero(self.hashes.take(at) < wanted)
+        while len(left):
+            at[left] += 1
+            left = left[self.hashes.take(at[left]) < wanted[left]]
+        known = (self.hashes.take(at) == wanted) & (at < len(self.hashes) - 1)
+        return np.where(known, at, 0), known
+
+
 @dataclass
 class Classes:
     #: Sorted hashes of the words that are classes of their own.
@@ -175,29 +201,42 @@ def layers(tokens: Tokens, classes: Classes, rows: int) -> tuple[Layer, Layer, n
     return whole, Layer(grouped, tokens.group[at]), at
 
 
-def class_powers(active: list[np.ndarray], low: int, high: int, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Unnormalised chances of each class for a run of tokens. Weights stay far from overflow."""
-    x = np.take(weights, active[0][low:high], axis=0)
-    for f in active[1:]:
-        x += np.take(weights, f[low:high], axis=0)
-    x += bias
-    return np.exp(x, out=x)
+def chances(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """What each row multiplies the chances with; every feature's row brings an even part of the bias."""
+    return np.exp(weights + bias / np.float32(FEATURES))
 
 
-#: Tokens handled at a time; their rows of weights stay in the processor's cache.
-RUN = 1 << 11
+#: Tokens handled at a time; their rows of chances stay in the processor's cache.
+RUN = 1 << 10
 #: Tokens whose counts are added up before they go to the tables.
-WIDE = 16 * RUN
+WIDE = 32 * RUN
+#: Tokens of one row from which on they are added up by themselves.
+HEAVY = 128
+
+
+def class_powers(active: list[np.ndarray], rows: np.ndarray, out: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Unnormalised chances of each class in `out`: products of `rows`, which stay far from overflow."""
+    # Rows lie inside the table; in this mode numpy writes to `out` without a copy.
+    rows.take(active[0], 0, out, "clip")
+    for f in active[1:]:
+        out *= rows.take(f, 0, room[: len(f)], "clip")
+    return out
+
+
+def run_logs(layer: Layer, rows: np.ndarray) -> np.ndarray:
+    """log10 P(what each token turned out to be)."""
+    logs = np.empty(len(layer.kinds))
+    held, room = np.empty((2, RUN, rows.shape[1]), np.float32)
+    for low in range(0, len(logs), RUN):
+        own = layer.kinds[low : low + RUN]
+        x = class_powers([f[low : low + RUN] for f in layer.active], rows, held[: len(own)], room)
+        logs[low : low + RUN] = np.log10(x[np.arange(len(own)), own] / x.sum(1))
+    return logs
 
 
 def class_logs(active: list[np.ndarray], kinds: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """log10 P(class of each token)."""
-    logs = np.empty(len(kinds))
-    for low in range(0, len(kinds), RUN):
-        own = kinds[low : low + RUN]
-        x = class_powers(active, low, low + RUN, weights, bias)
-        logs[low : low + RUN] = np.log10(x[np.arange(len(own)), own]) - np.log10(x.sum(1))
-    return logs
+    return run_logs(Layer(active, kinds), chances(weights, bias))
 
 
 def _block_rows(values: np.ndarray, name: str, kept: int) -> Iterator[pa.RecordBatch]:
@@ -306,20 +345,10 @@ def _counted(
     return list(sums.values())
 
 
-def _met(f: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different rows of a run, and which of them each token has; `place` is room for all rows."""
-    met = np.flatnonzero(np.bincount(f, minlength=len(place)))
-    place[met] = np.arange(len(met))
-    return met, place[f]
-
-
 def _seen(layer: Layer, into: np.ndarray) -> None:
-    n, place = into.shape[1], np.zeros(len(into), np.int64)
-    for start in range(0, len(layer.kinds), WIDE):
-        kinds = layer.kinds[start : start + WIDE]
-        for f in layer.active:
-            met, own = _met(f[start : start + WIDE], place)
-            into[met] += np.bincount(own * n + kinds, minlength=len(met) * n).reshape(-1, n)
+    n, cells = into.shape[1], into.reshape(-1)
+    for f in layer.active:
+        np.add.at(cells, f * n + layer.kinds, into.dtype.type(1))
 
 
 def _observed(train: DataFrame, classes: Classes, rows: int, params: ModelParams) -> list[np.ndarray]:
@@ -334,37 +363,69 @@ def _observed(train: DataFrame, classes: Classes, rows: int, params: ModelParams
     return _counted(train, shapes, fill, params, "observed", np.int32)
 
 
-def _add_expected(active: list[np.ndarray], weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
-    """Add the chances of every class to the rows that are active; `into` has the shape of `weights`."""
-    place = np.zeros(len(weights), np.int64)
-    odds = np.empty((len(bias), WIDE))
-    for start in range(0, len(active[0]), WIDE):
-        end = min(start + WIDE, len(active[0]))
+def _by_row(f: np.ndarray, rows: int) -> np.ndarray:
+    """The tokens in order of their rows; numpy sorts 16 bits by counting."""
+    order = np.argsort((f & 0xFFFF).astype(np.uint16), kind="stable")
+    for low in range(16, (rows - 1).bit_length(), 16):
+        order = order[np.argsort(((f >> low) & 0xFFFF).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
+def _add_rows(values: np.ndarray, f: np.ndarray, into: np.ndarray, held: np.ndarray, room: np.ndarray) -> None:
+    """Add the values of each token to its row; `held` and `room` are space for as many values.
+
+    Once in order of rows, the first tokens of all rows are taken together, then the second ones, and so on; the
+    rows with most tokens come first, so those that have another one are always the first few.
+    """
+    if not len(f):
+        return
+    order = _by_row(f, len(into))
+    ordered = f[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    sizes = np.diff(starts, append=len(f))
+    by_size = np.argsort(np.maximum(HEAVY + 1 - sizes, 0).astype(np.uint16), kind="stable")
+    starts, sizes = starts[by_size], sizes[by_size]
+    met, heavy = ordered[starts], int(np.count_nonzero(sizes > HEAVY))
+    for row, start, size in zip(met[:heavy].tolist(), starts[:heavy].tolist(), sizes[:heavy].tolist(), strict=True):
+        for low in range(start, start + size, RUN):
+            own = order[low : min(low + RUN, start + size)]
+            into[row] += values.take(own, 0, room[: len(own)], "clip").sum(0)
+    met, starts, sizes = met[heavy:], starts[heavy:], sizes[heavy:]
+    sums = values.take(order[starts], 0, held[: len(met)], "clip")
+    more = np.cumsum(np.bincount(sizes, minlength=2)[::-1])[::-1].tolist()
+    for k, n in enumerate(more[2:], 1):
+        sums[:n] += values.take(order[starts[:n] + k], 0, room[:n], "clip")
+    into[met] = into.take(met, 0) + sums
+
+
+def _add_expected(active: list[np.ndarray], rows: np.ndarray, into: np.ndarray) -> None:
+    """Add the chances of every class to the rows that are active; `into` has the shape of `rows`."""
+    tokens, n = len(active[0]), rows.shape[1]
+    odds, held, room = (np.empty((min(WIDE, tokens), n), np.float32) for _ in range(3))
+    for start in range(0, tokens, WIDE):
+        end = min(start + WIDE, tokens)
         for low in range(start, end, RUN):
             high = min(low + RUN, end)
-            x = class_powers(active, low, high, weights, bias)
-            odds[:, low - start : high - start] = (x / x.sum(1, keepdims=True)).T
+            x = class_powers([f[low:high] for f in active], rows, odds[low - start : high - start], room)
+            x /= x.sum(1, keepdims=True)
         for f in active:
-            met, own = _met(f[start:end], place)
-            sums = np.empty((len(bias), len(met)), into.dtype)
-            for k in range(len(bias)):
-                sums[k] = np.bincount(own, odds[k, : end - start], len(met))
-            into[met] += sums.T
+            _add_rows(odds[: end - start], f[start:end], into, held, room)
 
 
 def expected(t: Tokens, kinds: np.ndarray, weights: np.ndarray, bias: np.ndarray, into: np.ndarray) -> None:
     """Add the model's expected counts of classes over some tokens; `into` has a row per class."""
-    _add_expected(features(t, kinds, len(weights)), weights, bias, into.T)
+    _add_expected(features(t, kinds, len(weights)), chances(weights, bias), into.T)
 
 
 def _expected(train: DataFrame, classes: Classes, weights, bias, group_weights, params: ModelParams) -> list[np.ndarray]:
-    held = train.sparkSession.sparkContext.broadcast((classes, weights, bias, group_weights))
+    rows = (chances(weights, bias), np.exp(group_weights))
+    held = train.sparkSession.sparkContext.broadcast((classes, *rows))
 
     def fill(t: Tokens, arrays: dict[str, np.ndarray]) -> None:
-        own, w, b, g = held.value
-        whole, grouped, _ = layers(t, own, len(w))
-        _add_expected(whole.active, w, b, arrays["classes"])
-        _add_expected(grouped.active, g, np.zeros(g.shape[1], np.float32), arrays["groups"])
+        own, by_class, by_group = held.value
+        whole, grouped, _ = layers(t, own, len(by_class))
+        _add_expected(whole.active, by_class, arrays["classes"])
+        _add_expected(grouped.active, by_group, arrays["groups"])
 
     shapes = {"classes": weights.shape, "groups": group_weights.shape}
     found = _counted(train, shapes, fill, params, "expected", kept=3)
@@ -435,31 +496,27 @@ def score(
 ) -> DataFrame:
     """`id, held_out, n_tokens, n_known, base_score, score` for rows `id, held_out, text` in bytes."""
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(model)
+    rows = (chances(model.weights, model.bias), np.exp(model.group_weights))
+    shared = context.broadcast((model.classes, rows, model.held, model.held_counts, _word_logs(model)))
     base, log_all = params.base, float(np.log10(model.tokens + params.base * (model.words + 1)))
     names = ["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "token", "kind", "c"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        whole, zero = _word_logs(m), np.zeros(params.groups, np.float32)
-        row = TaskContext.get().partitionId() << 40
-        log_base = np.log10(m.held_counts + base) - log_all
+        classes, (class_rows, group_rows), held, held_counts, whole = shared.value
+        row, places = TaskContext.get().partitionId() << 40, Places(held)
+        log_base = np.log10(held_counts + base) - log_all
         for batch in batches:
             for first, last, data, offsets in parts(batch.column(2)):
                 t = read_tokens(data, offsets, params.shared, params.groups)
-                by_class, by_group, grouped = layers(t, m.classes, len(m.weights))
-                logs = class_logs(by_class.active, by_class.kinds, m.weights, m.bias)
-                logs[grouped] += class_logs(by_group.active, by_group.kinds, m.group_weights, zero)
+                by_class, by_group, grouped = layers(t, classes, len(class_rows))
+                logs = run_logs(by_class, class_rows)
+                logs[grouped] += run_logs(by_group, group_rows)
                 group = t.shared * params.groups + t.group
-                if len(m.held):
-                    at = np.minimum(np.searchsorted(m.held, t.hashes), len(m.held) - 1)
-                    known = m.held[at] == t.hashes
-                else:
-                    at, known = np.zeros(len(logs), np.int64), np.zeros(len(logs), bool)
+                at, known = places.of(t.hashes)
                 plain = np.zeros(len(logs))
                 plain[known] = log_base[at[known]]
                 inside = grouped[known[grouped]]
-                logs[inside] += np.log10(m.held_counts[at[inside]]) - whole[group[inside]]
+                logs[inside] += np.log10(held_counts[at[inside]]) - whole[group[inside]]
                 starts, n = t.bounds[:-1], last - first
                 number = row + np.arange(n)
                 yield pa.RecordBatch.from_arrays(

@@ -88,7 +88,8 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     if not n:
         none = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none)
-    blank = BLANK[data]
+    # Bytes are always inside the tables; in this mode numpy does not check them one by one.
+    blank = BLANK.take(data, mode="clip")
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     begin, end = ~blank, ~blank
@@ -96,7 +97,7 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     end[:-1] &= blank[1:] | edge[1:n]
     begins, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     run = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[data] * _power(n, "up"), out=run[1:])
+    np.cumsum(_VALUE.take(data, mode="clip") * _power(n, "up"), out=run[1:])
     hashes = (run[ends] - run[begins]) * _power(n, "down")[begins]
     hashes = mix(hashes + (ends - begins).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return Words(hashes, np.searchsorted(begins, offsets), begins, ends)

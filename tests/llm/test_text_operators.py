@@ -424,6 +424,48 @@ def test_class_chances_sum_to_one(spark):
     assert sums.sum() == pytest.approx(maxent_lm.FEATURES * len(kinds), rel=1e-4)
 
 
+def test_expected_counts_equal_plain_sums():
+    pick = np.random.default_rng(3)
+    weights = pick.normal(size=(1 << 17, 5)).astype(np.float32)
+    # Rows with one token, with a few, and with more than go together in any step.
+    common = np.where(pick.random((4, 50_000)) < 0.3, 70_000, pick.integers(0, 300, (4, 50_000)))
+    active = list(np.where(pick.random((4, 50_000)) < 0.4, pick.integers(0, 1 << 17, (4, 50_000)), common))
+    got = np.zeros(weights.shape, np.float32)
+    maxent_lm._add_expected(active, maxent_lm.chances(weights, np.zeros(5, np.float32)), got)
+    odds = np.exp(sum(weights[f].astype(float) for f in active))
+    expect = np.zeros(weights.shape)
+    for f in active:
+        np.add.at(expect, f, odds / odds.sum(1, keepdims=True))
+    assert np.allclose(got, expect, rtol=1e-4, atol=1e-5)
+    maxent_lm._add_expected([f[:0] for f in active], weights, got)
+
+
+def test_language_model_takes_powers_of_weights_not_of_tokens(monkeypatch):
+    taken = []
+    real = np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: taken.append(np.size(x)) or real(x, *a, **k))
+    data = np.frombuffer(b"the cat sat on the mat " * 2000, np.uint8)
+    t = maxent_lm.read_tokens(data, np.array([0, len(data)]), 4)
+    own = maxent_lm.Classes(np.sort(np.unique(t.hashes)[:2]), 4)
+    kinds, bias = own.of(t), np.zeros(own.n, np.float32)
+    weights = np.random.default_rng(0).normal(size=(64, own.n)).astype(np.float32)
+    maxent_lm.expected(t, kinds, weights, bias, np.zeros((own.n, 64)))
+    maxent_lm.class_logs(maxent_lm.features(t, kinds, 64), kinds, weights, bias)
+    assert len(kinds) > 10_000 and sum(taken) <= 2 * weights.size
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 5000])
+def test_places_of_hashes(n):
+    pick = np.random.default_rng(n)
+    held = pick.integers(0, 1 << 64, n, np.uint64)
+    held[:1] = 2**64 - 1  # also one that ends the table
+    held = np.sort(held)
+    wanted = np.concatenate([held, pick.integers(0, 1 << 64, 3000, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    at, known = maxent_lm.Places(held).of(wanted)
+    assert known.tolist() == np.isin(wanted, held).tolist()
+    assert (held[at[known]] == wanted[known]).all()
+
+
 def test_measures_equal_brute_force(spark, texts):
     got = {r["doc_id"]: r for r in queries.op7_quality_rules(spark, DATA).collect()}
     for k, text in texts.items():
